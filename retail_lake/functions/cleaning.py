@@ -1,13 +1,13 @@
-"""Cleaning rules of the bronze layer, as Column expressions.
+"""Cleaning rules of the bronze layer, as Spark SQL expressions.
 
-All of these compile to Catalyst expressions and stay inside whole-stage
-codegen; none needs Python at run time.
+Each helper takes a raw header (or an SQL expression) and returns expression
+text; all of them compile to Catalyst expressions inside whole-stage codegen,
+none needs Python at run time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from retail_lake.functions.sql import q, s
 
 UNKNOWN = "Unknown"
 DEFAULT_CURRENCY = "INR"
@@ -16,63 +16,56 @@ TWO_DIGIT_YEAR_PIVOT = 70
 DMY_PATTERN = r"^(\d{1,2})-(\d{1,2})-(\d{2})$"
 
 
-def col_of(name_or_col) -> Column:
-    """Column for a raw header; headers may contain spaces and dots."""
-    if isinstance(name_or_col, Column):
-        return name_or_col
-    return F.col(f"`{name_or_col}`")
+def ref(name_or_expr: str) -> str:
+    """A raw header becomes a quoted identifier; ``=expr`` passes an expression."""
+    return name_or_expr[1:] if name_or_expr.startswith("=") else q(name_or_expr)
 
 
-def clean_text(c) -> Column:
+def clean_text(c: str) -> str:
     """TRIM(c): strips spaces only, keeps '' as ''."""
-    return F.trim(col_of(c))
+    return f"trim({ref(c)})"
 
 
-def text_or_default(c, default: str = UNKNOWN) -> Column:
+def text_or_default(c: str, default: str = UNKNOWN) -> str:
     """COALESCE(TRIM(c), default). An empty string stays '' (it is not NULL)."""
-    return F.coalesce(F.trim(col_of(c)), F.lit(default))
+    return f"coalesce(trim({ref(c)}), {s(default)})"
 
 
-def clamp_count(c, null_value: int = 0) -> Column:
+def clamp_count(c: str, null_value: int = 0) -> str:
     """Negative -> 0, NULL -> null_value, else the value (int)."""
-    x = col_of(c)
-    return (F.when(x < 0, F.lit(0))
-             .when(x.isNull(), F.lit(null_value))
-             .otherwise(x)).cast("int")
+    x = ref(c)
+    return f"CAST(CASE WHEN {x} < 0 THEN 0 WHEN {x} IS NULL THEN {null_value} ELSE {x} END AS INT)"
 
 
-def number_or_zero(c) -> Column:
-    return F.coalesce(col_of(c), F.lit(0))
+def number_or_zero(c: str) -> str:
+    return f"coalesce({ref(c)}, 0)"
 
 
-def flag_or_false(c) -> Column:
-    return F.coalesce(col_of(c), F.lit(False))
+def flag_or_false(c: str) -> str:
+    return f"coalesce({ref(c)}, false)"
 
 
-def parse_dmy(c, pivot: int = TWO_DIGIT_YEAR_PIVOT) -> Column:
+def parse_dmy(c: str, pivot: int = TWO_DIGIT_YEAR_PIVOT) -> str:
     """Parse 'DD-MM-YY' into a DATE; anything unparseable becomes NULL.
 
     Spark's ``yy`` maps 95 to 2095, so the century is chosen explicitly with a
     pivot (yy >= pivot -> 19yy, else 20yy). Impossible dates (31-02-01) are
     NULL through ``try_to_timestamp`` rather than an ANSI error.
     """
-    s = F.trim(col_of(c))
-    day = F.regexp_extract(s, DMY_PATTERN, 1)
-    month = F.regexp_extract(s, DMY_PATTERN, 2)
-    yy = F.regexp_extract(s, DMY_PATTERN, 3)
-    year = F.when(yy == "", F.lit(None).cast("string")).otherwise(
-        F.when(yy.cast("int") >= pivot, F.concat(F.lit("19"), yy)).otherwise(F.concat(F.lit("20"), yy)))
-    text = F.concat_ws("-", F.lpad(day, 2, "0"), F.lpad(month, 2, "0"), year)
-    return F.when(day == "", F.lit(None).cast("date")).otherwise(
-        F.try_to_timestamp(text, F.lit("dd-MM-yyyy")).cast("date"))
+    t = f"trim({ref(c)})"
+    pat = s(DMY_PATTERN)
+    d, m, y = (f"regexp_extract({t}, {pat}, {i})" for i in (1, 2, 3))
+    year = f"(CASE WHEN CAST({y} AS INT) >= {pivot} THEN '19' ELSE '20' END || {y})"
+    text = f"lpad({d}, 2, '0') || '-' || lpad({m}, 2, '0') || '-' || {year}"
+    return (f"(CASE WHEN {t} RLIKE {pat} "
+            f"THEN CAST(try_to_timestamp({text}, 'dd-MM-yyyy') AS DATE) END)")
 
 
-def dmy_castable(c) -> Column:
-    """True when a non-NULL raw date string parses (used by schema checks)."""
-    return col_of(c).isNull() | parse_dmy(c).isNotNull()
+def dmy_castable(c: str) -> str:
+    """True when the raw date string is NULL or parses (schema checks)."""
+    return f"({ref(c)} IS NULL OR {parse_dmy(c)} IS NOT NULL)"
 
 
-def transaction_key(customer, sku, date) -> Column:
+def transaction_key(customer: str, sku: str, date: str) -> str:
     """CUSTOMER_SKU_DATE; NULL as soon as any part is NULL (SQL CONCAT)."""
-    return F.concat(F.trim(col_of(customer)), F.lit("_"), F.trim(col_of(sku)), F.lit("_"),
-                    col_of(date).cast("string"))
+    return f"concat(trim({ref(customer)}), '_', trim({ref(sku)}), '_', CAST({ref(date)} AS STRING))"

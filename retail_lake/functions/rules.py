@@ -1,12 +1,12 @@
 """Rule-based classifications used by silver and gold models.
 
-Each rule is a CASE chain; the first matching branch wins, as in SQL.
+Each rule is a CASE chain over SQL expressions; the first matching branch
+wins, as in SQL.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from retail_lake.functions.sql import case, s
 
 # ---- fixed values (labels and thresholds that results must reproduce) ----
 # Product category: (source, prefix, label), checked in this order.
@@ -39,67 +39,65 @@ TIER_LIMITS = (100000, 50000, 10000)
 # --------------------------------------------------------------------------
 
 
-def product_category(stock_sku: Column, amazon_sku: Column, intl_style: Column) -> Column:
-    """First matching prefix rule wins; NULL inputs never match."""
+def product_category(stock_sku: str, amazon_sku: str, intl_style: str) -> str:
+    """First matching prefix rule wins; NULL inputs never match (startswith(NULL) is NULL)."""
     source = {"stock": stock_sku, "amazon": amazon_sku, "style": intl_style}
-    out = None
-    for src, prefix, label in CATEGORY_BY_PREFIX:
-        cond = F.coalesce(source[src].startswith(prefix), F.lit(False))
-        out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
-    return out.otherwise(F.lit(CATEGORY_OTHER))
+    return case([(f"startswith({source[src]}, {s(prefix)})", s(label))
+                 for src, prefix, label in CATEGORY_BY_PREFIX], s(CATEGORY_OTHER))
 
 
-def stock_status(qty: Column) -> Column:
+def stock_status(qty: str) -> str:
     lo, mid, hi = STOCK_LIMITS
-    return (F.when(qty == 0, F.lit(STOCK_OUT))
-             .when(qty <= lo, F.lit(STOCK_CRITICAL))
-             .when(qty <= mid, F.lit(STOCK_LOW))
-             .when(qty <= hi, F.lit(STOCK_NORMAL))
-             .otherwise(F.lit(STOCK_EXCESS)))
+    return case([(f"{qty} = 0", s(STOCK_OUT)), (f"{qty} <= {lo}", s(STOCK_CRITICAL)),
+                 (f"{qty} <= {mid}", s(STOCK_LOW)), (f"{qty} <= {hi}", s(STOCK_NORMAL))], s(STOCK_EXCESS))
 
 
-def reorder_suggestion(qty: Column) -> Column:
+def reorder_suggestion(qty: str) -> str:
     lo, mid, _ = STOCK_LIMITS
-    return (F.when(qty <= lo, F.lit(REORDER_NOW))
-             .when(qty <= mid, F.lit(REORDER_SOON))
-             .otherwise(F.lit(REORDER_NONE)))
+    return case([(f"{qty} <= {lo}", s(REORDER_NOW)), (f"{qty} <= {mid}", s(REORDER_SOON))], s(REORDER_NONE))
 
 
-def daily_sales_rate(units: Column, window_days: int) -> Column:
-    return units.cast("double") / F.lit(float(window_days))
+def daily_sales_rate(units: str, window_days: int) -> str:
+    return f"(CAST({units} AS DOUBLE) / {float(window_days)}D)"
 
 
-def days_of_inventory(stock: Column, units: Column, window_days: int) -> Column:
+def days_of_inventory(stock: str, units: str, window_days: int) -> str:
     """stock / (units / window); NO_SALES_DAYS when nothing was sold."""
-    return (F.when(units > 0, stock.cast("double") / (units.cast("double") / F.lit(float(window_days))))
-             .otherwise(F.lit(float(NO_SALES_DAYS))))
+    return case([(f"{units} > 0", f"CAST({stock} AS DOUBLE) / (CAST({units} AS DOUBLE) / {float(window_days)}D)")],
+                f"{float(NO_SALES_DAYS)}D")
 
 
-def inventory_action(days: Column) -> Column:
+def inventory_action(days: str) -> str:
     crit, urg, norm, excess = ACTION_LIMITS
-    return (F.when(days < crit, F.lit(ACTION_CRITICAL))
-             .when(days < urg, F.lit(ACTION_URGENT))
-             .when(days < norm, F.lit(ACTION_NORMAL))
-             .when(days > excess, F.lit(ACTION_WARNING))
-             .otherwise(F.lit(ACTION_HEALTHY)))
+    return case([(f"{days} < {crit}", s(ACTION_CRITICAL)), (f"{days} < {urg}", s(ACTION_URGENT)),
+                 (f"{days} < {norm}", s(ACTION_NORMAL)), (f"{days} > {excess}", s(ACTION_WARNING))],
+                s(ACTION_HEALTHY))
 
 
-def suggested_reorder(days: Column, rate: Column, stock: Column, window_days: int) -> Column:
+def suggested_reorder(days: str, rate: str, stock: str, window_days: int) -> str:
     """CEIL(rate * window) - stock when fewer than 14 days are left, else 0."""
     urgent = ACTION_LIMITS[1]
-    return (F.when(days < urgent, F.ceil(rate * F.lit(float(window_days))) - stock)
-             .otherwise(F.lit(0))).cast("bigint")
+    return (f"CAST({case([(f'{days} < {urgent}', f'ceil({rate} * {float(window_days)}D) - {stock}')], '0')}"
+            f" AS BIGINT)")
 
 
-def revenue_tier(revenue: Column) -> Column:
+def revenue_tier(revenue: str) -> str:
     prem, high, med = TIER_LIMITS
-    return (F.when(revenue > prem, F.lit(TIER_PREMIUM))
-             .when(revenue > high, F.lit(TIER_HIGH))
-             .when(revenue > med, F.lit(TIER_MEDIUM))
-             .otherwise(F.lit(TIER_LOW)))
+    return case([(f"{revenue} > {prem}", s(TIER_PREMIUM)), (f"{revenue} > {high}", s(TIER_HIGH)),
+                 (f"{revenue} > {med}", s(TIER_MEDIUM))], s(TIER_LOW))
 
 
-def to_inr(amount: Column, currency: Column, usd_inr: float) -> Column:
+def to_inr(amount: str, currency: str, usd_inr: float) -> str:
     """USD amounts times the fixed rate, other currencies unchanged (exact decimal)."""
-    rate = F.lit(str(usd_inr)).cast("decimal(10,4)")
-    return F.when(currency == "USD", amount * rate).otherwise(amount)
+    rate = f"CAST('{usd_inr}' AS DECIMAL(10,4))"
+    return case([(f"{currency} = 'USD'", f"{amount} * {rate}")], amount)
+
+
+def safe_ratio(num: str, den: str) -> str:
+    """num / NULLIF(den, 0) in double precision; NULL instead of an error."""
+    return f"try_divide(CAST({num} AS DOUBLE), CAST(nullif({den}, 0) AS DOUBLE))"
+
+
+def share_of_total(part: str, total: str, scale: int = 2) -> str:
+    """ROUND(100 * part / total, scale); NULL when the total is 0 or NULL."""
+    return f"round(try_divide(100.0D * CAST({part} AS DOUBLE), CAST({total} AS DOUBLE)), {scale})"

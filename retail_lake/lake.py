@@ -1,76 +1,117 @@
 """Build every model of the medallion from one input folder.
 
-``Lake`` wires sources -> bronze -> silver -> gold lazily: each accessor
-returns a DataFrame whose plan reaches back to the parquet scans, so Catalyst
-sees (and prunes) the whole chain of a query. The layer runner in
-``plans.pipeline`` uses the same model functions but materialises a table at
-every model edge instead.
+``Lake`` wires sources -> bronze -> silver -> gold. As in the reference, where
+every model is a table, each model is written once as a parquet table under
+the session's shared checkpoint folder (``spark.checkpoint.dir``) and read
+back by the models downstream. That keeps every query plan to one model's
+worth of operators, lets the parquet reader prune columns and push filters at
+each model edge, and cuts lineage: a lost executor never forces recomputation
+from the raw inputs. ``materialize=False`` instead returns one lazy plan from
+the raw scans to the requested model (used by tests and ``explain``).
 """
 
 from __future__ import annotations
 
-from functools import cached_property
+import hashlib
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
 from retail_lake.params import FIXTURE_PARAMS, RunParams
 from retail_lake.plans import bronze, gold, silver
+from retail_lake.session import ensure_checkpoint_dir
 from retail_lake.sources import fixtures
 
+_WRITTEN: dict[tuple, str] = {}
+_LOCK = threading.RLock()
+
 
 class Lake:
-    def __init__(self, spark: SparkSession, sf_dir: str, params: RunParams = FIXTURE_PARAMS):
-        self.spark, self.sf_dir, self.params = spark, sf_dir, params
+    def __init__(self, spark: SparkSession, sf_dir: str, params: RunParams = FIXTURE_PARAMS,
+                 materialize: bool = True):
+        self.spark, self.sf_dir, self.params, self.materialize = spark, sf_dir, params, materialize
+        self._lazy: dict[str, DataFrame] = {}
+        token = hashlib.sha1(repr((sf_dir, params)).encode()).hexdigest()[:12]
+        self._key = (spark.sparkContext.applicationId, token)
+        self._root = None
+        if materialize:
+            self._root = ensure_checkpoint_dir(spark).rstrip("/") + f"/retail_lake/{token}"
+
+    def model(self, name: str, build) -> DataFrame:
+        """The model as a DataFrame: read from its written table, writing it first if needed."""
+        if not self.materialize:
+            if name not in self._lazy:
+                self._lazy[name] = build()
+            return self._lazy[name]
+        key = self._key + (name,)
+        with _LOCK:
+            path = _WRITTEN.get(key)
+            if path is None:
+                df = build()
+                path = f"{self._root}/{name}"
+                df.write.mode("overwrite").parquet(path)
+                _WRITTEN[key] = path
+                _WRITTEN[key + ("schema",)] = df.schema
+        return self.spark.read.schema(_WRITTEN[key + ("schema",)]).parquet(path)
 
     # ------------------------------------------------------------------ raw
-    @cached_property
+    @property
     def raw_amazon_sales(self) -> DataFrame:
         return fixtures.raw_amazon_sales(self.spark, self.sf_dir)
 
-    @cached_property
+    @property
     def raw_international_sales(self) -> DataFrame:
         return fixtures.raw_international_sales(self.spark, self.sf_dir)
 
-    @cached_property
+    @property
     def raw_stock_levels(self) -> DataFrame:
         return fixtures.raw_stock_levels(self.spark, self.sf_dir)
 
-    @cached_property
+    @property
     def raw_stock_snapshots(self) -> DataFrame:
         return fixtures.raw_stock_snapshots(self.spark, self.sf_dir)
 
     # --------------------------------------------------------------- bronze
-    @cached_property
+    @property
     def stg_amazon_sales(self) -> DataFrame:
-        return bronze.stg_amazon_sales(self.raw_amazon_sales, self.params.load_ts)
+        return self.model("stg_amazon_sales",
+                          lambda: bronze.stg_amazon_sales(self.raw_amazon_sales, self.params.load_ts))
 
-    @cached_property
+    @property
     def stg_international_sales(self) -> DataFrame:
-        return bronze.stg_international_sales(self.raw_international_sales, self.params.load_ts)
+        return self.model("stg_international_sales",
+                          lambda: bronze.stg_international_sales(self.raw_international_sales, self.params.load_ts))
 
-    @cached_property
+    @property
     def stg_stock_levels(self) -> DataFrame:
-        return bronze.stg_stock_levels(self.raw_stock_levels, self.params.load_ts)
+        return self.model("stg_stock_levels",
+                          lambda: bronze.stg_stock_levels(self.raw_stock_levels, self.params.load_ts))
 
-    @cached_property
+    @property
     def stg_stock_history(self) -> DataFrame:
-        return bronze.stg_stock_levels(self.raw_stock_snapshots, "loaded_timestamp")
+        return self.model("stg_stock_history",
+                          lambda: bronze.stg_stock_levels(self.raw_stock_snapshots, "loaded_timestamp"))
 
     # --------------------------------------------------------------- silver
     def dim_customers(self, resolved: bool = False) -> DataFrame:
-        return silver.dim_customers(self.stg_amazon_sales, self.stg_international_sales, resolved)
+        return self.model(f"dim_customers{'_resolved' if resolved else ''}",
+                          lambda: silver.dim_customers(self.stg_amazon_sales, self.stg_international_sales,
+                                                       resolved))
 
     def dim_products(self, one_row_per_sku: bool = False) -> DataFrame:
-        return silver.dim_products(self.stg_stock_levels, self.stg_amazon_sales,
-                                   self.stg_international_sales, self.params.load_ts, one_row_per_sku)
+        return self.model(f"dim_products{'_one_per_sku' if one_row_per_sku else ''}",
+                          lambda: silver.dim_products(self.stg_stock_levels, self.stg_amazon_sales,
+                                                      self.stg_international_sales, self.params.load_ts,
+                                                      one_row_per_sku))
 
-    @cached_property
+    @property
     def fct_inventory(self) -> DataFrame:
-        return silver.fct_inventory(self.stg_stock_history)
+        return self.model("fct_inventory", lambda: silver.fct_inventory(self.stg_stock_history))
 
     def fct_sales(self, one_row_per_sku: bool = False) -> DataFrame:
-        return silver.fct_sales(self.stg_amazon_sales, self.stg_international_sales,
-                                self.dim_products(one_row_per_sku), self.params.usd_inr)
+        return self.model(f"fct_sales{'_one_per_sku' if one_row_per_sku else ''}",
+                          lambda: silver.fct_sales(self.stg_amazon_sales, self.stg_international_sales,
+                                                   self.dim_products(one_row_per_sku), self.params.usd_inr))
 
     # ----------------------------------------------------------------- gold
     def inventory_analysis(self, one_row_per_sku: bool = False) -> DataFrame:

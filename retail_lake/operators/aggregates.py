@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 
 def grand_total(df: DataFrame, value: str) -> Column:
@@ -11,16 +10,7 @@ def grand_total(df: DataFrame, value: str) -> Column:
 
     Replaces ``CROSS JOIN (SELECT SUM(..))``: Spark evaluates the subquery once
     (reusing the upstream exchange) and uses the result as a literal; there is
-    no join and nothing whole goes through one task.
+    no join, and the only single-partition step is the final merge of one
+    partial sum per task.
     """
-    return df.select(F.sum(value)).scalar()
-
-
-def share_of_total(part: Column, total: Column, scale: int = 2) -> Column:
-    """ROUND(100 * part / total, scale); NULL instead of an error when total is 0."""
-    return F.round(F.try_divide(F.lit(100.0) * part.cast("double"), total.cast("double")), scale)
-
-
-def safe_ratio(num: Column, den: Column) -> Column:
-    """num / NULLIF(den, 0) in double precision."""
-    return F.try_divide(num.cast("double"), F.nullif(den, F.lit(0)).cast("double"))
+    return df.selectExpr(f"sum({value})").scalar()

@@ -5,7 +5,8 @@ row into one task. ``global_rank`` gives the same numbers with work spread by
 value range:
 
 1. ``counts``: one row per distinct value with its multiplicity (partial
-   aggregation first, so a value shared by a third of the rows costs one row).
+   aggregation first, so a value shared by a third of the rows costs one row
+   per map task).
 2. Range buckets over the distinct values from ``percentile_approx``
    boundaries (a scalar subquery; Spark reuses the upstream exchange for it).
    Equal values always share a bucket, so ties never straddle buckets.
@@ -22,9 +23,11 @@ NULLs sort last (as DESC NULLS LAST / ASC NULLS LAST) and tie with each other.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from retail_lake.functions.sql import q
+
 DEFAULT_BUCKETS = 64
 _V, _N, _B = "__rank_value", "__rank_n", "__rank_bucket"
 
@@ -33,30 +36,41 @@ def value_rank_table(df: DataFrame, value: str, descending: bool = True,
                      buckets: int = DEFAULT_BUCKETS, accuracy: int = 10000) -> DataFrame:
     """(value, rank) for every distinct value of ``df[value]``, NULL included."""
     counts = df.groupBy(F.col(value).alias(_V)).agg(F.count(F.lit(1)).alias(_N))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = counts.where(F.col(_V).isNotNull()).select(
-        F.percentile_approx(_V, probs, accuracy)).scalar()
-    v = F.col(_V)
-    # number of boundaries strictly below v: 0..buckets-1, no higher-order function needed
-    below = F.array_position(F.sort_array(F.array_append(bounds, v)), v) - 1
-    # order key of the bucket: smaller = ranked earlier; NULLs always last
-    bucket = F.when(v.isNull(), F.lit(buckets + 1)).otherwise(
-        (F.lit(buckets) - below) if descending else below)
-    tagged = counts.withColumn(_B, bucket.cast("int"))
-    ahead_in_bucket = F.coalesce(F.sum(_N).over(
-        Window.partitionBy(_B).orderBy(v.desc_nulls_last() if descending else v.asc_nulls_last())
-              .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    per_bucket = tagged.groupBy(_B).agg(F.sum(_N).alias("__bucket_rows"))
-    # at most buckets + 2 rows: a single-partition window here is bounded by the parameter
-    offsets = per_bucket.select(_B, F.coalesce(F.sum("__bucket_rows").over(
-        Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__offset"))
-    ranked = tagged.withColumn("__ahead", ahead_in_bucket).join(F.broadcast(offsets), _B)
-    return ranked.select(_V, (F.col("__offset") + F.col("__ahead") + 1).cast("bigint").alias("__rank"))
+    probs = ", ".join(str(i / buckets) for i in range(1, buckets))
+    bounds = counts.where(f"{_V} IS NOT NULL").selectExpr(
+        f"percentile_approx({_V}, array({probs}), {accuracy})").scalar()
+    # number of boundaries strictly below v (0..buckets-1); no higher-order
+    # function, so the boundary subquery is allowed inside the expression
+    below = F.coalesce(F.array_position(F.sort_array(F.array_append(bounds, F.col(_V))), F.col(_V)) - 1,
+                       F.lit(0))
+    # bucket order key: smaller = ranked earlier; NULLs always last
+    key = (F.lit(buckets) - below) if descending else below
+    tagged = counts.withColumn(_B, F.when(F.col(_V).isNull(), F.lit(buckets + 1)).otherwise(key).cast("int"))
+    direction = "DESC" if descending else "ASC"
+    ahead = tagged.selectExpr(
+        "*", f"coalesce(sum({_N}) OVER (PARTITION BY {_B} ORDER BY {_V} {direction} NULLS LAST "
+             f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS __ahead")
+    # at most buckets + 2 rows: this single-partition window is bounded by the parameter
+    offsets = tagged.groupBy(_B).agg(F.sum(_N).alias("__bucket_rows")).selectExpr(
+        _B, "coalesce(sum(__bucket_rows) OVER (ORDER BY "
+            f"{_B} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS __offset")
+    ranked = ahead.join(F.broadcast(offsets), _B)
+    return ranked.selectExpr(_V, "CAST(__offset + __ahead + 1 AS BIGINT) AS __rank")
 
 
 def global_rank(df: DataFrame, value: str, out: str, descending: bool = True,
                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Append ``out`` = RANK() OVER (ORDER BY value [DESC] NULLS LAST)."""
-    table = value_rank_table(df, value, descending, buckets)
-    joined = df.join(table, df[value].eqNullSafe(table[_V]), "left")
-    return joined.drop(_V).withColumnRenamed("__rank", out)
+    return global_ranks(df, {out: value}, descending, buckets)
+
+
+def global_ranks(df: DataFrame, ranks: dict[str, str], descending: bool = True,
+                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Append several ranks ({out: value}); every rank table is built from the
+    same input, so the plan grows linearly with the number of ranks."""
+    out = df
+    for name, value in ranks.items():
+        table = value_rank_table(df, value, descending, buckets).withColumnsRenamed(
+            {_V: f"__v_{name}", "__rank": name})
+        out = out.join(table, F.expr(f"{q(value)} <=> {q('__v_' + name)}"), "left").drop(f"__v_{name}")
+    return out

@@ -1,25 +1,23 @@
-"""Per-key ordered window operators."""
+"""Per-key ordered window operators (one shared sort per key and order)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
-def ordered_window(key: str, order: list[Column]):
-    return Window.partitionBy(key).orderBy(*order)
+def _over(key: str, order: str, frame: str = "") -> str:
+    return f"OVER (PARTITION BY {key} ORDER BY {order} {frame})"
 
 
-def lag_delta(df: DataFrame, key: str, order: list[Column], value: str,
+def lag_delta(df: DataFrame, key: str, order: str, value: str,
               prev_out: str, delta_out: str) -> DataFrame:
-    """Previous value per key and the change against it (one shared sort)."""
-    w = ordered_window(key, order)
-    prev = F.lag(value).over(w)
-    return df.withColumn(prev_out, prev).withColumn(delta_out, F.col(value) - F.col(prev_out))
+    """Previous value per key and the change against it."""
+    w = _over(key, order)
+    return df.selectExpr("*", f"lag({value}) {w} AS {prev_out}",
+                         f"{value} - lag({value}) {w} AS {delta_out}")
 
 
-def moving_average(df: DataFrame, key: str, order: list[Column], value: str,
-                   out: str, rows: int) -> DataFrame:
+def moving_average(df: DataFrame, key: str, order: str, value: str, out: str, rows: int) -> DataFrame:
     """AVG(value) over the current row and ``rows - 1`` preceding rows per key."""
-    w = ordered_window(key, order).rowsBetween(-(rows - 1), Window.currentRow)
-    return df.withColumn(out, F.avg(value).over(w))
+    w = _over(key, order, f"ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW")
+    return df.selectExpr("*", f"avg({value}) {w} AS {out}")

@@ -8,67 +8,63 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from retail_lake.functions.cleaning import (
-    DEFAULT_CURRENCY, UNKNOWN, clamp_count, clean_text, col_of, flag_or_false,
-    number_or_zero, parse_dmy, text_or_default, transaction_key,
-)
-from retail_lake.schemas import (
-    MONEY, STG_AMAZON_SALES, STG_INTERNATIONAL_SALES, STG_STOCK_LEVELS, conform,
+    DEFAULT_CURRENCY, UNKNOWN, clamp_count, clean_text, flag_or_false, number_or_zero,
+    parse_dmy, text_or_default, transaction_key,
 )
+from retail_lake.functions.sql import q
+from retail_lake.schemas import STG_AMAZON_SALES, STG_INTERNATIONAL_SALES, STG_STOCK_LEVELS, conform
 
 
-def load_time(load_ts) -> Column:
-    """Load-time stamp: a literal datetime, or a column already on the rows."""
-    if isinstance(load_ts, Column):
-        return load_ts.cast("timestamp_ntz")
+def load_time(load_ts) -> str:
+    """Load-time stamp: a literal datetime, or the name of a column on the rows."""
     if isinstance(load_ts, str):
-        return F.col(load_ts).cast("timestamp_ntz")
+        return f"CAST({q(load_ts)} AS TIMESTAMP_NTZ)"
     if isinstance(load_ts, dt.datetime):
-        return F.lit(load_ts.isoformat(sep=" ")).cast("timestamp_ntz")
+        return f"TIMESTAMP_NTZ '{load_ts.isoformat(sep=' ')}'"
     raise TypeError(f"unsupported load_ts {load_ts!r}")
 
 
 def stg_amazon_sales(raw: DataFrame, load_ts) -> DataFrame:
-    out = raw.select(
-        clean_text("Order ID").alias("order_id"),
-        parse_dmy("Date").alias("order_date"),
-        text_or_default("Status").alias("order_status"),
-        clean_text("Fulfilment").alias("fulfilment_type"),
-        clean_text("Sales Channel ").alias("sales_channel"),
-        text_or_default("SKU").alias("sku"),
-        clean_text("Category").alias("category"),
-        clean_text("Size").alias("size"),
-        clamp_count("Qty", null_value=0).alias("quantity"),
-        number_or_zero("Amount").cast(MONEY).alias("amount"),
-        text_or_default("currency", DEFAULT_CURRENCY).alias("currency"),
-        clean_text("ship-city").alias("ship_city"),
-        clean_text("ship-state").alias("ship_state"),
-        col_of("ship-postal-code").alias("ship_postal_code"),
-        clean_text("ship-country").alias("ship_country"),
-        flag_or_false("B2B").alias("is_b2b"),
-        load_time(load_ts).alias("loaded_timestamp"),
+    out = raw.selectExpr(
+        f"{clean_text('Order ID')} AS order_id",
+        f"{parse_dmy('Date')} AS order_date",
+        f"{text_or_default('Status')} AS order_status",
+        f"{clean_text('Fulfilment')} AS fulfilment_type",
+        f"{clean_text('Sales Channel ')} AS sales_channel",
+        f"{text_or_default('SKU')} AS sku",
+        f"{clean_text('Category')} AS category",
+        f"{clean_text('Size')} AS size",
+        f"{clamp_count('Qty', 0)} AS quantity",
+        f"{number_or_zero('Amount')} AS amount",
+        f"{text_or_default('currency', DEFAULT_CURRENCY)} AS currency",
+        f"{clean_text('ship-city')} AS ship_city",
+        f"{clean_text('ship-state')} AS ship_state",
+        f"{q('ship-postal-code')} AS ship_postal_code",
+        f"{clean_text('ship-country')} AS ship_country",
+        f"{flag_or_false('B2B')} AS is_b2b",
+        f"{load_time(load_ts)} AS loaded_timestamp",
     )
-    return conform(out.where(F.col("order_id").isNotNull()), STG_AMAZON_SALES)
+    return conform(out.where("order_id IS NOT NULL"), STG_AMAZON_SALES)
 
 
 def stg_international_sales(raw: DataFrame, load_ts) -> DataFrame:
-    out = raw.select(
-        transaction_key("CUSTOMER", "SKU", "DATE").alias("transaction_id"),
-        parse_dmy("DATE").alias("order_date"),
-        clean_text("Months").alias("month_year"),
-        text_or_default("CUSTOMER", UNKNOWN).alias("customer_name"),
-        clean_text("Style").alias("style"),
-        clean_text("SKU").alias("sku"),
-        clean_text("Size").alias("size"),
-        clamp_count("PCS", null_value=1).alias("quantity"),
-        number_or_zero("RATE").cast(MONEY).alias("unit_price"),
-        number_or_zero("GROSS AMT").cast(MONEY).alias("gross_amount"),
-        load_time(load_ts).alias("loaded_timestamp"),
+    out = raw.selectExpr(
+        f"{transaction_key('CUSTOMER', 'SKU', 'DATE')} AS transaction_id",
+        f"{parse_dmy('DATE')} AS order_date",
+        f"{clean_text('Months')} AS month_year",
+        f"{text_or_default('CUSTOMER', UNKNOWN)} AS customer_name",
+        f"{clean_text('Style')} AS style",
+        f"{clean_text('SKU')} AS sku",
+        f"{clean_text('Size')} AS size",
+        f"{clamp_count('PCS', 1)} AS quantity",
+        f"{number_or_zero('RATE')} AS unit_price",
+        f"{number_or_zero('GROSS AMT')} AS gross_amount",
+        f"{load_time(load_ts)} AS loaded_timestamp",
     )
-    return conform(out.where(F.col("sku").isNotNull()), STG_INTERNATIONAL_SALES)
+    return conform(out.where("sku IS NOT NULL"), STG_INTERNATIONAL_SALES)
 
 
 def stg_stock_levels(raw: DataFrame, load_ts="loaded_timestamp") -> DataFrame:
@@ -77,13 +73,13 @@ def stg_stock_levels(raw: DataFrame, load_ts="loaded_timestamp") -> DataFrame:
     Passing the snapshot files with their own ``loaded_timestamp`` column gives
     the append-only stock history that the inventory windows need.
     """
-    out = raw.select(
-        clean_text("SKU Code").alias("sku_code"),
-        clean_text("Design No.").alias("design_number"),
-        clamp_count("Stock", null_value=0).alias("stock_quantity"),
-        text_or_default("Category").alias("category"),
-        text_or_default("Size").alias("size"),
-        text_or_default("Color").alias("color"),
-        load_time(load_ts).alias("loaded_timestamp"),
+    out = raw.selectExpr(
+        f"{clean_text('SKU Code')} AS sku_code",
+        f"{clean_text('Design No.')} AS design_number",
+        f"{clamp_count('Stock', 0)} AS stock_quantity",
+        f"{text_or_default('Category')} AS category",
+        f"{text_or_default('Size')} AS size",
+        f"{text_or_default('Color')} AS color",
+        f"{load_time(load_ts)} AS loaded_timestamp",
     )
-    return conform(out.where(F.col("sku_code").isNotNull()), STG_STOCK_LEVELS)
+    return conform(out.where("sku_code IS NOT NULL"), STG_STOCK_LEVELS)

@@ -8,22 +8,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retail_lake.functions.rules import (
-    daily_sales_rate, days_of_inventory, inventory_action, revenue_tier, suggested_reorder,
+    daily_sales_rate, days_of_inventory, inventory_action, revenue_tier, safe_ratio,
+    share_of_total, suggested_reorder,
 )
-from retail_lake.operators.aggregates import grand_total, safe_ratio, share_of_total
-from retail_lake.operators.ranking import global_rank
+from retail_lake.operators.aggregates import grand_total
+from retail_lake.operators.ranking import global_rank, global_ranks
 from retail_lake.operators.windows import moving_average
 from retail_lake.params import MOVING_AVG_ROWS, RECENT_SALES_DAYS
-from retail_lake.plans.silver import not_cancelled, snapshot_order
+from retail_lake.plans.silver import NOT_CANCELLED, SNAPSHOT_ORDER
 from retail_lake.schemas import (
     INVENTORY_ANALYSIS, SALES_SUMMARY_BY_PRODUCT, SALES_SUMMARY_BY_REGION, conform,
 )
 
 
-def _date(d) -> F.Column:
+def _date(d) -> str:
     if isinstance(d, dt.datetime):
         d = d.date()
-    return F.lit(d.isoformat()).cast("date")
+    return f"DATE '{d.isoformat()}'"
+
+
+def _agg(df: DataFrame, keys: list[str], exprs: list[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.expr(e) for e in exprs])
 
 
 def recent_units(fct_sales: DataFrame, as_of, days: int = RECENT_SALES_DAYS) -> DataFrame:
@@ -32,33 +37,27 @@ def recent_units(fct_sales: DataFrame, as_of, days: int = RECENT_SALES_DAYS) ->
     Grouping before the join keeps the join input at one row per SKU; partial
     aggregation makes a hot SKU cost one row per map task.
     """
-    since = F.date_sub(_date(as_of), days)
-    return (fct_sales.where(F.col("order_date") >= since)
-                     .groupBy("product_sku")
-                     .agg(F.sum("quantity").alias("total_sold_30days")))
+    return _agg(fct_sales.where(f"order_date >= date_sub({_date(as_of)}, {days})"),
+                ["product_sku"], ["sum(quantity) AS total_sold_30days"])
 
 
 def inventory_analysis(fct_inventory: DataFrame, fct_sales: DataFrame, as_of,
                        days: int = RECENT_SALES_DAYS, sort: bool = True) -> DataFrame:
-    inv = moving_average(fct_inventory, "product_sku", snapshot_order(), "stock_change",
+    inv = moving_average(fct_inventory, "product_sku", SNAPSHOT_ORDER, "stock_change",
                          "avg_weekly_stock_change", MOVING_AVG_ROWS)
     sold = recent_units(fct_sales, as_of, days)
-    j = inv.join(sold, "product_sku", "left")
-    units = F.coalesce(F.col("total_sold_30days"), F.lit(0)).cast("bigint")
-    health = j.select(
+    units = "CAST(coalesce(total_sold_30days, 0) AS BIGINT)"
+    health = inv.join(sold, "product_sku", "left").selectExpr(
         "product_sku", "category", "size", "color", "stock_quantity", "stock_status",
-        "reorder_suggestion", "snapshot_date",
-        units.alias("units_sold_30days"),
-        daily_sales_rate(units, days).alias("daily_sales_rate"),
-        days_of_inventory(F.col("stock_quantity"), units, days).alias("days_of_inventory"),
-        "avg_weekly_stock_change",
-    )
-    final = (health
-             .withColumn("inventory_action_required", inventory_action(F.col("days_of_inventory")))
-             .withColumn("suggested_reorder_quantity",
-                         suggested_reorder(F.col("days_of_inventory"), F.col("daily_sales_rate"),
-                                           F.col("stock_quantity"), days))
-             .where((F.col("stock_quantity") > 0) | (F.col("units_sold_30days") > 0)))
+        "reorder_suggestion", "snapshot_date", f"{units} AS units_sold_30days",
+        f"{daily_sales_rate(units, days)} AS daily_sales_rate",
+        f"{days_of_inventory('stock_quantity', units, days)} AS days_of_inventory",
+        "avg_weekly_stock_change")
+    final = health.selectExpr(
+        "*", f"{inventory_action('days_of_inventory')} AS inventory_action_required",
+        f"{suggested_reorder('days_of_inventory', 'daily_sales_rate', 'stock_quantity', days)}"
+        " AS suggested_reorder_quantity",
+    ).where("stock_quantity > 0 OR units_sold_30days > 0")
     out = conform(final, INVENTORY_ANALYSIS)
     return out.orderBy(F.col("days_of_inventory").asc_nulls_last()) if sort else out
 
@@ -69,56 +68,53 @@ REGION_KEYS = ["ship_state", "ship_city", "ship_country", "sales_channel"]
 
 def product_sales(fct_sales: DataFrame) -> DataFrame:
     """Per product x channel KPIs; two COUNT(DISTINCT) in one aggregate."""
-    g = not_cancelled(fct_sales).groupBy(*PRODUCT_KEYS).agg(
-        F.count_distinct("sales_id").alias("total_transactions"),
-        F.sum("quantity").alias("total_units_sold"),
-        F.sum("gross_revenue_inr").alias("_revenue"),
-        F.avg("unit_price").alias("avg_selling_price"),
-        F.count_distinct("order_year_month").alias("active_months"),
-        F.min("order_date").alias("first_sale_date"),
-        F.max("order_date").alias("last_sale_date"),
-    )
-    return g.select(
-        *PRODUCT_KEYS, "total_transactions", F.col("total_units_sold").cast("bigint").alias("total_units_sold"),
-        F.col("_revenue").cast("double").alias("total_revenue_inr"), "avg_selling_price",
-        "active_months", "first_sale_date", "last_sale_date",
-        safe_ratio(F.col("_revenue"), F.col("total_transactions")).alias("avg_order_value"))
+    g = _agg(fct_sales.where(NOT_CANCELLED), PRODUCT_KEYS, [
+        "count(DISTINCT sales_id) AS total_transactions",
+        "sum(quantity) AS total_units_sold",
+        "sum(gross_revenue_inr) AS _revenue",
+        "avg(unit_price) AS avg_selling_price",
+        "count(DISTINCT order_year_month) AS active_months",
+        "min(order_date) AS first_sale_date",
+        "max(order_date) AS last_sale_date",
+    ])
+    return g.selectExpr(
+        *PRODUCT_KEYS, "total_transactions", "CAST(total_units_sold AS BIGINT) AS total_units_sold",
+        "CAST(_revenue AS DOUBLE) AS total_revenue_inr", "avg_selling_price", "active_months",
+        "first_sale_date", "last_sale_date",
+        f"{safe_ratio('_revenue', 'total_transactions')} AS avg_order_value")
 
 
 def sales_summary_by_product(fct_sales: DataFrame, sort: bool = True) -> DataFrame:
-    ps = product_sales(fct_sales)
-    ranked = global_rank(ps, "total_revenue_inr", "revenue_rank")
-    ranked = global_rank(ranked, "total_units_sold", "volume_rank")
-    out = conform(ranked.withColumn("revenue_tier", revenue_tier(F.col("total_revenue_inr"))),
+    ranked = global_ranks(product_sales(fct_sales),
+                          {"revenue_rank": "total_revenue_inr", "volume_rank": "total_units_sold"})
+    out = conform(ranked.selectExpr("*", f"{revenue_tier('total_revenue_inr')} AS revenue_tier"),
                   SALES_SUMMARY_BY_PRODUCT)
     return out.orderBy(F.col("total_revenue_inr").desc_nulls_last()) if sort else out
 
 
 def regional_sales(fct_sales: DataFrame) -> DataFrame:
-    rev = F.col("gross_revenue_inr")
-    s = not_cancelled(fct_sales).where(F.col("ship_state").isNotNull())
-    g = s.groupBy(*REGION_KEYS).agg(
-        F.count_distinct("sales_id").alias("total_orders"),
-        F.sum("quantity").alias("total_units"),
-        F.sum(rev).alias("_revenue"),
-        F.avg("unit_price").alias("avg_price"),
-        F.sum(F.when(F.col("is_b2b"), rev).otherwise(F.lit(0))).alias("_b2b"),
-        F.sum(F.when(~F.col("is_b2b"), rev).otherwise(F.lit(0))).alias("_b2c"),
-    )
-    return g.select(
-        *REGION_KEYS, "total_orders", F.col("total_units").cast("bigint").alias("total_units"),
-        F.col("_revenue").cast("double").alias("total_revenue_inr"), "avg_price",
-        F.col("_b2b").cast("double").alias("b2b_revenue"),
-        F.col("_b2c").cast("double").alias("b2c_revenue"),
-        F.round(safe_ratio(F.lit(100.0) * F.col("_b2b").cast("double"), F.col("_revenue").cast("double")), 2)
-         .alias("b2b_percentage"),
-        F.col("_revenue"))
+    g = _agg(fct_sales.where(f"{NOT_CANCELLED} AND ship_state IS NOT NULL"), REGION_KEYS, [
+        "count(DISTINCT sales_id) AS total_orders",
+        "sum(quantity) AS total_units",
+        "sum(gross_revenue_inr) AS _revenue",
+        "avg(unit_price) AS avg_price",
+        "sum(CASE WHEN is_b2b THEN gross_revenue_inr ELSE 0 END) AS _b2b",
+        "sum(CASE WHEN NOT is_b2b THEN gross_revenue_inr ELSE 0 END) AS _b2c",
+    ])
+    return g.selectExpr(
+        *REGION_KEYS, "total_orders", "CAST(total_units AS BIGINT) AS total_units",
+        "CAST(_revenue AS DOUBLE) AS total_revenue_inr", "avg_price",
+        "CAST(_b2b AS DOUBLE) AS b2b_revenue", "CAST(_b2c AS DOUBLE) AS b2c_revenue",
+        "round(" + safe_ratio("100.0D * CAST(_b2b AS DOUBLE)", "CAST(_revenue AS DOUBLE)") + ", 2) AS b2b_percentage",
+        "_revenue")
 
 
 def sales_summary_by_region(fct_sales: DataFrame, sort: bool = True) -> DataFrame:
     r = regional_sales(fct_sales)
     total = grand_total(r, "_revenue")
-    shared = r.withColumn("revenue_share_percentage", share_of_total(F.col("_revenue"), total))
+    shared = r.withColumn("revenue_share_percentage",
+                          F.round(F.try_divide(F.lit(100.0) * F.col("_revenue").cast("double"),
+                                               total.cast("double")), 2))
     ranked = global_rank(shared, "total_revenue_inr", "state_rank")
     out = conform(ranked, SALES_SUMMARY_BY_REGION)
     return out.orderBy(F.col("total_revenue_inr").desc_nulls_last()) if sort else out

@@ -7,57 +7,47 @@ from pyspark.sql import functions as F
 
 from retail_lake.functions.cleaning import UNKNOWN
 from retail_lake.functions.rules import (
-    product_category, reorder_suggestion, stock_status, to_inr,
+    product_category, reorder_suggestion, safe_ratio, stock_status, to_inr,
 )
-from retail_lake.operators.aggregates import safe_ratio
 from retail_lake.operators.setops import disjoint_outer_union, union_all
 from retail_lake.operators.windows import lag_delta
 from retail_lake.plans.bronze import load_time
-from retail_lake.schemas import (
-    DIM_CUSTOMERS, DIM_PRODUCTS, FCT_INVENTORY, FCT_SALES, MONEY_INR, conform,
-)
+from retail_lake.schemas import DIM_CUSTOMERS, DIM_PRODUCTS, FCT_INVENTORY, FCT_SALES, conform
 
+# Fixed values of the models.
 CANCELLED = "Cancelled"
 AMAZON, INTERNATIONAL = "AMAZON", "INTERNATIONAL"
 INTERNATIONAL_COUNTRY = "International"
 INTERNATIONAL_STATUS = "Completed"
 INTERNATIONAL_CURRENCY = "USD"
 
-
-def _null(type_name: str = "string"):
-    return F.lit(None).cast(type_name)
+NULL_STR = "CAST(NULL AS STRING)"
+NOT_CANCELLED = f"order_status NOT IN ('{CANCELLED}')"
 
 
 def not_cancelled(df: DataFrame) -> DataFrame:
     """order_status NOT IN ('Cancelled'): exact case; a NULL status is dropped too."""
-    return df.where(~F.col("order_status").isin(CANCELLED))
+    return df.where(NOT_CANCELLED)
 
 
 # ---------------------------------------------------------------- M4 customers
 def customer_sides(stg_amazon: DataFrame, stg_intl: DataFrame) -> DataFrame:
     """Both DISTINCT customer CTEs stacked as an outer union (ac_* / ic_* columns)."""
-    ac = stg_amazon.select(
-        F.lit(AMAZON).alias("ac_source_system"),
-        F.col("order_id").alias("ac_transaction_id"),
-        F.col("ship_city").alias("ac_city"),
-        F.col("ship_state").alias("ac_state"),
-        F.col("ship_country").alias("ac_country"),
-        F.col("is_b2b").alias("ac_is_business_customer"),
+    ac = stg_amazon.selectExpr(
+        f"'{AMAZON}' AS ac_source_system", "order_id AS ac_transaction_id", "ship_city AS ac_city",
+        "ship_state AS ac_state", "ship_country AS ac_country", "is_b2b AS ac_is_business_customer",
     ).distinct()
-    ic = stg_intl.select(
-        F.lit(INTERNATIONAL).alias("ic_source_system"),
-        F.col("customer_name").alias("ic_customer_name"),
-        _null().alias("ic_city"),
-        _null().alias("ic_state"),
-        F.lit(INTERNATIONAL_COUNTRY).alias("ic_country"),
-        F.lit(False).alias("ic_is_business_customer"),
+    ic = stg_intl.selectExpr(
+        f"'{INTERNATIONAL}' AS ic_source_system", "customer_name AS ic_customer_name",
+        f"{NULL_STR} AS ic_city", f"{NULL_STR} AS ic_state",
+        f"'{INTERNATIONAL_COUNTRY}' AS ic_country", "false AS ic_is_business_customer",
     ).distinct()
     return disjoint_outer_union(ac, ic)
 
 
-def customer_key(order_id, customer_name):
+def customer_key(order_id: str, customer_name: str) -> str:
     """MD5 of COALESCE(order,'') || COALESCE(name,''), lower-case hex."""
-    return F.md5(F.concat(F.coalesce(order_id, F.lit("")), F.coalesce(customer_name, F.lit(""))))
+    return f"md5(concat(coalesce({order_id}, ''), coalesce({customer_name}, '')))"
 
 
 def dim_customers(stg_amazon: DataFrame, stg_intl: DataFrame, resolved: bool = False) -> DataFrame:
@@ -68,22 +58,18 @@ def dim_customers(stg_amazon: DataFrame, stg_intl: DataFrame, resolved: bool = F
     side. ``resolved=True`` takes each attribute from whichever side the row
     came from.
     """
-    u = customer_sides(stg_amazon, stg_intl)
-    if resolved:
-        country = F.coalesce("ac_country", "ic_country")
-        b2b = F.coalesce("ac_is_business_customer", "ic_is_business_customer")
-        source = F.coalesce("ac_source_system", "ic_source_system")
-        city = F.coalesce("ac_city", "ic_city")
-        state = F.coalesce("ac_state", "ic_state")
-    else:
-        country, b2b, source = F.col("ac_country"), F.col("ac_is_business_customer"), F.col("ic_source_system")
-        city, state = F.col("ac_city"), F.col("ac_state")
-    out = u.select(
-        customer_key(F.col("ac_transaction_id"), F.col("ic_customer_name")).alias("customer_id"),
-        F.col("ic_customer_name").alias("customer_name"),
-        F.col("ac_transaction_id").alias("amazon_order_id"),
-        city.alias("city"), state.alias("state"), country.alias("country"),
-        b2b.alias("is_business_customer"), source.alias("source_system"),
+    def pick(attr: str) -> str:
+        return f"coalesce(ac_{attr}, ic_{attr})" if resolved else None
+
+    out = customer_sides(stg_amazon, stg_intl).selectExpr(
+        f"{customer_key('ac_transaction_id', 'ic_customer_name')} AS customer_id",
+        "ic_customer_name AS customer_name",
+        "ac_transaction_id AS amazon_order_id",
+        f"{pick('city') or 'ac_city'} AS city",
+        f"{pick('state') or 'ac_state'} AS state",
+        f"{pick('country') or 'ac_country'} AS country",
+        f"{pick('is_business_customer') or 'ac_is_business_customer'} AS is_business_customer",
+        f"{pick('source_system') or 'ic_source_system'} AS source_system",
     )
     return conform(out, DIM_CUSTOMERS)
 
@@ -97,50 +83,48 @@ def dim_products(stg_stock: DataFrame, stg_amazon: DataFrame, stg_intl: DataFram
     stock.sku`` then DISTINCT. Because the second condition uses only the stock
     key, marketplace-only and international-only rows of one SKU never merge.
 
-    The pair fan-out of that many-to-many join is never built. Per stock row
+    The pair fan-out of that many-to-many join is never built. For a stock row
     the marketplace side only decides whether a prefix rule can fire (its SKU
-    equals the stock SKU), so it enters as a semi-join flag; the international
+    equals the stock SKU) and its size is shadowed by the stock size (never
+    NULL after bronze), so it enters as a semi-join flag; the international
     side contributes its distinct styles. Unmatched marketplace and
     international rows come from anti-joins. The final DISTINCT gives the same
     rows as the reference (checked against the literal SQL).
     """
-    ts = load_time(load_ts)
     s = stg_stock.select("sku_code", "design_number", "size", "color", "category")
-    a = stg_amazon.where(F.col("sku") != UNKNOWN).select("sku", "category", "size").distinct()
-    i = stg_intl.where(F.col("sku") != UNKNOWN).select("sku", "style", "size").distinct()
-    stock_keys = s.select(F.col("sku_code").alias("k")).distinct()
-
-    a_keys = a.select(F.col("sku").alias("a_sku")).distinct()
-    i_styles = i.select(F.col("sku").alias("i_sku"), F.col("style").alias("i_style")).distinct()
-    stocked = (s.join(a_keys, s.sku_code == a_keys.a_sku, "left")
-                .join(i_styles, s.sku_code == i_styles.i_sku, "left")
-                .select(
-                    F.col("sku_code").alias("product_sku"),
-                    F.col("design_number"),
-                    product_category(F.col("sku_code"), F.col("a_sku"), F.col("i_style")).alias("product_category"),
-                    F.col("i_style").alias("style"),
-                    F.coalesce(F.col("size"), F.lit(UNKNOWN)).alias("size"),
-                    F.col("color"),
-                    F.col("category").alias("stock_category")))
-
-    a_only = (a.join(stock_keys, a.sku == stock_keys.k, "left_anti")
-               .select(F.col("sku").alias("product_sku"), _null().alias("design_number"),
-                       product_category(_null(), F.col("sku"), _null()).alias("product_category"),
-                       _null().alias("style"),
-                       F.coalesce(F.col("size"), F.lit(UNKNOWN)).alias("size"),
-                       _null().alias("color"), _null().alias("stock_category")))
-    i_only = (i.join(stock_keys, i.sku == stock_keys.k, "left_anti")
-               .select(F.col("sku").alias("product_sku"), _null().alias("design_number"),
-                       product_category(_null(), _null(), F.col("style")).alias("product_category"),
-                       F.col("style"),
-                       F.coalesce(F.col("size"), F.lit(UNKNOWN)).alias("size"),
-                       _null().alias("color"), _null().alias("stock_category")))
+    a = stg_amazon.where(f"sku != '{UNKNOWN}'").select("sku", "category", "size").distinct()
+    i = stg_intl.where(f"sku != '{UNKNOWN}'").select("sku", "style", "size").distinct()
+    stock_keys = s.selectExpr("sku_code AS k").distinct()
+    a_keys = a.selectExpr("sku AS a_sku").distinct()
+    i_styles = i.selectExpr("sku AS i_sku", "style AS i_style").distinct()
+
+    stocked = (s.join(a_keys, F.expr("sku_code = a_sku"), "left")
+                .join(i_styles, F.expr("sku_code = i_sku"), "left")
+                .selectExpr(
+                    "sku_code AS product_sku", "design_number",
+                    f"{product_category('sku_code', 'a_sku', 'i_style')} AS product_category",
+                    "i_style AS style", f"coalesce(size, '{UNKNOWN}') AS size", "color",
+                    "category AS stock_category"))
+    a_only = (a.join(stock_keys, F.expr("sku = k"), "left_anti")
+               .selectExpr("sku AS product_sku", f"{NULL_STR} AS design_number",
+                           f"{product_category(NULL_STR, 'sku', NULL_STR)} AS product_category",
+                           f"{NULL_STR} AS style", f"coalesce(size, '{UNKNOWN}') AS size",
+                           f"{NULL_STR} AS color", f"{NULL_STR} AS stock_category"))
+    i_only = (i.join(stock_keys, F.expr("sku = k"), "left_anti")
+               .selectExpr("sku AS product_sku", f"{NULL_STR} AS design_number",
+                           f"{product_category(NULL_STR, NULL_STR, 'style')} AS product_category",
+                           "style", f"coalesce(size, '{UNKNOWN}') AS size",
+                           f"{NULL_STR} AS color", f"{NULL_STR} AS stock_category"))
 
     products = union_all(stocked, a_only, i_only).distinct()
     if one_row_per_sku:
         products = one_row_per_key(products)
-    return conform(products.where(F.col("product_sku").isNotNull()).withColumn("updated_timestamp", ts),
-                   DIM_PRODUCTS)
+    return conform(products.where("product_sku IS NOT NULL")
+                           .selectExpr("*", f"{load_time(load_ts)} AS updated_timestamp"), DIM_PRODUCTS)
+
+
+PRODUCT_ATTRS = ["design_number", "product_category", "style", "size", "color", "stock_category"]
+PICK_ORDER = ["product_category", "style", "size", "color", "design_number", "stock_category"]
 
 
 def one_row_per_key(products: DataFrame) -> DataFrame:
@@ -150,49 +134,41 @@ def one_row_per_key(products: DataFrame) -> DataFrame:
     A grouped min uses partial aggregation, so even a SKU with very many
     attribute combinations is reduced map-side before the shuffle.
     """
-    cols = ["design_number", "product_category", "style", "size", "color", "stock_category"]
-    order = [F.col("stock_category").isNull().alias("o0")]
-    for i, c in enumerate(["product_category", "style", "size", "color", "design_number", "stock_category"]):
-        order += [F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}")]
-    best = products.groupBy("product_sku").agg(
-        F.min(F.struct(*order, F.struct(*cols).alias("row"))).alias("best"))
-    return best.select("product_sku", *[F.col(f"best.row.{c}").alias(c) for c in cols])
+    order = ", ".join(["stock_category IS NULL"] + [f"{c} IS NULL, {c}" for c in PICK_ORDER])
+    payload = ", ".join(PRODUCT_ATTRS)
+    best = products.groupBy("product_sku").agg(F.expr(f"min(struct({order}, struct({payload}) AS row)) AS best"))
+    return best.selectExpr("product_sku", *[f"best.row.{c} AS {c}" for c in PRODUCT_ATTRS])
 
 
 # ------------------------------------------------------------- M6 inventory
-SNAPSHOT_ORDER = ["snapshot_date", "stock_quantity", "size", "color", "category"]
-
-
-def snapshot_order():
-    """Deterministic order inside a SKU: time first, then the row's own values."""
-    return [F.col(c).asc_nulls_last() for c in SNAPSHOT_ORDER]
+# Deterministic order inside a SKU: time first, then the row's own values.
+SNAPSHOT_ORDER = ("snapshot_date ASC NULLS LAST, stock_quantity ASC NULLS LAST, size ASC NULLS LAST, "
+                  "color ASC NULLS LAST, category ASC NULLS LAST")
 
 
 def fct_inventory(stg_stock_history: DataFrame) -> DataFrame:
-    snaps = stg_stock_history.select(
-        F.col("sku_code").alias("product_sku"), "stock_quantity", "category", "size", "color",
-        F.col("loaded_timestamp").alias("snapshot_date"))
-    with_prev = lag_delta(snaps, "product_sku", snapshot_order(), "stock_quantity",
+    snaps = stg_stock_history.selectExpr(
+        "sku_code AS product_sku", "stock_quantity", "category", "size", "color",
+        "loaded_timestamp AS snapshot_date")
+    with_prev = lag_delta(snaps, "product_sku", SNAPSHOT_ORDER, "stock_quantity",
                           "previous_stock_quantity", "stock_change")
-    out = with_prev.withColumn("stock_status", stock_status(F.col("stock_quantity"))) \
-                   .withColumn("reorder_suggestion", reorder_suggestion(F.col("stock_quantity")))
+    out = with_prev.selectExpr("*", f"{stock_status('stock_quantity')} AS stock_status",
+                               f"{reorder_suggestion('stock_quantity')} AS reorder_suggestion")
     return conform(out, FCT_INVENTORY)
 
 
 # ----------------------------------------------------------------- M7 sales
 def sales_channels(stg_amazon: DataFrame, stg_intl: DataFrame) -> DataFrame:
     """Both channels in one 12-column shape (UNION ALL)."""
-    amazon = not_cancelled(stg_amazon).select(
-        F.col("order_id").alias("sales_id"), "order_date", "order_status", "sku", "quantity",
-        "amount", "currency", "ship_city", "ship_state", "ship_country", "is_b2b",
-        F.lit(AMAZON).alias("sales_channel"))
-    intl = stg_intl.select(
-        F.col("transaction_id").alias("sales_id"), "order_date",
-        F.lit(INTERNATIONAL_STATUS).alias("order_status"), "sku", "quantity",
-        F.col("gross_amount").alias("amount"), F.lit(INTERNATIONAL_CURRENCY).alias("currency"),
-        _null().alias("ship_city"), _null().alias("ship_state"),
-        F.lit(INTERNATIONAL_COUNTRY).alias("ship_country"), F.lit(False).alias("is_b2b"),
-        F.lit(INTERNATIONAL).alias("sales_channel"))
+    amazon = not_cancelled(stg_amazon).selectExpr(
+        "order_id AS sales_id", "order_date", "order_status", "sku", "quantity", "amount", "currency",
+        "ship_city", "ship_state", "ship_country", "is_b2b", f"'{AMAZON}' AS sales_channel")
+    intl = stg_intl.selectExpr(
+        "transaction_id AS sales_id", "order_date", f"'{INTERNATIONAL_STATUS}' AS order_status", "sku",
+        "quantity", "gross_amount AS amount", f"'{INTERNATIONAL_CURRENCY}' AS currency",
+        f"{NULL_STR} AS ship_city", f"{NULL_STR} AS ship_state",
+        f"'{INTERNATIONAL_COUNTRY}' AS ship_country", "false AS is_b2b",
+        f"'{INTERNATIONAL}' AS sales_channel")
     return union_all(amazon, intl)
 
 
@@ -206,19 +182,16 @@ def fct_sales(stg_amazon: DataFrame, stg_intl: DataFrame, products: DataFrame,
     join is a plain equi-join: AQE broadcasts the dimension when its runtime
     size allows and otherwise sort-merges, splitting hot SKUs.
     """
-    s = sales_channels(stg_amazon, stg_intl).where(F.col("sales_id").isNotNull())
-    p = products.select("product_sku", "product_category", F.col("size").alias("p_size"), "color")
-    j = s.join(p, s.sku == p.product_sku, "left")
-    amount = F.col("amount")
-    out = j.select(
+    s = sales_channels(stg_amazon, stg_intl).where("sales_id IS NOT NULL")
+    p = products.selectExpr("product_sku", "product_category", "size AS p_size", "color")
+    out = s.join(p, F.expr("sku = product_sku"), "left").selectExpr(
         "sales_id", "order_date", "order_status", "product_sku", "product_category",
-        F.col("p_size").alias("size"), "color", "quantity", "amount",
-        safe_ratio(amount, F.col("quantity")).alias("unit_price"),
+        "p_size AS size", "color", "quantity", "amount",
+        f"{safe_ratio('amount', 'quantity')} AS unit_price",
         "currency", "ship_city", "ship_state", "ship_country", "is_b2b", "sales_channel",
-        amount.alias("gross_revenue"),
-        to_inr(amount, F.col("currency"), usd_inr).cast(MONEY_INR).alias("gross_revenue_inr"),
-        F.year("order_date").alias("order_year"),
-        F.month("order_date").alias("order_month"),
-        F.date_format("order_date", "yyyy-MM").alias("order_year_month"),
+        "amount AS gross_revenue",
+        f"{to_inr('amount', 'currency', usd_inr)} AS gross_revenue_inr",
+        "year(order_date) AS order_year", "month(order_date) AS order_month",
+        "date_format(order_date, 'yyyy-MM') AS order_year_month",
     )
     return conform(out, FCT_SALES)

@@ -19,6 +19,23 @@ def _s(*fields):
     return StructType([StructField(n, t, True) for n, t in fields])
 
 
+# Driver star-schema tables read by the fixture mapping (declared, never inferred).
+STAR_SCHEMAS = {
+    "lineitem": _s(("l_orderkey", LongType()), ("l_partkey", LongType()), ("l_suppkey", LongType()),
+                   ("l_linenumber", IntegerType()), ("l_quantity", DoubleType()),
+                   ("l_extendedprice", DoubleType()), ("l_discount", DoubleType()), ("l_tax", DoubleType()),
+                   ("l_returnflag", StringType()), ("l_linestatus", StringType()),
+                   ("l_shipdate", TimestampNTZType())),
+    "orders": _s(("o_orderkey", LongType()), ("o_custkey", LongType()), ("o_orderstatus", StringType()),
+                 ("o_totalprice", DoubleType()), ("o_orderdate", TimestampNTZType()),
+                 ("o_orderpriority", StringType())),
+    "part": _s(("p_partkey", LongType()), ("p_name", StringType()), ("p_brand", StringType()),
+               ("p_type", StringType()), ("p_size", IntegerType()), ("p_retailprice", DoubleType())),
+    "customer": _s(("c_custkey", LongType()), ("c_name", StringType()), ("c_nationkey", IntegerType()),
+                   ("c_acctbal", DoubleType()), ("c_mktsegment", StringType())),
+    "nation": _s(("n_nationkey", IntegerType()), ("n_name", StringType()), ("n_regionkey", IntegerType())),
+}
+
 RAW_AMAZON_SALES = _s(
     ("Order ID", StringType()), ("Date", StringType()), ("Status", StringType()),
     ("Fulfilment", StringType()), ("Sales Channel ", StringType()), ("SKU", StringType()),
@@ -145,5 +162,6 @@ MODEL_SCHEMAS = {
 
 def conform(df, schema: StructType):
     """Select the contract columns in contract order, cast to contract types."""
-    from pyspark.sql import functions as F
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    from retail_lake.functions.sql import q
+    return df.selectExpr(*[f"CAST({q(f.name)} AS {f.dataType.simpleString()}) AS {q(f.name)}"
+                           for f in schema.fields])

@@ -9,17 +9,18 @@ see identical input. Rows "missing" from a channel carry a NULL key and are
 removed by the bronze model's own required-key filter, so the whole input is
 always read.
 
-The mapping is mirrored in SQL by ``retail_lake.oracle.FIXTURE_SQL``.
+The mapping is mirrored, written independently, in ``retail_lake.oracle``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_lake.schemas import MONEY
+from retail_lake.functions.sql import case, s
+from retail_lake.schemas import STAR_SCHEMAS
 
-STAR_TABLES = ("lineitem", "orders", "part", "customer", "nation")
+STAR_TABLES = tuple(STAR_SCHEMAS)
 
 # Fixed values of the fixture mapping (see FIXTURES.md).
 SKU_PREFIXES = ["AN", "SET", "JNE", "MEN", "J", "BTM"]        # by p_partkey % 6
@@ -31,32 +32,29 @@ SNAPSHOT_DAYS = 8                                              # stock history 2
 
 
 def read_star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Parquet scan with the declared schema: no schema-inference job, and
+    Catalyst still prunes columns and pushes filters into the reader."""
+    return spark.read.schema(STAR_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(values, idx: Column) -> Column:
-    out = None
-    for i, v in enumerate(values):
-        lit = F.lit(v).cast("string")
-        out = F.when(idx == i, lit) if out is None else out.when(idx == i, lit)
-    return out
+def _pick(values, idx: str) -> str:
+    return case([(f"{idx} = {i}", s(v)) for i, v in enumerate(values)], "CAST(NULL AS STRING)")
 
 
-def _sku(pk: Column) -> Column:
-    return F.concat(_pick(SKU_PREFIXES, pk % 6), F.lpad(pk.cast("string"), 6, "0"))
+SKU = f"concat({_pick(SKU_PREFIXES, 'p_partkey % 6')}, lpad(CAST(p_partkey AS STRING), 6, '0'))"
+SIZE = _pick(LINE_SIZES, "l_linenumber % 3")
+QTY = ("CASE WHEN l_orderkey % 17 = 0 THEN -1 WHEN l_orderkey % 19 = 0 THEN CAST(NULL AS INT) "
+       "ELSE CAST(l_quantity AS INT) END")
+DMY = "date_format(o_orderdate, 'dd-MM-yy')"
+MONEY = "DECIMAL(18,2)"
 
 
-def _qty(orderkey: Column, quantity: Column) -> Column:
-    return (F.when(orderkey % 17 == 0, F.lit(-1))
-             .when(orderkey % 19 == 0, F.lit(None).cast("int"))
-             .otherwise(quantity.cast("int")))
-
-
-def _base(spark: SparkSession, sf_dir: str, line_filter: Column) -> DataFrame:
+def _base(spark: SparkSession, sf_dir: str, line_filter: str) -> DataFrame:
     """lineitem x orders x part x customer x nation, only the columns used.
 
     The equi-joins are left to Catalyst/AQE: sort-merge on the big keys,
     broadcast where the runtime size is under the threshold (nation always).
+    The line filter reaches the lineitem scan as a pushed filter.
     """
     li = read_star(spark, sf_dir, "lineitem").where(line_filter).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
@@ -64,72 +62,63 @@ def _base(spark: SparkSession, sf_dir: str, line_filter: Column) -> DataFrame:
     p = read_star(spark, sf_dir, "part").select("p_partkey", "p_type")
     c = read_star(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = read_star(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return (li.join(o, li.l_orderkey == o.o_orderkey)
-              .join(p, li.l_partkey == p.p_partkey)
-              .join(c, o.o_custkey == c.c_custkey)
-              .join(n, c.c_nationkey == n.n_nationkey))
+    return (li.join(o, F.expr("l_orderkey = o_orderkey"))
+              .join(p, F.expr("l_partkey = p_partkey"))
+              .join(c, F.expr("o_custkey = c_custkey"))
+              .join(n, F.expr("c_nationkey = n_nationkey")))
 
 
 def raw_amazon_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = _base(spark, sf_dir, F.col("l_linenumber") <= MARKETPLACE_MAX_LINE)
-    ok, pk = F.col("l_orderkey"), F.col("p_partkey")
-    qty_int = F.col("l_quantity").cast("int")
-    return b.select(
-        F.when(ok % 997 == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit(" ORD-"), ok.cast("string"), F.lit(" "))).alias("Order ID"),
-        F.date_format("o_orderdate", "dd-MM-yy").alias("Date"),
-        F.when(ok % 11 == 0, F.lit("Cancelled")).when(ok % 13 == 0, F.lit(None).cast("string"))
-         .otherwise(F.lit(" Shipped ")).alias("Status"),
-        F.when(F.col("l_suppkey") % 2 == 0, F.lit(" Amazon")).otherwise(F.lit("Merchant ")).alias("Fulfilment"),
-        F.lit("Amazon.in ").alias("Sales Channel "),
-        F.when((ok + pk) % 101 == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit(" "), _sku(pk))).alias("SKU"),
-        F.col("p_type").alias("Category"),
-        _pick(LINE_SIZES, F.col("l_linenumber") % 3).alias("Size"),
-        _qty(ok, F.col("l_quantity")).alias("Qty"),
-        F.when(ok % 23 == 0, F.lit(None).cast(MONEY))
-         .otherwise((qty_int * (pk % 400 + 50)).cast(MONEY)).alias("Amount"),
-        F.when(ok % 29 == 0, F.lit(None).cast("string")).otherwise(F.lit("INR")).alias("currency"),
-        F.concat(F.lit("City "), ((F.col("c_custkey") + F.col("l_linenumber") % 2) % 40).cast("string")).alias("ship-city"),
-        F.when(F.col("o_orderkey") % 31 == 0, F.lit(None).cast("string")).otherwise(F.col("n_name")).alias("ship-state"),
-        (F.col("c_custkey") + 100000).cast("string").alias("ship-postal-code"),
-        F.lit("IN ").alias("ship-country"),
-        F.when(F.col("c_mktsegment") == "MACHINERY", F.lit(True))
-         .when(F.col("c_mktsegment") == "FURNITURE", F.lit(None).cast("boolean"))
-         .otherwise(F.lit(False)).alias("B2B"),
+    b = _base(spark, sf_dir, f"l_linenumber <= {MARKETPLACE_MAX_LINE}")
+    return b.selectExpr(
+        "CASE WHEN l_orderkey % 997 = 0 THEN CAST(NULL AS STRING) "
+        "ELSE concat(' ORD-', CAST(l_orderkey AS STRING), ' ') END AS `Order ID`",
+        f"{DMY} AS `Date`",
+        "CASE WHEN l_orderkey % 11 = 0 THEN 'Cancelled' WHEN l_orderkey % 13 = 0 THEN CAST(NULL AS STRING) "
+        "ELSE ' Shipped ' END AS `Status`",
+        "CASE WHEN l_suppkey % 2 = 0 THEN ' Amazon' ELSE 'Merchant ' END AS `Fulfilment`",
+        "'Amazon.in ' AS `Sales Channel `",
+        f"CASE WHEN (l_orderkey + l_partkey) % 101 = 0 THEN CAST(NULL AS STRING) ELSE concat(' ', {SKU}) END AS `SKU`",
+        "p_type AS `Category`",
+        f"{SIZE} AS `Size`",
+        f"{QTY} AS `Qty`",
+        f"CASE WHEN l_orderkey % 23 = 0 THEN CAST(NULL AS {MONEY}) "
+        f"ELSE CAST(CAST(l_quantity AS INT) * (50 + p_partkey % 400) AS {MONEY}) END AS `Amount`",
+        "CASE WHEN l_orderkey % 29 = 0 THEN CAST(NULL AS STRING) ELSE 'INR' END AS `currency`",
+        "concat('City ', CAST((c_custkey + l_linenumber % 2) % 40 AS STRING)) AS `ship-city`",
+        "CASE WHEN o_orderkey % 31 = 0 THEN CAST(NULL AS STRING) ELSE n_name END AS `ship-state`",
+        "CAST(100000 + c_custkey AS STRING) AS `ship-postal-code`",
+        "'IN ' AS `ship-country`",
+        "CASE WHEN c_mktsegment = 'MACHINERY' THEN true WHEN c_mktsegment = 'FURNITURE' THEN CAST(NULL AS BOOLEAN) "
+        "ELSE false END AS `B2B`",
     )
 
 
 def raw_international_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = _base(spark, sf_dir, F.col("l_linenumber") > MARKETPLACE_MAX_LINE)
-    ok, pk = F.col("l_orderkey"), F.col("p_partkey")
-    dmy = F.date_format("o_orderdate", "dd-MM-yy")
-    qty_int = F.col("l_quantity").cast("int")
-    return b.select(
-        F.when(F.col("c_custkey") % 37 == 0, F.lit(None).cast("string")).otherwise(F.col("c_name")).alias("CUSTOMER"),
-        F.when(pk % 10 == 9, F.lit(None).cast("string")).otherwise(F.concat(_sku(pk), F.lit(" "))).alias("SKU"),
-        dmy.alias("DATE"),
-        F.substring(dmy, 4, 5).alias("Months"),
-        F.concat(_pick(STYLE_PREFIXES, pk % 3), (pk % 50).cast("string")).alias("Style"),
-        _pick(LINE_SIZES, F.col("l_linenumber") % 3).alias("Size"),
-        _qty(ok, F.col("l_quantity")).alias("PCS"),
-        (pk % 9 + 1).cast(MONEY).alias("RATE"),
-        F.when(ok % 23 == 0, F.lit(None).cast(MONEY))
-         .otherwise((qty_int * (pk % 9 + 1)).cast(MONEY)).alias("GROSS AMT"),
+    b = _base(spark, sf_dir, f"l_linenumber > {MARKETPLACE_MAX_LINE}")
+    return b.selectExpr(
+        "CASE WHEN c_custkey % 37 = 0 THEN CAST(NULL AS STRING) ELSE c_name END AS `CUSTOMER`",
+        f"CASE WHEN p_partkey % 10 = 9 THEN CAST(NULL AS STRING) ELSE concat({SKU}, ' ') END AS `SKU`",
+        f"{DMY} AS `DATE`",
+        f"substr({DMY}, 4, 5) AS `Months`",
+        f"concat({_pick(STYLE_PREFIXES, 'p_partkey % 3')}, CAST(p_partkey % 50 AS STRING)) AS `Style`",
+        f"{SIZE} AS `Size`",
+        f"{QTY} AS `PCS`",
+        f"CAST(1 + p_partkey % 9 AS {MONEY}) AS `RATE`",
+        f"CASE WHEN l_orderkey % 23 = 0 THEN CAST(NULL AS {MONEY}) "
+        f"ELSE CAST(CAST(l_quantity AS INT) * (1 + p_partkey % 9) AS {MONEY}) END AS `GROSS AMT`",
     )
 
 
 def raw_stock_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read_star(spark, sf_dir, "part")
-    pk = F.col("p_partkey")
-    return p.select(
-        F.when(pk % 10 >= 7, F.lit(None).cast("string")).otherwise(F.concat(_sku(pk), F.lit(" "))).alias("SKU Code"),
-        F.concat(F.lit(" "), F.col("p_brand")).alias("Design No."),
-        F.when(pk % 41 == 0, F.lit(None).cast("int")).when(pk % 43 == 0, F.lit(-3))
-         .otherwise(((pk * 7) % 80).cast("int")).alias("Stock"),
-        F.when(pk % 47 == 0, F.lit(None).cast("string")).otherwise(F.col("p_type")).alias("Category"),
-        _pick(STOCK_SIZES, F.col("p_size") % 4).alias("Size"),
-        F.split(F.col("p_name"), " ").getItem(0).alias("Color"),
+    return read_star(spark, sf_dir, "part").selectExpr(
+        f"CASE WHEN p_partkey % 10 >= 7 THEN CAST(NULL AS STRING) ELSE concat({SKU}, ' ') END AS `SKU Code`",
+        "concat(' ', p_brand) AS `Design No.`",
+        "CASE WHEN p_partkey % 41 = 0 THEN CAST(NULL AS INT) WHEN p_partkey % 43 = 0 THEN -3 "
+        "ELSE CAST((p_partkey * 7) % 80 AS INT) END AS `Stock`",
+        "CASE WHEN p_partkey % 47 = 0 THEN CAST(NULL AS STRING) ELSE p_type END AS `Category`",
+        f"{_pick(STOCK_SIZES, 'p_size % 4')} AS `Size`",
+        "split(p_name, ' ')[0] AS `Color`",
     )
 
 
@@ -140,9 +129,9 @@ def raw_stock_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     output grows linearly with ``part``.
     """
     raw = raw_stock_levels(spark, sf_dir)
-    d = F.col("_day")
-    return (raw.withColumn("_day", F.explode(F.sequence(F.lit(0), F.lit(SNAPSHOT_DAYS - 1))))
-               .withColumn("Stock", ((F.col("Stock") * (d + 1) + d * 5) % 61).cast("int"))
-               .withColumn("loaded_timestamp",
-                           F.make_timestamp_ntz(F.lit(2001), F.lit(7), d + 20, F.lit(0), F.lit(0), F.lit(0)))
-               .drop("_day"))
+    days = raw.selectExpr("*", f"explode(sequence(0, {SNAPSHOT_DAYS - 1})) AS _day")
+    return days.selectExpr(
+        "`SKU Code`", "`Design No.`",
+        "CAST((`Stock` * (_day + 1) + _day * 5) % 61 AS INT) AS `Stock`",
+        "`Category`", "`Size`", "`Color`",
+        "make_timestamp_ntz(2001, 7, 20 + _day, 0, 0, 0) AS loaded_timestamp")
