@@ -59,6 +59,13 @@ register("inventory_analysis_one_per_sku", lambda l: l.inventory_analysis(one_ro
          oracle.gold_sql("inventory_analysis", "one_per_sku"), "M8 D7")
 
 
+# -------------------------------------------------------------- operators
+from retail_lake.plans.operator_queries import OPERATOR_QUERIES  # noqa: E402
+
+for _name, (_fn, _covers) in OPERATOR_QUERIES.items():
+    register(_name, _fn, oracle.OPERATOR_SQL[_name], _covers)
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(q: Query):
         return lambda spark, sf_dir: q.build(Lake(spark, sf_dir))

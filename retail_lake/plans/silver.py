@@ -195,3 +195,23 @@ def fct_sales(stg_amazon: DataFrame, stg_intl: DataFrame, products: DataFrame,
         "date_format(order_date, 'yyyy-MM') AS order_year_month",
     )
     return conform(out, FCT_SALES)
+
+
+def product_match_keys(stg_stock: DataFrame, stg_amazon: DataFrame, stg_intl: DataFrame) -> DataFrame:
+    """Distinct key combinations of ``stock FULL JOIN amazon ON sku FULL JOIN
+    intl ON stock.sku``: (product_sku, stock_sku, amazon_sku, intl_sku,
+    intl_style). Built from a left join per stock SKU plus two anti-joins, so
+    the many-to-many pair fan-out never exists."""
+    s = stg_stock.selectExpr("sku_code").distinct()
+    a = stg_amazon.where(f"sku != '{UNKNOWN}'").selectExpr("sku AS a_sku").distinct()
+    i = stg_intl.where(f"sku != '{UNKNOWN}'").selectExpr("sku AS i_sku", "style AS i_style").distinct()
+    stocked = (s.join(a, F.expr("sku_code = a_sku"), "left").join(i, F.expr("sku_code = i_sku"), "left")
+                .selectExpr("sku_code AS product_sku", "sku_code AS stock_sku", "a_sku AS amazon_sku",
+                            "i_sku AS intl_sku", "i_style AS intl_style"))
+    a_only = (a.join(s, F.expr("a_sku = sku_code"), "left_anti")
+               .selectExpr("a_sku AS product_sku", f"{NULL_STR} AS stock_sku", "a_sku AS amazon_sku",
+                           f"{NULL_STR} AS intl_sku", f"{NULL_STR} AS intl_style"))
+    i_only = (i.join(s, F.expr("i_sku = sku_code"), "left_anti")
+               .selectExpr("i_sku AS product_sku", f"{NULL_STR} AS stock_sku", f"{NULL_STR} AS amazon_sku",
+                           "i_sku AS intl_sku", "i_style AS intl_style"))
+    return union_all(stocked, a_only, i_only).distinct()
