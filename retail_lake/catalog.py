@@ -66,6 +66,23 @@ for _name, (_fn, _covers) in OPERATOR_QUERIES.items():
     register(_name, _fn, oracle.OPERATOR_SQL[_name], _covers)
 
 
+# ---------------------------------------------------------------- quality
+from retail_lake.plans import quality as _quality  # noqa: E402
+from retail_lake.plans.dictionary import DICTIONARY_TABLES, data_dictionary  # noqa: E402
+
+_QUALITY_SQL = oracle.quality_sql()
+for _name, (_checks, _covers) in _quality.QUALITY_QUERIES.items():
+    register(_name, lambda lake, _checks=_checks: _quality.run_checks(lake, _checks()),
+             _QUALITY_SQL[_name], _covers)
+
+
+def _dictionary(lake: Lake) -> DataFrame:
+    return data_dictionary({t: _quality._table(lake, t) for t in DICTIONARY_TABLES}, exact=True)
+
+
+register("data_dictionary", _dictionary, oracle.dictionary_sql(), "L4")
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(q: Query):
         return lambda spark, sf_dir: q.build(Lake(spark, sf_dir))
