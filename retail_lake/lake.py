@@ -19,23 +19,33 @@ from pyspark.sql import DataFrame, SparkSession
 
 from retail_lake.params import FIXTURE_PARAMS, RunParams
 from retail_lake.plans import bronze, gold, silver
-from retail_lake.session import ensure_checkpoint_dir
 from retail_lake.sources import fixtures
+from retail_lake.sources.sinks import CheckpointSink
 
-_WRITTEN: dict[tuple, str] = {}
+_WRITTEN: dict[tuple, DataFrame] = {}
 _LOCK = threading.RLock()
 
 
 class Lake:
-    def __init__(self, spark: SparkSession, sf_dir: str, params: RunParams = FIXTURE_PARAMS,
-                 materialize: bool = True):
-        self.spark, self.sf_dir, self.params, self.materialize = spark, sf_dir, params, materialize
+    """Models of one run.
+
+    ``sf_dir``: driver folder the fixture raw tables are derived from, or
+    ``raw``: raw DataFrames (e.g. read from seed CSVs) by raw table name.
+    ``sink``: where models are written (default: parquet under the shared
+    checkpoint folder); ``materialize=False`` keeps one lazy plan instead.
+    ``corrected``: the unsuffixed dimension/fact accessors return the
+    corrected variants (one product row per SKU, resolved customers).
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None, params: RunParams = FIXTURE_PARAMS,
+                 materialize: bool = True, raw: dict[str, DataFrame] | None = None, sink=None,
+                 corrected: bool = False):
+        self.spark, self.sf_dir, self.params = spark, sf_dir, params
+        self.materialize, self.raw, self.corrected = materialize, raw or {}, corrected
         self._lazy: dict[str, DataFrame] = {}
-        token = hashlib.sha1(repr((sf_dir, params)).encode()).hexdigest()[:12]
-        self._key = (spark.sparkContext.applicationId, token)
-        self._root = None
-        if materialize:
-            self._root = ensure_checkpoint_dir(spark).rstrip("/") + f"/retail_lake/{token}"
+        token = hashlib.sha1(repr((sf_dir, params, corrected)).encode()).hexdigest()[:12]
+        self._key = (spark.sparkContext.applicationId, token, id(sink) if sink is not None else None)
+        self.sink = sink if sink is not None or not materialize else CheckpointSink(spark, token)
 
     def model(self, name: str, build) -> DataFrame:
         """The model as a DataFrame: read from its written table, writing it first if needed."""
@@ -45,31 +55,38 @@ class Lake:
             return self._lazy[name]
         key = self._key + (name,)
         with _LOCK:
-            path = _WRITTEN.get(key)
-            if path is None:
-                df = build()
-                path = f"{self._root}/{name}"
-                df.write.mode("overwrite").parquet(path)
-                _WRITTEN[key] = path
-                _WRITTEN[key + ("schema",)] = df.schema
-        return self.spark.read.schema(_WRITTEN[key + ("schema",)]).parquet(path)
+            if key not in _WRITTEN:
+                _WRITTEN[key] = self.sink.write(name, build())
+            return _WRITTEN[key]
+
+    def provide(self, name: str, df: DataFrame) -> None:
+        """Use an already written table for a model (e.g. the stock history)."""
+        with _LOCK:
+            _WRITTEN[self._key + (name,)] = df
+
+    def _raw(self, name: str, derive) -> DataFrame:
+        if name in self.raw:
+            return self.raw[name]
+        if self.sf_dir is None:
+            raise ValueError(f"no input for {name}: give sf_dir or raw[{name!r}]")
+        return derive(self.spark, self.sf_dir)
 
     # ------------------------------------------------------------------ raw
     @property
     def raw_amazon_sales(self) -> DataFrame:
-        return fixtures.raw_amazon_sales(self.spark, self.sf_dir)
+        return self._raw("raw_amazon_sales", fixtures.raw_amazon_sales)
 
     @property
     def raw_international_sales(self) -> DataFrame:
-        return fixtures.raw_international_sales(self.spark, self.sf_dir)
+        return self._raw("raw_international_sales", fixtures.raw_international_sales)
 
     @property
     def raw_stock_levels(self) -> DataFrame:
-        return fixtures.raw_stock_levels(self.spark, self.sf_dir)
+        return self._raw("raw_stock_levels", fixtures.raw_stock_levels)
 
     @property
     def raw_stock_snapshots(self) -> DataFrame:
-        return fixtures.raw_stock_snapshots(self.spark, self.sf_dir)
+        return self._raw("raw_stock_snapshots", fixtures.raw_stock_snapshots)
 
     # --------------------------------------------------------------- bronze
     @property
@@ -93,13 +110,19 @@ class Lake:
                           lambda: bronze.stg_stock_levels(self.raw_stock_snapshots, "loaded_timestamp"))
 
     # --------------------------------------------------------------- silver
-    def dim_customers(self, resolved: bool = False) -> DataFrame:
-        return self.model(f"dim_customers{'_resolved' if resolved else ''}",
+    def _suffix(self, flag: bool | None, name: str) -> tuple[bool, str]:
+        flag = self.corrected if flag is None else flag
+        return flag, ("" if flag == self.corrected else name if flag else "_reference")
+
+    def dim_customers(self, resolved: bool | None = None) -> DataFrame:
+        resolved, sfx = self._suffix(resolved, "_resolved")
+        return self.model(f"dim_customers{sfx}",
                           lambda: silver.dim_customers(self.stg_amazon_sales, self.stg_international_sales,
                                                        resolved))
 
-    def dim_products(self, one_row_per_sku: bool = False) -> DataFrame:
-        return self.model(f"dim_products{'_one_per_sku' if one_row_per_sku else ''}",
+    def dim_products(self, one_row_per_sku: bool | None = None) -> DataFrame:
+        one_row_per_sku, sfx = self._suffix(one_row_per_sku, "_one_per_sku")
+        return self.model(f"dim_products{sfx}",
                           lambda: silver.dim_products(self.stg_stock_levels, self.stg_amazon_sales,
                                                       self.stg_international_sales, self.params.load_ts,
                                                       one_row_per_sku))
@@ -108,17 +131,18 @@ class Lake:
     def fct_inventory(self) -> DataFrame:
         return self.model("fct_inventory", lambda: silver.fct_inventory(self.stg_stock_history))
 
-    def fct_sales(self, one_row_per_sku: bool = False) -> DataFrame:
-        return self.model(f"fct_sales{'_one_per_sku' if one_row_per_sku else ''}",
+    def fct_sales(self, one_row_per_sku: bool | None = None) -> DataFrame:
+        one_row_per_sku, sfx = self._suffix(one_row_per_sku, "_one_per_sku")
+        return self.model(f"fct_sales{sfx}",
                           lambda: silver.fct_sales(self.stg_amazon_sales, self.stg_international_sales,
                                                    self.dim_products(one_row_per_sku), self.params.usd_inr))
 
     # ----------------------------------------------------------------- gold
-    def inventory_analysis(self, one_row_per_sku: bool = False) -> DataFrame:
+    def inventory_analysis(self, one_row_per_sku: bool | None = None) -> DataFrame:
         return gold.inventory_analysis(self.fct_inventory, self.fct_sales(one_row_per_sku), self.params.as_of)
 
-    def sales_summary_by_product(self, one_row_per_sku: bool = False) -> DataFrame:
+    def sales_summary_by_product(self, one_row_per_sku: bool | None = None) -> DataFrame:
         return gold.sales_summary_by_product(self.fct_sales(one_row_per_sku))
 
-    def sales_summary_by_region(self, one_row_per_sku: bool = False) -> DataFrame:
+    def sales_summary_by_region(self, one_row_per_sku: bool | None = None) -> DataFrame:
         return gold.sales_summary_by_region(self.fct_sales(one_row_per_sku))
