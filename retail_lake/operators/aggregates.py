@@ -14,3 +14,29 @@ def grand_total(df: DataFrame, value: str) -> Column:
     partial sum per task.
     """
     return df.selectExpr(f"sum({value})").scalar()
+
+
+def aggregate_with_distincts(df: DataFrame, keys: list[str], exprs: list[str],
+                             distinct: dict[str, str]) -> DataFrame:
+    """``groupBy(keys).agg(*exprs, count(DISTINCT col) AS name ...)``.
+
+    Spark plans two or more DISTINCT aggregates with an Expand that copies
+    every input row once per distinct column before the shuffle. Here the
+    first distinct count stays in the main aggregate (a single distinct plans
+    as a plain two-phase aggregate) and every further one is its own
+    aggregate, pre-reduced map-side to (keys, value) pairs, joined back on the
+    group keys with NULL-safe equality (a NULL key is a group, as in GROUP BY).
+    """
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    items = list(distinct.items())
+    first, rest = items[:1], items[1:]
+    main = df.groupBy(*keys).agg(*[F.expr(e) for e in exprs],
+                                 *[F.expr(f"count(DISTINCT {c}) AS {n}") for n, c in first])
+    for name, col in rest:
+        side = df.groupBy(*keys).agg(F.expr(f"count(DISTINCT {col}) AS {name}"))
+        cond = reduce(lambda a, b: a & b, [main[k].eqNullSafe(side[k]) for k in keys])
+        main = main.join(side, cond).select(main["*"], side[name])
+    return main

@@ -11,7 +11,7 @@ from retail_lake.functions.rules import (
     daily_sales_rate, days_of_inventory, inventory_action, revenue_tier, safe_ratio,
     share_of_total, suggested_reorder,
 )
-from retail_lake.operators.aggregates import grand_total
+from retail_lake.operators.aggregates import aggregate_with_distincts, grand_total
 from retail_lake.operators.ranking import global_rank, global_ranks
 from retail_lake.operators.windows import moving_average
 from retail_lake.params import MOVING_AVG_ROWS, RECENT_SALES_DAYS
@@ -67,16 +67,14 @@ REGION_KEYS = ["ship_state", "ship_city", "ship_country", "sales_channel"]
 
 
 def product_sales(fct_sales: DataFrame) -> DataFrame:
-    """Per product x channel KPIs; two COUNT(DISTINCT) in one aggregate."""
-    g = _agg(fct_sales.where(NOT_CANCELLED), PRODUCT_KEYS, [
-        "count(DISTINCT sales_id) AS total_transactions",
+    """Per product x channel KPIs, including two COUNT(DISTINCT)s."""
+    g = aggregate_with_distincts(fct_sales.where(NOT_CANCELLED), PRODUCT_KEYS, [
         "sum(quantity) AS total_units_sold",
         "sum(gross_revenue_inr) AS _revenue",
         "avg(unit_price) AS avg_selling_price",
-        "count(DISTINCT order_year_month) AS active_months",
         "min(order_date) AS first_sale_date",
         "max(order_date) AS last_sale_date",
-    ])
+    ], {"total_transactions": "sales_id", "active_months": "order_year_month"})
     return g.selectExpr(
         *PRODUCT_KEYS, "total_transactions", "CAST(total_units_sold AS BIGINT) AS total_units_sold",
         "CAST(_revenue AS DOUBLE) AS total_revenue_inr", "avg_selling_price", "active_months",

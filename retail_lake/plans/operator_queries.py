@@ -16,7 +16,7 @@ from retail_lake.functions.cleaning import (
 )
 from retail_lake.functions.rules import revenue_tier, safe_ratio, to_inr
 from retail_lake.lake import Lake
-from retail_lake.operators.aggregates import grand_total
+from retail_lake.operators.aggregates import aggregate_with_distincts, grand_total
 from retail_lake.operators.ranking import global_ranks
 from retail_lake.operators.windows import lag_delta, moving_average
 from retail_lake.params import MOVING_AVG_ROWS
@@ -127,9 +127,8 @@ def share_of_total(lake: Lake) -> DataFrame:               # J5, A8, A9
 
 
 def count_distinct_orders(lake: Lake) -> DataFrame:        # A2
-    return gold._agg(lake.fct_sales().where(NOT_CANCELLED), ["product_sku", "sales_channel"], [
-        "count(DISTINCT sales_id) AS total_transactions",
-        "count(DISTINCT order_year_month) AS active_months"])
+    return aggregate_with_distincts(lake.fct_sales().where(NOT_CANCELLED), ["product_sku", "sales_channel"], [],
+                                    {"total_transactions": "sales_id", "active_months": "order_year_month"})
 
 
 def price_stats(lake: Lake) -> DataFrame:                  # A3, A4
