@@ -7,7 +7,6 @@ UTC session time zone, ANSI on (Spark 4 default).
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -53,8 +52,10 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = fallback or os.environ.get("RETAIL_LAKE_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="rl-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+        configured = fallback or tempfile.mkdtemp(prefix="rl-ckpt-")   # local runs and tests only
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -69,13 +69,16 @@ class CatalogSink:
             df.write.format(self.fmt).partitionBy(partition_col).saveAsTable(table)
         else:
             cols = self.spark.table(table).columns
+            # set on the frame's own session: inside foreachBatch that is the
+            # stream's cloned session, not the one this sink was made with
+            conf = df.sparkSession.conf
             key = "spark.sql.sources.partitionOverwriteMode"
-            before = self.spark.conf.get(key)
-            self.spark.conf.set(key, "dynamic")
+            before = conf.get(key)
+            conf.set(key, "dynamic")
             try:
                 df.select(*cols).write.insertInto(table, overwrite=True)
             finally:
-                self.spark.conf.set(key, before)
+                conf.set(key, before)
         return self.spark.table(table)
 
 

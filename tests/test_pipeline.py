@@ -30,6 +30,7 @@ def test_full_run_writes_layers_and_passes_gates(spark, tmp_path):
 
 def test_history_append_is_idempotent(spark, tmp_path):
     loc = str(tmp_path / "wh2")
+    spark.sql("DROP TABLE IF EXISTS bronze.stg_stock_history")      # tests share one catalog
     run_pipeline(spark, PARAMS, sf_dir=SF_SMALL, layers=("bronze",), location=loc)
     n1 = spark.table("bronze.stg_stock_history").count()
     run_pipeline(spark, PARAMS, sf_dir=SF_SMALL, layers=("bronze",), location=loc)
