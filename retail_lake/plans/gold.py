@@ -13,6 +13,7 @@ from retail_lake.functions.rules import (
 )
 from retail_lake.operators.aggregates import aggregate_with_distincts, grand_total
 from retail_lake.operators.ranking import global_rank, global_ranks
+from retail_lake.operators.stages import stage
 from retail_lake.operators.windows import moving_average
 from retail_lake.params import MOVING_AVG_ROWS, RECENT_SALES_DAYS
 from retail_lake.plans.silver import NOT_CANCELLED, SNAPSHOT_ORDER
@@ -83,8 +84,9 @@ def product_sales(fct_sales: DataFrame) -> DataFrame:
 
 
 def sales_summary_by_product(fct_sales: DataFrame, sort: bool = True) -> DataFrame:
-    ranked = global_ranks(product_sales(fct_sales),
-                          {"revenue_rank": "total_revenue_inr", "volume_rank": "total_units_sold"})
+    # the aggregate feeds the rows and both rank tables: compute it once
+    ps = stage(product_sales(fct_sales), "product_sales")
+    ranked = global_ranks(ps, {"revenue_rank": "total_revenue_inr", "volume_rank": "total_units_sold"})
     out = conform(ranked.selectExpr("*", f"{revenue_tier('total_revenue_inr')} AS revenue_tier"),
                   SALES_SUMMARY_BY_PRODUCT)
     return out.orderBy(F.col("total_revenue_inr").desc_nulls_last()) if sort else out
@@ -108,7 +110,8 @@ def regional_sales(fct_sales: DataFrame) -> DataFrame:
 
 
 def sales_summary_by_region(fct_sales: DataFrame, sort: bool = True) -> DataFrame:
-    r = regional_sales(fct_sales)
+    # the aggregate feeds the rows, the grand total and the rank table: compute it once
+    r = stage(regional_sales(fct_sales), "regional_sales")
     total = grand_total(r, "_revenue")
     shared = r.withColumn("revenue_share_percentage",
                           F.round(F.try_divide(F.lit(100.0) * F.col("_revenue").cast("double"),
