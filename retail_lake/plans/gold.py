@@ -28,7 +28,8 @@ def _date(d) -> str:
     return f"DATE '{d.isoformat()}'"
 
 
-def _agg(df: DataFrame, keys: list[str], exprs: list[str]) -> DataFrame:
+def aggregate(df: DataFrame, keys: list[str], exprs: list[str]) -> DataFrame:
+    """groupBy(keys).agg(...) with the aggregates given as SQL expression text."""
     return df.groupBy(*keys).agg(*[F.expr(e) for e in exprs])
 
 
@@ -38,7 +39,7 @@ def recent_units(fct_sales: DataFrame, as_of, days: int = RECENT_SALES_DAYS) ->
     Grouping before the join keeps the join input at one row per SKU; partial
     aggregation makes a hot SKU cost one row per map task.
     """
-    return _agg(fct_sales.where(f"order_date >= date_sub({_date(as_of)}, {days})"),
+    return aggregate(fct_sales.where(f"order_date >= date_sub({_date(as_of)}, {days})"),
                 ["product_sku"], ["sum(quantity) AS total_sold_30days"])
 
 
@@ -93,7 +94,7 @@ def sales_summary_by_product(fct_sales: DataFrame, sort: bool = True) -> DataFra
 
 
 def regional_sales(fct_sales: DataFrame) -> DataFrame:
-    g = _agg(fct_sales.where(f"{NOT_CANCELLED} AND ship_state IS NOT NULL"), REGION_KEYS, [
+    g = aggregate(fct_sales.where(f"{NOT_CANCELLED} AND ship_state IS NOT NULL"), REGION_KEYS, [
         "count(DISTINCT sales_id) AS total_orders",
         "sum(quantity) AS total_units",
         "sum(gross_revenue_inr) AS _revenue",

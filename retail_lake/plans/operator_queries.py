@@ -117,7 +117,7 @@ def disjoint_outer_union(lake: Lake) -> DataFrame:         # J4
 
 
 def share_of_total(lake: Lake) -> DataFrame:               # J5, A8, A9
-    by_state = gold._agg(lake.fct_sales().where(f"{NOT_CANCELLED} AND ship_state IS NOT NULL"),
+    by_state = gold.aggregate(lake.fct_sales().where(f"{NOT_CANCELLED} AND ship_state IS NOT NULL"),
                          ["ship_state"], ["sum(gross_revenue_inr) AS _revenue"])
     total = grand_total(by_state, "_revenue")
     return by_state.select(
@@ -132,13 +132,13 @@ def count_distinct_orders(lake: Lake) -> DataFrame:        # A2
 
 
 def price_stats(lake: Lake) -> DataFrame:                  # A3, A4
-    return gold._agg(lake.fct_sales().where(NOT_CANCELLED), ["product_sku"], [
+    return gold.aggregate(lake.fct_sales().where(NOT_CANCELLED), ["product_sku"], [
         "avg(unit_price) AS avg_selling_price",
         "min(order_date) AS first_sale_date", "max(order_date) AS last_sale_date"])
 
 
 def conditional_revenue(lake: Lake) -> DataFrame:          # A5, A6
-    g = gold._agg(lake.fct_sales().where(f"{NOT_CANCELLED} AND ship_state IS NOT NULL"), ["ship_state"], [
+    g = gold.aggregate(lake.fct_sales().where(f"{NOT_CANCELLED} AND ship_state IS NOT NULL"), ["ship_state"], [
         "sum(gross_revenue_inr) AS _revenue",
         "sum(CASE WHEN is_b2b THEN gross_revenue_inr ELSE 0 END) AS _b2b",
         "sum(CASE WHEN NOT is_b2b THEN gross_revenue_inr ELSE 0 END) AS _b2c"])
@@ -167,7 +167,7 @@ def moving_average_7(lake: Lake) -> DataFrame:             # W3
 
 
 def _revenue_by_sku(lake: Lake) -> DataFrame:
-    g = gold._agg(lake.fct_sales().where(NOT_CANCELLED), ["product_sku"], [
+    g = gold.aggregate(lake.fct_sales().where(NOT_CANCELLED), ["product_sku"], [
         "sum(gross_revenue_inr) AS _revenue", "sum(quantity) AS _units"])
     return g.selectExpr("product_sku", "CAST(_revenue AS DOUBLE) AS total_revenue_inr",
                         "CAST(_units AS BIGINT) AS total_units_sold")

@@ -54,7 +54,7 @@ def run_checks(lake: Lake, checks: list[Check]) -> DataFrame:
     return reduce(DataFrame.unionByName, [result(c.measure(lake), c) for c in checks])
 
 
-def _agg(df: DataFrame, violations: str, checked: str = "count(*)") -> DataFrame:
+def count_violations(df: DataFrame, violations: str, checked: str = "count(*)") -> DataFrame:
     return df.agg(F.expr(f"{violations} AS violations"), F.expr(f"{checked} AS checked_rows"))
 
 
@@ -70,7 +70,7 @@ BRONZE_REQUIRED = {
 }
 
 
-def _table(lake: Lake, name: str) -> DataFrame:
+def model_table(lake: Lake, name: str) -> DataFrame:
     return {
         "stg_amazon_sales": lambda: lake.stg_amazon_sales,
         "stg_international_sales": lambda: lake.stg_international_sales,
@@ -88,7 +88,7 @@ def _table(lake: Lake, name: str) -> DataFrame:
 
 def null_checks() -> list[Check]:
     return [Check("bronze", t, f"not_null:{c}", FAILED,
-                  lambda lake, t=t, c=c: _agg(_table(lake, t), _nulls(c)))
+                  lambda lake, t=t, c=c: count_violations(model_table(lake, t), _nulls(c)))
             for t, cols in BRONZE_REQUIRED.items() for c in cols]
 
 
@@ -104,12 +104,12 @@ DUPLICATE_KEYS = {
 def _duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows beyond the first per key (NULL is a key value, as in GROUP BY)."""
     per_key = df.groupBy(*keys).agg(F.expr("count(*) AS n"))
-    return _agg(per_key, "sum(n - 1)", "sum(n)")
+    return count_violations(per_key, "sum(n - 1)", "sum(n)")
 
 
 def duplicate_checks() -> list[Check]:
     return [Check(layer, t, "duplicates:" + ",".join(keys), WARNING,
-                  lambda lake, t=t, keys=keys: _duplicates(_table(lake, t), keys))
+                  lambda lake, t=t, keys=keys: _duplicates(model_table(lake, t), keys))
             for (layer, t), keys in DUPLICATE_KEYS.items()]
 
 
@@ -117,7 +117,7 @@ def duplicate_checks() -> list[Check]:
 def castable_checks() -> list[Check]:
     def dates(lake: Lake, raw: str, col: str) -> DataFrame:
         df = lake.raw_amazon_sales if raw == "raw_amazon_sales" else lake.raw_international_sales
-        return _agg(df.where(f"{q(col)} IS NOT NULL"),
+        return count_violations(df.where(f"{q(col)} IS NOT NULL"),
                     f"sum(CASE WHEN {parse_dmy(col)} IS NULL THEN 1 ELSE 0 END)")
     return [Check("bronze", "raw_amazon_sales", "castable:Date", WARNING,
                   lambda lake: dates(lake, "raw_amazon_sales", "Date")),
@@ -129,7 +129,7 @@ def castable_checks() -> list[Check]:
 def row_count_checks() -> list[Check]:
     """raw rows = staged rows + rejected rows; violations = rejected rows."""
     def measure(raw: DataFrame, key: str) -> DataFrame:
-        return _agg(raw, f"sum(CASE WHEN trim({q(key)}) IS NULL THEN 1 ELSE 0 END)")
+        return count_violations(raw, f"sum(CASE WHEN trim({q(key)}) IS NULL THEN 1 ELSE 0 END)")
     return [
         Check("bronze", "stg_amazon_sales", "rejected_rows", WARNING,
               lambda lake: measure(lake.raw_amazon_sales, "Order ID")),
@@ -146,7 +146,7 @@ STOCK_LABELS = [STOCK_OUT, STOCK_CRITICAL, STOCK_LOW, STOCK_NORMAL, STOCK_EXCESS
 
 def business_rule_checks() -> list[Check]:
     def rule(t: str, bad: str) -> Callable[[Lake], DataFrame]:
-        return lambda lake: _agg(_table(lake, t), f"sum(CASE WHEN {bad} THEN 1 ELSE 0 END)")
+        return lambda lake: count_violations(model_table(lake, t), f"sum(CASE WHEN {bad} THEN 1 ELSE 0 END)")
     labels = ", ".join(f"'{x}'" for x in STOCK_LABELS)
     return [
         Check("bronze", "stg_amazon_sales", "quantity_non_negative", FAILED, rule("stg_amazon_sales", "quantity < 0")),
@@ -168,7 +168,7 @@ def referential_checks() -> list[Check]:
         keys = lake.dim_products().selectExpr("product_sku").distinct()
         flagged = sales.join(keys.selectExpr("product_sku", "true AS known"),
                              F.expr("sku = product_sku"), "left")
-        return _agg(flagged, "sum(CASE WHEN known IS NULL THEN 1 ELSE 0 END)")
+        return count_violations(flagged, "sum(CASE WHEN known IS NULL THEN 1 ELSE 0 END)")
     return [Check("silver", "fct_sales", "sku_in_dim_products", WARNING, orphans)]
 
 
@@ -180,11 +180,11 @@ def aggregation_checks() -> list[Check]:
 
     def rows_kept(lake: Lake, t: str) -> DataFrame:
         staged_rows = staged(lake).select("rows").scalar()
-        return _table(lake, t).agg(F.count(F.lit(1)).alias("f_rows")).select(
+        return model_table(lake, t).agg(F.count(F.lit(1)).alias("f_rows")).select(
             F.abs(F.col("f_rows") - staged_rows).alias("violations"), F.col("f_rows").alias("checked_rows"))
 
     def amount_kept(lake: Lake, t: str) -> DataFrame:
-        fct = _table(lake, t).agg(F.expr("sum(amount) AS f_amount"), F.expr("count(*) AS f_rows"))
+        fct = model_table(lake, t).agg(F.expr("sum(amount) AS f_amount"), F.expr("count(*) AS f_rows"))
         total = staged(lake).select("amount").scalar()
         return fct.select(F.when(F.col("f_amount") == total, F.lit(0)).otherwise(F.lit(1)).alias("violations"),
                           F.col("f_rows").alias("checked_rows"))
@@ -203,7 +203,7 @@ def freshness_checks() -> list[Check]:
             now_sql = f"TIMESTAMP_NTZ '{now.isoformat(sep=' ')}'"
         else:
             now_sql = "CAST(current_timestamp() AS TIMESTAMP_NTZ)"
-        return _agg(_table(lake, t),
+        return count_violations(model_table(lake, t),
                     f"CASE WHEN max(loaded_timestamp) IS NULL OR max(loaded_timestamp) < "
                     f"{now_sql} - INTERVAL {FRESHNESS_HOURS} HOURS THEN 1 ELSE 0 END")
     return [Check("bronze", t, f"loaded_within_{FRESHNESS_HOURS}h", FAILED, lambda lake, t=t: fresh(lake, t))
@@ -274,15 +274,15 @@ NOT_NULL_COLUMNS = [("silver", "dim_customers", "customer_id"), ("silver", "dim_
 def unique_checks() -> list[Check]:
     """dbt-style ``unique``: number of non-NULL values that occur more than once."""
     def measure(lake: Lake, t: str, c: str) -> DataFrame:
-        per_value = _table(lake, t).where(f"{q(c)} IS NOT NULL").groupBy(c).agg(F.expr("count(*) AS n"))
-        return _agg(per_value, "sum(CASE WHEN n > 1 THEN 1 ELSE 0 END)", "sum(n)")
+        per_value = model_table(lake, t).where(f"{q(c)} IS NOT NULL").groupBy(c).agg(F.expr("count(*) AS n"))
+        return count_violations(per_value, "sum(CASE WHEN n > 1 THEN 1 ELSE 0 END)", "sum(n)")
     return [Check(layer, t, f"unique:{c}", sev, lambda lake, t=t, c=c: measure(lake, t, c))
             for layer, t, c, sev in UNIQUE_COLUMNS]
 
 
 def not_null_checks() -> list[Check]:
     """dbt-style ``not_null``: number of NULLs in the column."""
-    return [Check(layer, t, f"not_null:{c}", FAILED, lambda lake, t=t, c=c: _agg(_table(lake, t), _nulls(c)))
+    return [Check(layer, t, f"not_null:{c}", FAILED, lambda lake, t=t, c=c: count_violations(model_table(lake, t), _nulls(c)))
             for layer, t, c in NOT_NULL_COLUMNS]
 
 
