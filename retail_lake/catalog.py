@@ -32,30 +32,30 @@ def register(name: str, build: Callable[[Lake], DataFrame], sql: str | None, cov
 
 
 # ----------------------------------------------------------------- models
-register("stg_amazon_sales", lambda l: l.stg_amazon_sales, oracle.model_sql("stg_amazon_sales"), "M1")
-register("stg_international_sales", lambda l: l.stg_international_sales,
+register("stg_amazon_sales", lambda lake: lake.stg_amazon_sales, oracle.model_sql("stg_amazon_sales"), "M1")
+register("stg_international_sales", lambda lake: lake.stg_international_sales,
          oracle.model_sql("stg_international_sales"), "M2")
-register("stg_stock_levels", lambda l: l.stg_stock_levels, oracle.model_sql("stg_stock_levels"), "M3")
-register("dim_customers", lambda l: l.dim_customers(), oracle.model_sql("dim_customers"), "M4")
-register("dim_customers_resolved", lambda l: l.dim_customers(resolved=True),
+register("stg_stock_levels", lambda lake: lake.stg_stock_levels, oracle.model_sql("stg_stock_levels"), "M3")
+register("dim_customers", lambda lake: lake.dim_customers(), oracle.model_sql("dim_customers"), "M4")
+register("dim_customers_resolved", lambda lake: lake.dim_customers(resolved=True),
          oracle.model_sql("dim_customers_resolved"), "M4 D8")
-register("dim_products", lambda l: l.dim_products(), oracle.model_sql("dim_products"), "M5")
-register("dim_products_one_per_sku", lambda l: l.dim_products(one_row_per_sku=True),
+register("dim_products", lambda lake: lake.dim_products(), oracle.model_sql("dim_products"), "M5")
+register("dim_products_one_per_sku", lambda lake: lake.dim_products(one_row_per_sku=True),
          oracle.model_sql("dim_products_one_per_sku"), "M5 D7")
-register("fct_inventory", lambda l: l.fct_inventory, oracle.model_sql("fct_inventory"), "M6")
-register("fct_sales", lambda l: l.fct_sales(), oracle.model_sql("fct_sales"), "M7")
-register("fct_sales_one_per_sku", lambda l: l.fct_sales(one_row_per_sku=True),
+register("fct_inventory", lambda lake: lake.fct_inventory, oracle.model_sql("fct_inventory"), "M6")
+register("fct_sales", lambda lake: lake.fct_sales(), oracle.model_sql("fct_sales"), "M7")
+register("fct_sales_one_per_sku", lambda lake: lake.fct_sales(one_row_per_sku=True),
          oracle.model_sql("fct_sales_one_per_sku"), "M7 D7")
-register("inventory_analysis", lambda l: l.inventory_analysis(), oracle.gold_sql("inventory_analysis"), "M8")
-register("sales_summary_by_product", lambda l: l.sales_summary_by_product(),
+register("inventory_analysis", lambda lake: lake.inventory_analysis(), oracle.gold_sql("inventory_analysis"), "M8")
+register("sales_summary_by_product", lambda lake: lake.sales_summary_by_product(),
          oracle.gold_sql("sales_summary_by_product"), "M9")
-register("sales_summary_by_region", lambda l: l.sales_summary_by_region(),
+register("sales_summary_by_region", lambda lake: lake.sales_summary_by_region(),
          oracle.gold_sql("sales_summary_by_region"), "M10")
-register("sales_summary_by_product_one_per_sku", lambda l: l.sales_summary_by_product(one_row_per_sku=True),
+register("sales_summary_by_product_one_per_sku", lambda lake: lake.sales_summary_by_product(one_row_per_sku=True),
          oracle.gold_sql("sales_summary_by_product", "one_per_sku"), "M9 D7")
-register("sales_summary_by_region_one_per_sku", lambda l: l.sales_summary_by_region(one_row_per_sku=True),
+register("sales_summary_by_region_one_per_sku", lambda lake: lake.sales_summary_by_region(one_row_per_sku=True),
          oracle.gold_sql("sales_summary_by_region", "one_per_sku"), "M10 D7")
-register("inventory_analysis_one_per_sku", lambda l: l.inventory_analysis(one_row_per_sku=True),
+register("inventory_analysis_one_per_sku", lambda lake: lake.inventory_analysis(one_row_per_sku=True),
          oracle.gold_sql("inventory_analysis", "one_per_sku"), "M8 D7")
 
 

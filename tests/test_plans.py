@@ -35,3 +35,10 @@ def test_dim_products_builds_no_pairs(spark):
     plan = _plan(silver.dim_products(lake.stg_stock_levels, lake.stg_amazon_sales,
                                      lake.stg_international_sales, FIXTURE_PARAMS.load_ts))
     assert "FullOuter" not in plan
+
+
+def test_product_aggregate_has_no_expand(spark):
+    """Two COUNT(DISTINCT)s run as two single-distinct aggregates, not an Expand."""
+    from retail_lake.plans import gold
+    plan = _plan(gold.product_sales(Lake(spark, SF_SMALL).fct_sales()))
+    assert "Expand" not in plan
