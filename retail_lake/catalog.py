@@ -10,6 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from retail_lake import oracle
 from retail_lake.lake import Lake
@@ -83,11 +84,43 @@ def _dictionary(lake: Lake) -> DataFrame:
 register("data_dictionary", _dictionary, oracle.dictionary_sql(), "L4")
 
 
+# Money columns are DECIMAL in the stored tables; query results expose them as
+# DOUBLE on both sides so a result compares the same whichever client reads
+# it (the decimal -> double conversion is exact rounding in both engines).
+DECIMAL_OUTPUTS = {
+    "stg_amazon_sales": ["amount"],
+    "stg_international_sales": ["unit_price", "gross_amount"],
+    "fct_sales": ["amount", "gross_revenue", "gross_revenue_inr"],
+    "fct_sales_one_per_sku": ["amount", "gross_revenue", "gross_revenue_inr"],
+    "numeric_boolean_defaults": ["raw_amount", "amount"],
+    "channel_union": ["amount"],
+    "currency_to_inr": ["amount", "gross_revenue_inr"],
+}
+
+
+def as_double(df: DataFrame) -> DataFrame:
+    from pyspark.sql.types import DecimalType
+    return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType)
+                       else F.col(f.name) for f in df.schema.fields])
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    def bind(q: Query):
+    def bind(name: str, q: Query):
+        if name in DECIMAL_OUTPUTS:
+            return lambda spark, sf_dir: as_double(q.build(Lake(spark, sf_dir)))
         return lambda spark, sf_dir: q.build(Lake(spark, sf_dir))
-    return {name: bind(q) for name, q in REGISTRY.items()}
+    return {name: bind(name, q) for name, q in REGISTRY.items()}
 
 
 def oracle_statements() -> dict[str, str]:
-    return {name: q.sql for name, q in REGISTRY.items() if q.sql is not None}
+    out = {}
+    for name, q in REGISTRY.items():
+        if q.sql is None:
+            continue
+        cols = DECIMAL_OUTPUTS.get(name)
+        if cols:
+            casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
+            out[name] = f"SELECT * REPLACE ({casts}) FROM ({q.sql}) q"
+        else:
+            out[name] = q.sql
+    return out

@@ -34,3 +34,13 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "revenue_share_percentage" in df.columns
+
+
+def test_no_decimal_in_results(spark, con):
+    """Query results carry no DECIMAL on either side (see catalog.DECIMAL_OUTPUTS)."""
+    from pyspark.sql.types import DecimalType
+    for key in KEYS:
+        df = entry.queries()[key](spark, SF_SMALL)
+        assert not [f.name for f in df.schema.fields if isinstance(f.dataType, DecimalType)], key
+        types = [d[1] for d in con.execute(f"DESCRIBE {entry.oracle_sql()[key]}").fetchall()]
+        assert not [t for t in types if str(t).startswith("DECIMAL")], key

@@ -68,3 +68,11 @@ def test_starter_models_and_column_tests(spark):
     assert first.where("id IS NULL").count() == 1          # not_null test fails on the starter row
     assert first.where("id IS NOT NULL").groupBy("id").count().where("count > 1").count() == 0  # unique
     assert [r.id for r in starter_filter(first).collect()] == [1]
+
+
+def test_view_sink_registers_a_session_view(spark):
+    from retail_lake.lake import Lake
+    from retail_lake.sources.sinks import register_view
+    df = Lake(spark, SF_SMALL).sales_summary_by_region()
+    register_view(df, "gold_region_view")
+    assert spark.table("gold_region_view").count() == df.count()
