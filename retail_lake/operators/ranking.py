@@ -10,8 +10,8 @@ value range:
 2. Range buckets over the distinct values from ``percentile_approx``
    boundaries (a scalar subquery; Spark reuses the upstream exchange for it).
    Equal values always share a bucket, so ties never straddle buckets.
-3. Per-bucket totals (at most ``buckets + 1`` rows; the only single-partition
-   step, bounded by the parameter, not by the data) give each bucket the
+3. Per-bucket totals (at most ``buckets + 2`` rows; the only single-partition
+   step, bounded by the bucket cap, not by the data) give each bucket the
    number of rows ranked ahead of it.
 4. Inside a bucket a running sum of multiplicities over the distinct values
    gives the rows ahead within the bucket; rank = 1 + both.
@@ -28,13 +28,23 @@ from pyspark.sql import functions as F
 
 from retail_lake.functions.sql import q
 
-DEFAULT_BUCKETS = 64
+MIN_BUCKETS, MAX_BUCKETS = 64, 4096
 _V, _N, _B = "__rank_value", "__rank_n", "__rank_bucket"
 
 
+def default_buckets(df: DataFrame) -> int:
+    """As many value ranges as shuffle partitions (64..4096): each window task
+    then holds about 1/partitions of the distinct values, while the boundary
+    array and the broadcast offsets table stay bounded by the cap."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, parts))
+
+
 def value_rank_table(df: DataFrame, value: str, descending: bool = True,
-                     buckets: int = DEFAULT_BUCKETS, accuracy: int = 10000) -> DataFrame:
+                     buckets: int | None = None, accuracy: int = 10000) -> DataFrame:
     """(value, rank) for every distinct value of ``df[value]``, NULL included."""
+    buckets = buckets or default_buckets(df)
+    accuracy = max(accuracy, 4 * buckets)
     counts = df.groupBy(F.col(value).alias(_V)).agg(F.count(F.lit(1)).alias(_N))
     probs = ", ".join(str(i / buckets) for i in range(1, buckets))
     bounds = counts.where(f"{_V} IS NOT NULL").selectExpr(
@@ -59,13 +69,13 @@ def value_rank_table(df: DataFrame, value: str, descending: bool = True,
 
 
 def global_rank(df: DataFrame, value: str, out: str, descending: bool = True,
-                buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                buckets: int | None = None) -> DataFrame:
     """Append ``out`` = RANK() OVER (ORDER BY value [DESC] NULLS LAST)."""
     return global_ranks(df, {out: value}, descending, buckets)
 
 
 def global_ranks(df: DataFrame, ranks: dict[str, str], descending: bool = True,
-                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 buckets: int | None = None) -> DataFrame:
     """Append several ranks ({out: value}); every rank table is built from the
     same input, so the plan grows linearly with the number of ranks."""
     out = df
