@@ -76,3 +76,11 @@ def test_view_sink_registers_a_session_view(spark):
     df = Lake(spark, SF_SMALL).sales_summary_by_region()
     register_view(df, "gold_region_view")
     assert spark.table("gold_region_view").count() == df.count()
+
+
+def test_command_line_run(spark, tmp_path, capsys):
+    from retail_lake.__main__ import main
+    code = main(["--sf-dir", SF_SMALL, "--layers", "bronze", "--load-ts", "2001-08-01T06:00:00",
+                 "--as-of", "2001-08-01", "--warehouse", str(tmp_path / "cli")], spark=spark)
+    assert code == 0
+    assert '"model": "stg_amazon_sales"' in capsys.readouterr().out
