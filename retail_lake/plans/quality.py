@@ -9,7 +9,6 @@ layer runner stops when any row of a gating check has status 'failed'.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
@@ -118,7 +117,7 @@ def castable_checks() -> list[Check]:
     def dates(lake: Lake, raw: str, col: str) -> DataFrame:
         df = lake.raw_amazon_sales if raw == "raw_amazon_sales" else lake.raw_international_sales
         return count_violations(df.where(f"{q(col)} IS NOT NULL"),
-                    f"sum(CASE WHEN {parse_dmy(col)} IS NULL THEN 1 ELSE 0 END)")
+                                f"sum(CASE WHEN {parse_dmy(col)} IS NULL THEN 1 ELSE 0 END)")
     return [Check("bronze", "raw_amazon_sales", "castable:Date", WARNING,
                   lambda lake: dates(lake, "raw_amazon_sales", "Date")),
             Check("bronze", "raw_international_sales", "castable:DATE", WARNING,
@@ -146,7 +145,8 @@ STOCK_LABELS = [STOCK_OUT, STOCK_CRITICAL, STOCK_LOW, STOCK_NORMAL, STOCK_EXCESS
 
 def business_rule_checks() -> list[Check]:
     def rule(t: str, bad: str) -> Callable[[Lake], DataFrame]:
-        return lambda lake: count_violations(model_table(lake, t), f"sum(CASE WHEN {bad} THEN 1 ELSE 0 END)")
+        return lambda lake: count_violations(model_table(lake, t),
+                                             f"sum(CASE WHEN {bad} THEN 1 ELSE 0 END)")
     labels = ", ".join(f"'{x}'" for x in STOCK_LABELS)
     return [
         Check("bronze", "stg_amazon_sales", "quantity_non_negative", FAILED, rule("stg_amazon_sales", "quantity < 0")),
@@ -198,14 +198,12 @@ def aggregation_checks() -> list[Check]:
 # ----------------------------------------------------------- Q8 freshness
 def freshness_checks() -> list[Check]:
     def fresh(lake: Lake, t: str) -> DataFrame:
-        now = lake.params.load_ts
-        if isinstance(now, dt.datetime):
-            now_sql = f"TIMESTAMP_NTZ '{now.isoformat(sep=' ')}'"
-        else:
-            now_sql = "CAST(current_timestamp() AS TIMESTAMP_NTZ)"
-        return count_violations(model_table(lake, t),
-                    f"CASE WHEN max(loaded_timestamp) IS NULL OR max(loaded_timestamp) < "
-                    f"{now_sql} - INTERVAL {FRESHNESS_HOURS} HOURS THEN 1 ELSE 0 END")
+        """Checked against the run's load time (the moment the run stamps its rows)."""
+        now = f"TIMESTAMP_NTZ '{lake.params.load_ts.isoformat(sep=' ')}'"
+        latest = "max(loaded_timestamp)"
+        return count_violations(
+            model_table(lake, t),
+            f"CASE WHEN {latest} IS NULL OR {latest} < {now} - INTERVAL {FRESHNESS_HOURS} HOURS THEN 1 ELSE 0 END")
     return [Check("bronze", t, f"loaded_within_{FRESHNESS_HOURS}h", FAILED, lambda lake, t=t: fresh(lake, t))
             for t in ("stg_amazon_sales", "stg_international_sales", "stg_stock_levels")]
 
@@ -282,7 +280,8 @@ def unique_checks() -> list[Check]:
 
 def not_null_checks() -> list[Check]:
     """dbt-style ``not_null``: number of NULLs in the column."""
-    return [Check(layer, t, f"not_null:{c}", FAILED, lambda lake, t=t, c=c: count_violations(model_table(lake, t), _nulls(c)))
+    return [Check(layer, t, f"not_null:{c}", FAILED,
+                  lambda lake, t=t, c=c: count_violations(model_table(lake, t), _nulls(c)))
             for layer, t, c in NOT_NULL_COLUMNS]
 
 
