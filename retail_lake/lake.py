@@ -44,7 +44,9 @@ class Lake:
         self.materialize, self.raw, self.corrected = materialize, raw or {}, corrected
         self._lazy: dict[str, DataFrame] = {}
         token = hashlib.sha1(repr((sf_dir, params, corrected)).encode()).hexdigest()[:12]
-        self._key = (spark.sparkContext.applicationId, token, id(sink) if sink is not None else None)
+        # models written by an explicit sink belong to that sink's run; the default
+        # sink is shared by every Lake over the same inputs in this application
+        self._key = (spark.sparkContext.applicationId, token, getattr(sink, "uid", None))
         self.sink = sink if sink is not None or not materialize else CheckpointSink(spark, token)
 
     def model(self, name: str, build) -> DataFrame:

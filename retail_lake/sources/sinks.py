@@ -8,6 +8,8 @@ so downstream plans start at the table and lineage is cut.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from retail_lake.session import ensure_checkpoint_dir
@@ -31,7 +33,7 @@ class CheckpointSink:
     """Parquet files under ``spark.checkpoint.dir`` (read from the session)."""
 
     def __init__(self, spark: SparkSession, prefix: str):
-        self.spark = spark
+        self.spark, self.uid = spark, uuid.uuid4().hex
         self.root = ensure_checkpoint_dir(spark).rstrip("/") + f"/retail_lake/{prefix}"
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
@@ -45,6 +47,7 @@ class CatalogSink:
 
     def __init__(self, spark: SparkSession, fmt: str = "parquet", location: str | None = None):
         self.spark, self.fmt, self.location = spark, fmt, location
+        self.uid = uuid.uuid4().hex        # one run: its models are built once, never reused by another run
 
     def database(self, name: str) -> str:
         db = layer_of(name)
