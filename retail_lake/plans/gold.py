@@ -33,6 +33,18 @@ def aggregate(df: DataFrame, keys: list[str], exprs: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(*[F.expr(e) for e in exprs])
 
 
+def _sorted_with_ties_split(column: str, descending: bool, tie_breakers: list[str]):
+    """The model's ORDER BY plus the row's own keys as tie-breakers.
+
+    A global sort range-partitions on the sort key; when one value holds a
+    large share of the rows (e.g. the 999 'no sales' sentinel) every such row
+    would land in one task. With the keys appended the range bounds can split
+    the tie, and the order the model promises is unchanged.
+    """
+    first = F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_last()
+    return [first] + [F.col(k).asc_nulls_last() for k in tie_breakers]
+
+
 def recent_units(fct_sales: DataFrame, as_of, days: int = RECENT_SALES_DAYS) -> DataFrame:
     """Units sold per product since ``as_of - days`` (inclusive), pre-aggregated.
 
@@ -61,7 +73,8 @@ def inventory_analysis(fct_inventory: DataFrame, fct_sales: DataFrame, as_of,
         " AS suggested_reorder_quantity",
     ).where("stock_quantity > 0 OR units_sold_30days > 0")
     out = conform(final, INVENTORY_ANALYSIS)
-    return out.orderBy(F.col("days_of_inventory").asc_nulls_last()) if sort else out
+    return out.orderBy(*_sorted_with_ties_split("days_of_inventory", False, ["product_sku", "snapshot_date"])) \
+        if sort else out
 
 
 PRODUCT_KEYS = ["product_sku", "product_category", "size", "color", "sales_channel"]
@@ -90,7 +103,7 @@ def sales_summary_by_product(fct_sales: DataFrame, sort: bool = True) -> DataFra
     ranked = global_ranks(ps, {"revenue_rank": "total_revenue_inr", "volume_rank": "total_units_sold"})
     out = conform(ranked.selectExpr("*", f"{revenue_tier('total_revenue_inr')} AS revenue_tier"),
                   SALES_SUMMARY_BY_PRODUCT)
-    return out.orderBy(F.col("total_revenue_inr").desc_nulls_last()) if sort else out
+    return out.orderBy(*_sorted_with_ties_split("total_revenue_inr", True, PRODUCT_KEYS)) if sort else out
 
 
 def regional_sales(fct_sales: DataFrame) -> DataFrame:
@@ -119,4 +132,4 @@ def sales_summary_by_region(fct_sales: DataFrame, sort: bool = True) -> DataFram
                                                total.cast("double")), 2))
     ranked = global_rank(shared, "total_revenue_inr", "state_rank")
     out = conform(ranked, SALES_SUMMARY_BY_REGION)
-    return out.orderBy(F.col("total_revenue_inr").desc_nulls_last()) if sort else out
+    return out.orderBy(*_sorted_with_ties_split("total_revenue_inr", True, REGION_KEYS)) if sort else out
