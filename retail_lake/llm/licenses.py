@@ -47,6 +47,7 @@ PASSAGES = [
      "apache-2", "apache license"),
     ("this program is free software you can redistribute it and or modify it under the terms of the gnu general "
      "public license", "gpl", "gnu general public license"),
+    ("this work is licensed under the gnu general public license version 3", "gpl-3", "gnu general public license"),
     ("redistribution and use in source and binary forms with or without modification are permitted", "bsd",
      "redistribution and use in source and binary forms"),
     ("this source code form is subject to the terms of the mozilla public license", "mpl-2",
