@@ -27,8 +27,9 @@ from pyspark.sql.types import BinaryType
 
 from retail_lake.llm.common import Remembered, ship_package, spaced_runs, text_or_empty
 
-PIECE_CACHE = 120_000      # entries of a generation per worker; bounds memory, not results
-PAIR_CACHE = 400_000
+PIECE_CACHE = 30_000       # entries of a generation per worker; they bound memory, not results
+RUN_CACHE = 90_000
+PAIR_CACHE = 250_000
 ENDINGS = ".,;:!?"         # signs that the pattern matches together after a word
 
 
@@ -72,7 +73,7 @@ class BytePairEncoder:
         self._find_last_merges()
         self._fits.clear()
         self.pieces = Remembered(self.encode_piece, PIECE_CACHE)
-        self.runs = Remembered(self._encode_spaced_run, PIECE_CACHE)
+        self.runs = Remembered(self._encode_spaced_run, RUN_CACHE)
         self.sizes = np.zeros(max(self.token) + 1, dtype=np.int64)
         self.starts = np.zeros(max(self.token) + 1, dtype=np.int64)
         self.flat = np.frombuffer(b"".join(self.token.values()), dtype=np.uint8)
@@ -233,11 +234,26 @@ class Tokenizer:
 
         return df.withColumn("decoded", bytes_of(F.coalesce(F.col(ids_col), F.lit(bytearray()))))
 
+    def round_trip(self, df: DataFrame, text_col: str = "text") -> DataFrame:
+        """Add ``token_ids``, ``n_tokens`` and ``decoded`` in one pass: ids as encode(), bytes as decode() of them."""
+        vocabulary, pattern = self.vocabulary, self.pattern
+
+        @F.pandas_udf("struct<token_ids:binary,decoded:binary>")
+        def both(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            encoder = _encoder(vocabulary, pattern)
+            for batch in texts:
+                ids = [encoder.encode(t) for t in batch]
+                yield pd.DataFrame({"token_ids": ids, "decoded": [encoder.decode(i) for i in ids]}, dtype=object)
+
+        return (df.withColumn("__both", both(text_or_empty(text_col)))
+                  .withColumn("token_ids", F.col("__both.token_ids")).withColumn("decoded", F.col("__both.decoded"))
+                  .withColumn("n_tokens", F.expr("cast(octet_length(token_ids) div 4 as bigint)")).drop("__both"))
+
 
 def encoded_digests(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """Per document the id count and the digests of ids and decoded bytes."""
     tokenizer = Tokenizer(spark)
-    coded = tokenizer.decode(tokenizer.encode(documents.select("doc_id", "text")))
+    coded = tokenizer.round_trip(documents.select("doc_id", "text"))
     return coded.select(F.col("doc_id"), "n_tokens",
                         F.sha2(F.col("token_ids"), 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))

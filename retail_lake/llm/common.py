@@ -19,11 +19,20 @@ WORD_BYTES = bytes(b if b in _KEPT else 0x20 for b in _FOLD)
 
 
 _SHIPPED: set[str] = set()
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package's code to the executors, once per application (as ``--py-files`` would)."""
-    sc = spark.sparkContext
+    """Make a session ready for Python workers.
+
+    Arrow batches are held to BATCH_ROWS and BATCH_BYTES, so that a worker's
+    memory does not follow the length of texts, and this package's code is
+    sent to the executors once per application (as ``--py-files`` would).
+    """
+    conf, sc = spark.conf, spark.sparkContext
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
     if sc.applicationId in _SHIPPED:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
