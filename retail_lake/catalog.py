@@ -78,7 +78,7 @@ for _name, (_checks, _covers) in _quality.QUALITY_QUERIES.items():
 
 
 def _dictionary(lake: Lake) -> DataFrame:
-    return data_dictionary({t: _quality.model_table(lake, t) for t in DICTIONARY_TABLES}, exact=True)
+    return data_dictionary({t: _quality.model_table(lake, t) for t in DICTIONARY_TABLES})
 
 
 register("data_dictionary", _dictionary, oracle.dictionary_sql(), "L4")

@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import hashlib
 import threading
+import uuid
+from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,7 +25,7 @@ from retail_lake.sources import fixtures
 from retail_lake.sources.sinks import CheckpointSink
 
 _WRITTEN: dict[tuple, DataFrame] = {}
-_LOCK = threading.RLock()
+_LOCKS: dict[tuple, threading.RLock] = defaultdict(threading.RLock)     # one per model, so others build meanwhile
 
 
 class Lake:
@@ -44,8 +46,10 @@ class Lake:
         self.materialize, self.raw, self.corrected = materialize, raw or {}, corrected
         self._lazy: dict[str, DataFrame] = {}
         token = hashlib.sha1(repr((sf_dir, params, corrected)).encode()).hexdigest()[:12]
-        # models written by an explicit sink belong to that sink's run; the default
-        # sink is shared by every Lake over the same inputs in this application
+        # models of given raw frames or of an explicit sink belong to this Lake or that
+        # sink's run; the default sink is shared by every Lake over the same folder
+        if raw:
+            token = uuid.uuid4().hex[:12]
         self._key = (spark.sparkContext.applicationId, token, getattr(sink, "uid", None))
         self.sink = sink if sink is not None or not materialize else CheckpointSink(spark, token)
 
@@ -56,15 +60,19 @@ class Lake:
                 self._lazy[name] = build()
             return self._lazy[name]
         key = self._key + (name,)
-        with _LOCK:
+        with _LOCKS[key]:
             if key not in _WRITTEN:
                 _WRITTEN[key] = self.sink.write(name, build())
             return _WRITTEN[key]
 
     def provide(self, name: str, df: DataFrame) -> None:
         """Use an already written table for a model (e.g. the stock history)."""
-        with _LOCK:
-            _WRITTEN[self._key + (name,)] = df
+        _WRITTEN[self._key + (name,)] = df
+
+    def provided(self, name: str, build) -> DataFrame:
+        """A gold model: the written table if the run provided one, else its plan."""
+        written = _WRITTEN.get(self._key + (name,))
+        return build() if written is None else written
 
     def _raw(self, name: str, derive) -> DataFrame:
         if name in self.raw:
@@ -140,11 +148,18 @@ class Lake:
                                                    self.dim_products(one_row_per_sku), self.params.usd_inr))
 
     # ----------------------------------------------------------------- gold
+    def _gold(self, name: str, one_row_per_sku: bool | None, build) -> DataFrame:
+        _, sfx = self._suffix(one_row_per_sku, "_one_per_sku")
+        return self.provided(name + sfx, build)
+
     def inventory_analysis(self, one_row_per_sku: bool | None = None) -> DataFrame:
-        return gold.inventory_analysis(self.fct_inventory, self.fct_sales(one_row_per_sku), self.params.as_of)
+        return self._gold("inventory_analysis", one_row_per_sku, lambda: gold.inventory_analysis(
+            self.fct_inventory, self.fct_sales(one_row_per_sku), self.params.as_of))
 
     def sales_summary_by_product(self, one_row_per_sku: bool | None = None) -> DataFrame:
-        return gold.sales_summary_by_product(self.fct_sales(one_row_per_sku))
+        return self._gold("sales_summary_by_product", one_row_per_sku,
+                          lambda: gold.sales_summary_by_product(self.fct_sales(one_row_per_sku)))
 
     def sales_summary_by_region(self, one_row_per_sku: bool | None = None) -> DataFrame:
-        return gold.sales_summary_by_region(self.fct_sales(one_row_per_sku))
+        return self._gold("sales_summary_by_region", one_row_per_sku,
+                          lambda: gold.sales_summary_by_region(self.fct_sales(one_row_per_sku)))

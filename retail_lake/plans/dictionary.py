@@ -3,11 +3,10 @@ values, min and max, as a DataFrame (re-aims the reference's docs step).
 
 One aggregate per table computes rows, NULLs, min and max of every column in
 a single pass, then ``stack`` turns the wide row into one row per column.
-Distinct counts: ``exact=False`` (pipeline runs) uses ``approx_count_distinct``
-in the same pass; ``exact=True`` (the registered query) counts each column in
-its own aggregate over that one column, pre-reduced to distinct values
-map-side, instead of one multi-distinct aggregate whose Expand would copy
-every row once per column.
+Distinct counts are exact everywhere: each column is counted in its own
+aggregate over that one column, pre-reduced to distinct values map-side,
+instead of one multi-distinct aggregate whose Expand would copy every row once
+per column.
 """
 
 from __future__ import annotations
@@ -32,7 +31,7 @@ def _text(field) -> str:
     return f"CAST({{agg}}({c}) AS STRING)"
 
 
-def profile(df: DataFrame, table: str, exact: bool = True) -> DataFrame:
+def profile(df: DataFrame, table: str) -> DataFrame:
     fields = df.schema.fields
     aggs = ["count(*) AS __rows"]
     for i, f in enumerate(fields):
@@ -40,14 +39,11 @@ def profile(df: DataFrame, table: str, exact: bool = True) -> DataFrame:
         aggs += [f"CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n{i}",
                  _text(f).format(agg="min") + f" AS lo{i}",
                  _text(f).format(agg="max") + f" AS hi{i}"]
-        if not exact:
-            aggs.append(f"CAST(approx_count_distinct({c}) AS BIGINT) AS d{i}")
     wide = df.agg(*[F.expr(a) for a in aggs])
-    if exact:
-        # one scalar subquery per column (Spark runs them concurrently), no join
-        wide = wide.select("*", *[
-            df.where(f"{q(f.name)} IS NOT NULL").select(q(f.name)).distinct().selectExpr("count(*)").scalar()
-              .alias(f"d{i}") for i, f in enumerate(fields)])
+    # one scalar subquery per column (Spark runs them concurrently), no join
+    wide = wide.select("*", *[
+        df.where(f"{q(f.name)} IS NOT NULL").select(q(f.name)).distinct().selectExpr("count(*)").scalar()
+          .alias(f"d{i}") for i, f in enumerate(fields)])
     rows = ", ".join(f"{s(f.name)}, {s(f.dataType.simpleString())}, n{i}, d{i}, lo{i}, hi{i}"
                      for i, f in enumerate(fields))
     return wide.selectExpr(
@@ -55,5 +51,5 @@ def profile(df: DataFrame, table: str, exact: bool = True) -> DataFrame:
         f"stack({len(fields)}, {rows}) AS (column_name, data_type, null_count, distinct_count, min_value, max_value)")
 
 
-def data_dictionary(tables: dict[str, DataFrame], exact: bool = True) -> DataFrame:
-    return reduce(DataFrame.unionByName, [profile(df, name, exact) for name, df in tables.items()])
+def data_dictionary(tables: dict[str, DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [profile(df, name) for name, df in tables.items()])

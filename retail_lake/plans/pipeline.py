@@ -4,7 +4,9 @@ Models are built in dependency order; each is written as a table (one
 database per layer) and read back by the next, as in the reference's table
 materialisation. After each layer its quality checks run as Spark aggregates;
 a check with status 'failed' stops the run (the reference only logged
-failures). Every model step appends a row to the run log.
+failures). Every model step appends a row to the run log, a failing one with
+status 'failed'. A layer that is not selected is not touched: the layers above
+read the tables that an earlier run wrote.
 """
 
 from __future__ import annotations
@@ -68,23 +70,32 @@ def run_pipeline(spark: SparkSession, params: RunParams, raw: dict[str, DataFram
 
     def step(layer: str, name: str, build) -> DataFrame:
         started, t0 = dt.datetime.now().replace(microsecond=0), time.time()
-        df = build()
-        log.append((pipeline_id, layer, name, "success", df.count(), started, round(time.time() - t0, 3)))
+        try:
+            df = build()
+            rows = df.count()
+        except Exception:
+            log.append((pipeline_id, layer, name, "failed", None, started, round(time.time() - t0, 3)))
+            _write_log(spark, sink, log)
+            raise
+        log.append((pipeline_id, layer, name, "success", rows, started, round(time.time() - t0, 3)))
         return df
 
     def check(layer: str) -> None:
         results = quality.run_checks(lake, quality.layer_checks(layer))
-        written = sink.write(f"quality_{layer}", results.withColumn("pipeline_id", F.lit(pipeline_id)))
+        written = sink.append("quality_results", results.withColumn("pipeline_id", F.lit(pipeline_id))
+                              .withColumn("checked_layer", F.lit(layer)))
+        written = written.where((F.col("pipeline_id") == pipeline_id) & (F.col("checked_layer") == layer)) \
+                         .drop("checked_layer")
         checks.append(written)
         failed = written.where("status = 'failed'").collect()   # at most one row per check
         if gate and failed:
             _write_log(spark, sink, log)
             raise QualityGateError(layer, failed)
 
-    # seed: land the raw files as bronze tables, then read them back
-    landed = {t: step("seed", t, lambda t=t: sink.write(t, getattr(lake, t))) for t in RAW_TABLES}
-    lake.raw.update(landed)
     if "bronze" in layers:
+        # seed: land the raw files as bronze tables, then read them back
+        landed = {t: step("seed", t, lambda t=t: sink.write(t, getattr(lake, t))) for t in RAW_TABLES}
+        lake.raw.update(landed)
         for name, build in BRONZE.items():
             step("bronze", name, lambda build=build: build(lake))
         history = step("bronze", "stg_stock_history", lambda: sink.append_partition(
@@ -93,16 +104,23 @@ def run_pipeline(spark: SparkSession, params: RunParams, raw: dict[str, DataFram
             "load_id"))
         lake.provide("stg_stock_history", history.drop("load_id"))
         check("bronze")
+    else:
+        for name in BRONZE:
+            lake.provide(name, sink.table(name))
+        lake.provide("stg_stock_history", sink.table("stg_stock_history").drop("load_id"))
     if "silver" in layers:
         for name, build in SILVER.items():
             step("silver", name, lambda build=build: build(lake))
         check("silver")
+    elif "gold" in layers:
+        for name in SILVER:
+            lake.provide(name, sink.table(name))
     if "gold" in layers:
         for name, build in GOLD.items():
-            step("gold", name, lambda name=name, build=build: sink.write(name, build(lake)))
+            lake.provide(name, step("gold", name, lambda name=name, build=build: sink.write(name, build(lake))))
         check("gold")
         step("docs", "data_dictionary", lambda: sink.write("data_dictionary", data_dictionary(
-            {name: build(lake) for name, build in SILVER.items()}, exact=False)))
+            {name: build(lake) for name, build in SILVER.items()})))
     run_log = _write_log(spark, sink, log)
     quality_rows = reduce(DataFrame.unionByName, checks) if checks else None
     return RunResult(pipeline_id, run_log, quality_rows)
@@ -110,7 +128,4 @@ def run_pipeline(spark: SparkSession, params: RunParams, raw: dict[str, DataFram
 
 def _write_log(spark: SparkSession, sink: CatalogSink, log: list[tuple]) -> DataFrame:
     """Append this run's step rows to ops.run_log (a small, bounded driver-side list)."""
-    df = spark.createDataFrame(log, RUN_LOG_SCHEMA)
-    table = f"{sink.database('run_log')}.run_log"
-    df.write.mode("append").format(sink.fmt).saveAsTable(table)
-    return spark.table(table)
+    return sink.append("run_log", spark.createDataFrame(log, RUN_LOG_SCHEMA))

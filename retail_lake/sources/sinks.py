@@ -24,6 +24,9 @@ LAYER_OF = {
 }
 
 
+HISTORY_TABLES = {"stg_stock_history"}      # append-only: never written as a full refresh
+
+
 def layer_of(name: str) -> str:
     base = name.replace("_resolved", "").replace("_one_per_sku", "")
     return LAYER_OF.get(base, "silver")
@@ -55,7 +58,18 @@ class CatalogSink:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{where}")
         return db
 
+    def table(self, name: str) -> DataFrame:
+        """A table written by an earlier run."""
+        return self.spark.table(f"{self.database(name)}.{name}")
+
+    def append(self, name: str, df: DataFrame) -> DataFrame:
+        table = f"{self.database(name)}.{name}"
+        df.write.mode("append").format(self.fmt).saveAsTable(table)
+        return self.spark.table(table)
+
     def write(self, name: str, df: DataFrame) -> DataFrame:
+        if name in HISTORY_TABLES:
+            raise ValueError(f"{name} is append-only and cannot be refreshed")
         table = f"{self.database(name)}.{name}"
         df.write.mode("overwrite").format(self.fmt).saveAsTable(table)
         return self.spark.table(table)

@@ -101,3 +101,57 @@ def test_command_line_run_from_seed_csvs(spark, tmp_path, capsys):
     staged = (spark.table("bronze.stg_amazon_sales").where("order_status NOT IN ('Cancelled')").count()
               + spark.table("bronze.stg_international_sales").where("transaction_id IS NOT NULL").count())
     assert spark.table("silver.fct_sales").count() == staged
+
+
+def test_layers_read_what_was_written_and_keep_the_history(spark, tmp_path):
+    loc = str(tmp_path / "wh4")
+    spark.sql("DROP TABLE IF EXISTS bronze.stg_stock_history")
+    run_pipeline(spark, PARAMS, sf_dir=SF_SMALL, location=loc)
+    before = spark.table("bronze.stg_stock_history").count()
+    for layers in (("silver",), ("gold",)):
+        res = run_pipeline(spark, PARAMS, layers=layers, location=loc)       # no input: upstream comes from the tables
+        own = {r.layer for r in res.run_log.where(f"pipeline_id = '{res.pipeline_id}'").collect()}
+        assert own == set(layers) | ({"docs"} if layers == ("gold",) else set())
+        assert res.quality.where("status = 'failed'").count() == 0
+    assert spark.table("bronze.stg_stock_history").count() == before
+    runs = spark.table("ops.quality_results").select("pipeline_id").distinct().count()
+    assert runs >= 3                                                         # results are appended
+
+
+def test_a_failing_model_is_logged(spark, tmp_path, monkeypatch):
+    from retail_lake.plans import pipeline
+
+    def broken(lake):
+        raise RuntimeError("broken model")
+
+    monkeypatch.setitem(pipeline.BRONZE, "stg_amazon_sales", broken)
+    n = spark.table("ops.run_log").where("status = 'failed'").count()
+    with pytest.raises(RuntimeError, match="broken model"):
+        run_pipeline(spark, PARAMS, sf_dir=SF_SMALL, layers=("bronze",), location=str(tmp_path / "wh5"))
+    assert spark.table("ops.run_log").where("status = 'failed'").count() == n + 1
+
+
+def test_lakes_over_other_frames_share_nothing(spark):
+    from retail_lake.lake import Lake
+    frame = lambda *skus: spark.createDataFrame(
+        [(k, "D", 1, "C", "S", "Red") for k in skus],
+        "`SKU Code` string, `Design No.` string, Stock int, Category string, Size string, Color string")
+    first = Lake(spark, params=PARAMS, raw={"raw_stock_levels": frame("SKU1")}).stg_stock_levels
+    second = Lake(spark, params=PARAMS, raw={"raw_stock_levels": frame("SKU2", "SKU3")}).stg_stock_levels
+    assert [r.sku_code for r in first.collect()] == ["SKU1"]
+    assert sorted(r.sku_code for r in second.collect()) == ["SKU2", "SKU3"]
+
+
+def test_seeds_are_read_by_header_name(spark, tmp_path):
+    from retail_lake.sources.seeds import malformed_values, read_seed
+    f = tmp_path / "stock.csv"
+    f.write_text("index,Stock,SKU Code,Color,Design No.,Category,Size\n"
+                 "0,5,SKU1,Red,D,C,S\n1,twelve,SKU2,Blue,D,C,M\n")
+    rows = read_seed(spark, "raw_stock_levels", str(f)).select("`SKU Code`", "Stock").collect()
+    assert [tuple(r) for r in rows] == [("SKU1", 5), ("SKU2", None)]
+    counts = {r.column_name: r.malformed for r in malformed_values(spark, "raw_stock_levels", str(f)).collect()}
+    assert counts["Stock"] == 1 and sum(counts.values()) == 1
+    g = tmp_path / "short.csv"
+    g.write_text("SKU Code,Stock\nSKU1,5\n")
+    with pytest.raises(ValueError, match="lacks the columns"):
+        read_seed(spark, "raw_stock_levels", str(g))
