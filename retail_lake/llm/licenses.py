@@ -121,7 +121,8 @@ def word_idf(df: DataFrame, text_col: str = "text") -> dict[bytes, float]:
             yield pd.Series([sorted(place[w] for w in set(words(t)).intersection(place)) for t in batch],
                             dtype=object)
 
-    rows = df.select(present(text_or_empty(text_col)).alias("ws"))
+    # not deterministic only in name: keeps the optimizer from running it again in a filter of its own
+    rows = df.select(present.asNondeterministic()(text_or_empty(text_col)).alias("ws"))
     n, counts = 0, {}
     for r in (rows.select(F.explode(F.concat(F.array(F.lit(-1)), "ws")).alias("w")).groupBy("w").count().collect()):
         if r.w < 0:
