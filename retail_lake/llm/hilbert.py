@@ -101,7 +101,8 @@ def shard_documents(documents: DataFrame, shards: int = 8) -> DataFrame:
     buckets = (buckets.withColumn("inside", F.sum("n").over(inside) - F.col("n")).join(cells, "curve")
                       .select("curve", "sub", (F.col("before") + F.col("inside")).alias("first")))
     place = F.row_number().over(Window.partitionBy("curve", "sub").orderBy("doc_id", "row")) - 1
-    ranked = (rows.withColumn("place", place).join(buckets, ["curve", "sub"])
+    # buckets grow with the documents: never broadcast; the rows are dealt by the same key already
+    ranked = (rows.withColumn("place", place).join(buckets.hint("merge"), ["curve", "sub"])
                   .withColumn("rank", F.col("first") + F.col("place")))
     small, large = total // shards, total % shards           # the first `large` shards take one row more
     edge = large * (small + 1)
