@@ -89,7 +89,7 @@ def revenue_tier(revenue: str) -> str:
 
 def to_inr(amount: str, currency: str, usd_inr: float) -> str:
     """USD amounts times the fixed rate, other currencies unchanged (exact decimal)."""
-    rate = f"CAST('{usd_inr}' AS DECIMAL(10,4))"
+    rate = f"CAST('{usd_inr}' AS DECIMAL(10,4))"                 # money has two decimals: six hold the product
     return case([(f"{currency} = 'USD'", f"{amount} * {rate}")], amount)
 
 

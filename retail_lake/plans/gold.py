@@ -94,14 +94,14 @@ def product_sales(fct_sales: DataFrame) -> DataFrame:
         *PRODUCT_KEYS, "total_transactions", "CAST(total_units_sold AS BIGINT) AS total_units_sold",
         "CAST(_revenue AS DOUBLE) AS total_revenue_inr", "avg_selling_price", "active_months",
         "first_sale_date", "last_sale_date",
-        f"{safe_ratio('_revenue', 'total_transactions')} AS avg_order_value")
+        f"{safe_ratio('_revenue', 'total_transactions')} AS avg_order_value", "_revenue")
 
 
 def sales_summary_by_product(fct_sales: DataFrame, sort: bool = True) -> DataFrame:
     # the aggregate feeds the rows and both rank tables: compute it once
     ps = stage(product_sales(fct_sales), "product_sales")
-    ranked = global_ranks(ps, {"revenue_rank": "total_revenue_inr", "volume_rank": "total_units_sold"})
-    out = conform(ranked.selectExpr("*", f"{revenue_tier('total_revenue_inr')} AS revenue_tier"),
+    ranked = global_ranks(ps, {"revenue_rank": "_revenue", "volume_rank": "total_units_sold"})
+    out = conform(ranked.selectExpr("*", f"{revenue_tier('_revenue')} AS revenue_tier"),
                   SALES_SUMMARY_BY_PRODUCT)
     return out.orderBy(*_sorted_with_ties_split("total_revenue_inr", True, PRODUCT_KEYS)) if sort else out
 
@@ -130,6 +130,6 @@ def sales_summary_by_region(fct_sales: DataFrame, sort: bool = True) -> DataFram
     shared = r.withColumn("revenue_share_percentage",
                           F.round(F.try_divide(F.lit(100.0) * F.col("_revenue").cast("double"),
                                                total.cast("double")), 2))
-    ranked = global_rank(shared, "total_revenue_inr", "state_rank")
+    ranked = global_rank(shared, "_revenue", "state_rank")
     out = conform(ranked, SALES_SUMMARY_BY_REGION)
     return out.orderBy(*_sorted_with_ties_split("total_revenue_inr", True, REGION_KEYS)) if sort else out

@@ -204,7 +204,7 @@ def product_category_rules(lake: Lake) -> DataFrame:       # E7
 def currency_to_inr(lake: Lake) -> DataFrame:              # E8
     u = silver.sales_channels(lake.stg_amazon_sales, lake.stg_international_sales)
     return u.selectExpr("sales_id", "sales_channel", "currency", "amount",
-                        f"CAST({to_inr('amount', 'currency', lake.params.usd_inr)} AS DECIMAL(22,3))"
+                        f"CAST({to_inr('amount', 'currency', lake.params.usd_inr)} AS DECIMAL(28,6))"
                         " AS gross_revenue_inr")
 
 

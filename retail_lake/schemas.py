@@ -14,7 +14,7 @@ from pyspark.sql.types import (
 from retail_lake.functions.sql import q
 
 MONEY = DecimalType(18, 2)
-MONEY_INR = DecimalType(22, 3)
+MONEY_INR = DecimalType(28, 6)
 
 
 def _s(*fields):

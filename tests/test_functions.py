@@ -95,8 +95,10 @@ def test_revenue_tier(spark):
 def test_to_inr_exact_decimal(spark):
     rows = [(dt.date(2001, 1, 1), "USD"), (dt.date(2001, 1, 1), "INR")]
     df = spark.createDataFrame(rows, "d date, c string").selectExpr("CAST(12.35 AS DECIMAL(18,2)) AS a", "c")
-    got = [r[0] for r in df.selectExpr(f"CAST({R.to_inr('a', 'c', 83.5)} AS DECIMAL(22,3))").collect()]
-    assert [str(x) for x in got] == ["1031.225", "12.350"]
+    got = [r[0] for r in df.selectExpr(f"CAST({R.to_inr('a', 'c', 83.5)} AS DECIMAL(28,6))").collect()]
+    assert [str(x) for x in got] == ["1031.225000", "12.350000"]
+    cent = spark.sql("SELECT CAST(0.05 AS DECIMAL(18,2)) AS a, 'USD' AS c")
+    assert str(cent.selectExpr(f"CAST({R.to_inr('a', 'c', 83.1234)} AS DECIMAL(28,6))").first()[0]) == "4.156170"
 
 
 def test_share_of_total_zero_total(spark):
