@@ -48,17 +48,15 @@ def flag_or_false(c: str) -> str:
 def parse_dmy(c: str, pivot: int = TWO_DIGIT_YEAR_PIVOT) -> str:
     """Parse 'DD-MM-YY' into a DATE; anything unparseable becomes NULL.
 
-    Spark's ``yy`` maps 95 to 2095, so the century is chosen explicitly with a
-    pivot (yy >= pivot -> 19yy, else 20yy). Impossible dates (31-02-01) are
-    NULL through ``try_to_timestamp`` rather than an ANSI error.
+    One pattern test and one parse per value. Spark's ``yy`` always means
+    20yy; years from the pivot on are moved back a century (from the pivot on
+    both centuries have the same leap years, so the day stays). Impossible
+    dates (31-02-01) are NULL through ``try_to_timestamp``, not an ANSI error.
     """
     t = f"trim({ref(c)})"
-    pat = s(DMY_PATTERN)
-    d, m, y = (f"regexp_extract({t}, {pat}, {i})" for i in (1, 2, 3))
-    year = f"(CASE WHEN CAST({y} AS INT) >= {pivot} THEN '19' ELSE '20' END || {y})"
-    text = f"lpad({d}, 2, '0') || '-' || lpad({m}, 2, '0') || '-' || {year}"
-    return (f"(CASE WHEN {t} RLIKE {pat} "
-            f"THEN CAST(try_to_timestamp({text}, 'dd-MM-yyyy') AS DATE) END)")
+    century = f"CASE WHEN right({t}, 2) >= '{pivot:02d}' THEN -1200 ELSE 0 END"
+    return (f"(CASE WHEN {t} RLIKE {s(DMY_PATTERN)} "
+            f"THEN add_months(CAST(try_to_timestamp({t}, 'd-M-yy') AS DATE), {century}) END)")
 
 
 def dmy_castable(c: str) -> str:

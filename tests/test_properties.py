@@ -113,7 +113,9 @@ def test_parse_dmy_matches_python(spark):
     rnd = random.Random(5)
     parts = lambda: str(rnd.randint(0, 40)).zfill(rnd.choice([1, 2]))
     samples = [f"{parts()}-{parts()}-{str(rnd.randint(0, 99)).zfill(2)}" for _ in range(300)]
-    samples += ["", " ", "1-1-1", "01/01/01", "aa-bb-cc", None, "29-02-00", "29-02-01", "31-04-99"]
+    samples += ["", " ", "1-1-1", "01/01/01", "aa-bb-cc", None, "29-02-00", "29-02-01", "31-04-99", "29-02-72",
+                "29-02-96", "31-12-69", "01-01-70", "001-01-01", "1-1-001", "+1-01-01", "-1-01-01", "1-1-01 x", "1 -1-01",
+                " 3-4-05 ", "1-1-2001", "0-1-01", "1-0-01", "1-1-0a"]
     got = [r[0] for r in spark.createDataFrame([(x,) for x in samples], "d string")
            .selectExpr(parse_dmy("d")).collect()]
     assert got == [_python_dmy(x) for x in samples]
