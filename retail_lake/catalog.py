@@ -1,7 +1,8 @@
 """Registry of queries: key -> (Spark builder over a Lake, oracle SQL text).
 
-Every query reads the whole input tables of the folder it is given; keys
-without an oracle statement are checked against brute force in tests/.
+Queries read the folder's whole tables, but for queries on one sales channel,
+which read that channel's order lines (see sources/fixtures.py); keys without
+an oracle statement are checked against brute force in tests/.
 """
 
 from __future__ import annotations
