@@ -14,7 +14,7 @@ visits every cell whose box passes the chi-square test. Inside a block a local
 kd-tree yields its leaves in ascending projected distance, the vectors of a
 leaf are verified by exact cosine, and the same test stops the search.
 
-Queries are dealt in blocks of ``QUERY_ROWS``. Of identical vectors only the
+The queries sent to a cell are dealt in parts of about ``QUERY_ROWS``. Of identical vectors only the
 k + 1 smallest ids are indexed: any other has k better ones by the tie rule.
 Identical queries are searched once.
 
@@ -44,6 +44,7 @@ SAMPLE_ROWS = 4096
 CELL_ROWS = 20_000
 QUERY_ROWS = 50_000
 LEAF = 256
+ROUNDING = 1e-12           # projections of parallel vectors differ by rounding alone
 
 
 def chi_square_cdf(x: np.ndarray, m: int = PROJECTED) -> np.ndarray:
@@ -154,7 +155,7 @@ def search_block(rows: pd.DataFrame, queries: pd.DataFrame, k: int, ratio: float
         best_ids, best = np.zeros(0, dtype=np.int64), np.zeros(0)
         limit = bound                                        # squared true distance of the k-th best so far
         for leaf in np.argsort(far, kind="stable"):
-            if far[leaf] > ratio * limit:
+            if far[leaf] > ratio * limit + ROUNDING:
                 break
             own = leaves[leaf]
             score = (x[own] * q).sum(axis=1) / (norms[own] * norm)
@@ -169,10 +170,18 @@ def search_block(rows: pd.DataFrame, queries: pd.DataFrame, k: int, ratio: float
             else pd.DataFrame({"qid": [], "vec_id": [], "score": []})).astype({"qid": "int64", "vec_id": "int64"})
 
 
-def _searched(index: DataFrame, asked: DataFrame, k: int, ratio: float, blocks: int) -> DataFrame:
-    """Search (cell, sub) blocks for the queries sent there; asked: qid, vec, bound, cell, sub."""
-    asked = asked.withColumn("part", F.pmod(F.xxhash64("qid"), F.lit(blocks)))
-    index = index.withColumn("part", F.explode(F.expr(f"sequence(0L, {blocks - 1}L)")))
+def _searched(index: DataFrame, asked: DataFrame, cells: DataFrame, k: int, ratio: float) -> DataFrame:
+    """Search every block of the cells that queries are sent to; asked: qid, vec, bound, cell.
+
+    A cell's queries are dealt to parts of about ``QUERY_ROWS``, and only such
+    a cell's rows are copied, once for each of its parts.
+    """
+    parts = asked.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_ROWS).alias("parts"))
+    parts = F.broadcast(cells.join(parts, "cell"))           # as many rows as cells
+    index = (index.join(parts.select("cell", "parts"), "cell")
+                  .withColumn("part", F.explode(F.expr("sequence(0L, parts - 1)"))))
+    asked = (asked.join(parts, "cell").withColumn("part", F.pmod(F.xxhash64("qid"), F.col("parts")))
+                  .withColumn("sub", F.explode(F.expr("sequence(0L, cast(subs - 1 as bigint))"))))
     keys = ["cell", "sub", "part"]
 
     def both(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
@@ -240,12 +249,9 @@ def nearest_neighbours(df: DataFrame, is_query: Column, k: int = 5, id_col: str
                    .withColumn("sub", F.pmod(F.xxhash64("vec_id"), F.col("subs"))).select("cell", "sub", "vec_id", "vec"))
 
     searched = queries.groupBy("vec").agg(F.min("query_id").alias("qid"))
-    n_queries = searched.count()
-    blocks = max(1, math.ceil(n_queries / QUERY_ROWS))
     asked = stage(searched.withColumn("at", located("vec")).select("qid", "vec", "at.cell", "at.p"), "asked")
-    every_sub = lambda d: (d.join(F.broadcast(cells), "cell")
-                           .withColumn("sub", F.explode(F.expr("sequence(0L, cast(subs - 1 as bigint))"))))
-    home = stage(_searched(index, every_sub(asked.withColumn("bound", F.lit(float("inf")))), want, ratio, blocks), "home")
+    home = asked.select("qid", "vec", F.lit(float("inf")).alias("bound"), "cell")
+    home = stage(_searched(index, home, cells, want, ratio), "home")
     best = Window.partitionBy("qid").orderBy(F.desc("score"), "vec_id")
     bound = (home.withColumn("r", F.row_number().over(best)).where(F.col("r") == want)
                  .select("qid", F.greatest(F.lit(0.0), 2 - 2 * F.col("score")).alias("bound")))
@@ -260,13 +266,13 @@ def nearest_neighbours(df: DataFrame, is_query: Column, k: int = 5, id_col: str
             for c, d, q, b in zip(home_cell, dim, p, bound_, strict=True):
                 far = (np.maximum(0, np.maximum(lo - q, q - hi)) ** 2).sum(axis=1)
                 own = (names >= first[d]) & (names < first[d] + trees[d].n) if d in trees else names == spare + d
-                out.append(names[own & (far <= ratio * b) & (names != c)].tolist())
+                out.append(names[own & (far <= ratio * b + ROUNDING) & (names != c)].tolist())
             yield pd.Series(out, dtype=object)
 
-    again = (asked.join(bound, "qid", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
-                  .withColumn("more", other_cells("cell", F.size("vec"), "p", "bound"))
-                  .select("qid", "vec", "bound", F.explode("more").alias("cell")))
-    found = home.unionByName(_searched(index, every_sub(again), want, ratio, blocks))
+    again = stage(asked.join(bound, "qid", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+                       .withColumn("more", other_cells("cell", F.size("vec"), "p", "bound"))
+                       .select("qid", "vec", "bound", F.explode("more").alias("cell")), "again")
+    found = home.unionByName(_searched(index, again, cells, want, ratio))
     top = found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= want).drop("r")
     names = queries.join(searched, "vec").select("query_id", "qid")
     own = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
