@@ -11,7 +11,8 @@ shingles themselves.
 
 The benchmark is searched in blocks of at most ``block_rows`` items and
 ``block_chars`` characters; only a block is broadcast, so the size sent out is
-bounded whatever the size of the benchmark. Documents are never shuffled.
+bounded whatever the size of the benchmark, and repeated items are sent once
+with their number. Documents are never shuffled.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z. Edge
 cases: items of one to four words are one shingle, their whole sequence of
@@ -34,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retail_lake.llm.common import Remembered, ship_package, text_or_empty, words
+from retail_lake.operators.stages import stage
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -49,11 +51,11 @@ def shingles(w: list[bytes], size: int) -> list[bytes]:
 class ItemIndex:
     """Sketches of one block of items, partitioned by shingle length and number."""
 
-    def __init__(self, items: list[tuple[object, str]], threshold: float):
+    def __init__(self, items: list[tuple[object, str, int]], threshold: float):
         self.word_hash = Remembered(xxhash.xxh64_intdigest, 200_000)
-        self.items: list[tuple[object, frozenset, int]] = []
+        self.items: list[tuple[object, frozenset, int, int]] = []
         partitions: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
-        for item_id, text in items:
+        for item_id, text, copies in items:
             w = words(text)
             if not w:
                 continue
@@ -63,7 +65,7 @@ class ItemIndex:
             hashes = np.unique(self.hashes(w, size))
             for h in hashes[:len(own) - need + 1].tolist():
                 partitions[size][h].append(len(self.items))
-            self.items.append((item_id, own, need))
+            self.items.append((item_id, own, need, copies))
         #: shingle length -> (sorted sketch hashes, hash -> items)
         self.partitions = {size: (np.array(sorted(p), dtype=np.uint64), dict(p)) for size, p in partitions.items()}
 
@@ -76,8 +78,8 @@ class ItemIndex:
             total += h[k:k + n] * _MULTIPLIERS[k]
         return total
 
-    def contained(self, text: str) -> list[tuple[object, int, int]]:
-        """(item id, shingles found, shingles of the item) of all items that the text holds."""
+    def contained(self, text: str) -> list[tuple[object, int, int, int]]:
+        """(item id, shingles found, shingles of the item, its copies) of all items that the text holds."""
         w = words(text)
         found = []
         for size, (sketch, postings) in self.partitions.items():
@@ -89,16 +91,17 @@ class ItemIndex:
             if candidates:
                 own = set(shingles(w, size))
                 for i in sorted(candidates):
-                    item_id, item, need = self.items[i]
+                    item_id, item, need, copies = self.items[i]
                     matched = len(item & own)
                     if matched >= need:
-                        found.append((item_id, matched, len(item)))
+                        found.append((item_id, matched, len(item), copies))
         return found
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> list[DataFrame]:
-    """The benchmark in as many hash blocks as its size asks for."""
+    """The benchmark, repeated items as one, in as many hash blocks as its size asks for."""
     items = benchmark.select(F.col(id_col).alias("item_id"), text_or_empty(text_col).alias("text"))
+    items = stage(items.groupBy("item_id", "text").agg(F.count("*").alias("copies")), "items")
     n, chars = items.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     k = max(1, math.ceil(2 * n / BLOCK_ITEMS), math.ceil(2 * chars / BLOCK_CHARS))
     if k == 1:
@@ -118,23 +121,24 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
         hits = _hits(_shared(block, threshold), item_type)
         part = (docs.select(F.col(id_col), hits(text_or_empty(text_col)).alias("__hits"))
                     .select(F.col(id_col), F.explode("__hits").alias("__hit"))
-                    .select(F.col(id_col), "__hit.*"))
+                    .select(F.col(id_col), "__hit.*", F.explode(F.expr("sequence(1L, __hit.copies)")).alias("__copy"))
+                    .drop("copies", "__copy"))
         result = part if result is None else result.unionByName(part)
     return result.withColumn("containment", F.col("matched") / F.col("n_shingles"))
 
 
 def _shared(block: DataFrame, threshold: float):
     """Broadcast of one bounded block of items."""
-    rows = sorted(((r.item_id, r.text) for r in block.toLocalIterator()), key=str)
+    rows = sorted(((r.item_id, r.text, r.copies) for r in block.toLocalIterator()), key=str)
     return block.sparkSession.sparkContext.broadcast((rows, threshold))
 
 
 def _hits(shared, item_type: str):
-    @F.pandas_udf(f"array<struct<item_id:{item_type},matched:bigint,n_shingles:bigint>>")
+    @F.pandas_udf(f"array<struct<item_id:{item_type},matched:bigint,n_shingles:bigint,copies:bigint>>")
     def hits(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = ItemIndex(*shared.value)
+        index, names = ItemIndex(*shared.value), ("item_id", "matched", "n_shingles", "copies")
         for batch in texts:
-            yield pd.Series([[{"item_id": i, "matched": m, "n_shingles": n} for i, m, n in index.contained(t)]
+            yield pd.Series([[dict(zip(names, hit, strict=True)) for hit in index.contained(t)]
                              for t in batch], dtype=object)
 
     return hits.asNondeterministic()                         # in name only: explode would else run it twice

@@ -78,6 +78,8 @@ def test_decontamination_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 20)
     assert sorted(map(tuple, decontaminate.contaminations(docs, bench).collect())) == whole
     assert decontaminate.contaminations(docs, bench.limit(0)).count() == 0
+    thrice = bench.unionByName(bench).unionByName(bench)     # repeated items are reported each
+    assert sorted(map(tuple, decontaminate.contaminations(docs, thrice).collect())) == sorted(whole * 3)
 
 
 def test_license_base_places_equal_brute_force(spark, odd_docs):
