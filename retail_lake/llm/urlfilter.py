@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retail_lake.llm.common import fold_ascii
+from retail_lake.operators.stages import stage
 
 #: Fixed values: (verdict, host, path).
 RULES = [
@@ -63,13 +64,13 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
-def _strength(level: DataFrame, share: Column) -> Column:
+def _strength(share: Column) -> Column:
     """Weight of the prior of one level's groups: moment estimate of the beta-binomial."""
     groups, pages = F.count("*"), F.sum("n").cast("double")
     spread = F.sum(F.col("n") * (F.col("k") / F.col("n") - share) * (F.col("k") / F.col("n") - share))
     noise = share * (1 - share)
-    top = spread - F.max(noise) * (groups - 1)
-    bottom = F.max(noise) * (pages - F.sum(F.col("n") * F.col("n")) / pages - (groups - 1))
+    top = spread - noise * (groups - 1)
+    bottom = noise * (pages - F.sum(F.col("n") * F.col("n")) / pages - (groups - 1))
     rho = F.when(bottom > 0, top / bottom).otherwise(F.lit(0.0))
     kappa = F.when(rho > 0, 1 / rho - 1).otherwise(F.lit(STRENGTH[1]))
     return F.coalesce(F.greatest(F.lit(STRENGTH[0]), F.least(F.lit(STRENGTH[1]), kappa)), F.lit(STRENGTH[1]))
@@ -87,21 +88,23 @@ def host_reputation(pages: DataFrame, labels: DataFrame) -> DataFrame:
     domain = F.regexp_extract(bare, DOMAIN, 1)
     hosts = (hosts.withColumn("domain", F.when(domain == "", bare).otherwise(domain))
                   .withColumn("suffix", F.regexp_extract(bare, SUFFIX, 1)))
+    hosts = stage(hosts, "hosts")                            # counted once, read by every level
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    # single rows: the overall share and the weight of each level's prior
-    total = suffixes.agg(((F.coalesce(F.sum("k"), F.lit(0)) + 0.5) / (F.coalesce(F.sum("n"), F.lit(0)) + 1)).alias("share"))
-    weight = {name: level.where("n > 0").crossJoin(F.broadcast(total)).agg(_strength(level, F.col("share")).alias("w"))
-              for name, level in (("suffix", suffixes), ("domain", domains), ("host", hosts))}
-
-    s = (suffixes.crossJoin(F.broadcast(total)).crossJoin(F.broadcast(weight["suffix"]))
-         .select("suffix", ((F.col("k") + F.col("w") * F.col("share")) / (F.col("n") + F.col("w"))).alias("share")))
-    d = (domains.join(s, "suffix").crossJoin(F.broadcast(weight["domain"]))
-         .select("domain", ((F.col("k") + F.col("w") * F.col("share")) / (F.col("n") + F.col("w"))).alias("share")))
-    a = F.col("k") + F.col("w") * F.col("share")
-    size = F.col("n") + F.col("w")
-    return (hosts.join(d, "domain").crossJoin(F.broadcast(weight["host"]))
-            .withColumn("mean", a / size)
+    # four numbers: the overall share and the weight of each level's prior
+    share = F.lit(suffixes.agg((F.coalesce(F.sum("k"), F.lit(0)) + 0.5) / (F.coalesce(F.sum("n"), F.lit(0)) + 1)).first()[0])
+    levels = [level.where("n > 0").select(F.lit(name).alias("level"), "n", "k")
+              for name, level in (("suffix", suffixes), ("domain", domains), ("host", hosts))]
+    weight = dict(levels[0].union(levels[1]).union(levels[2]).groupBy("level").agg(_strength(share)).collect())
+    w = {name: F.lit(weight.get(name, STRENGTH[1])) for name in ("suffix", "domain", "host")}
+
+    def shrunk(level: str, prior: Column) -> Column:
+        return (F.col("k") + w[level] * prior) / (F.col("n") + w[level])
+
+    s = suffixes.select("suffix", shrunk("suffix", share).alias("share"))
+    d = domains.join(s, "suffix").select("domain", shrunk("domain", F.col("share")).alias("share"))
+    size = F.col("n") + w["host"]
+    return (hosts.join(d, "domain").withColumn("mean", shrunk("host", F.col("share")))
             .withColumn("bound", F.col("mean") - Z * F.sqrt(F.col("mean") * (1 - F.col("mean")) / (size + 1)))
             .select("host", "n", "k", "bound"))
 
