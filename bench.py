@@ -33,9 +33,9 @@ MODELS = [
     ("dim_products", lambda lake: lake.dim_products()),
     ("fct_inventory", lambda lake: lake.fct_inventory),
     ("fct_sales", lambda lake: lake.fct_sales()),
-    ("inventory_analysis", lambda lake: lake.inventory_analysis()),
-    ("sales_summary_by_product", lambda lake: lake.sales_summary_by_product()),
-    ("sales_summary_by_region", lambda lake: lake.sales_summary_by_region()),
+    ("inventory_analysis", lambda lake: lake.inventory_analysis(sort=False)),
+    ("sales_summary_by_product", lambda lake: lake.sales_summary_by_product(sort=False)),
+    ("sales_summary_by_region", lambda lake: lake.sales_summary_by_region(sort=False)),
 ]
 GOLD = {"inventory_analysis", "sales_summary_by_product", "sales_summary_by_region"}
 

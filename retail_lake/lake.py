@@ -152,14 +152,14 @@ class Lake:
         _, sfx = self._suffix(one_row_per_sku, "_one_per_sku")
         return self.provided(name + sfx, build)
 
-    def inventory_analysis(self, one_row_per_sku: bool | None = None) -> DataFrame:
+    def inventory_analysis(self, one_row_per_sku: bool | None = None, sort: bool = True) -> DataFrame:
         return self._gold("inventory_analysis", one_row_per_sku, lambda: gold.inventory_analysis(
-            self.fct_inventory, self.fct_sales(one_row_per_sku), self.params.as_of))
+            self.fct_inventory, self.fct_sales(one_row_per_sku), self.params.as_of, sort=sort))
 
-    def sales_summary_by_product(self, one_row_per_sku: bool | None = None) -> DataFrame:
+    def sales_summary_by_product(self, one_row_per_sku: bool | None = None, sort: bool = True) -> DataFrame:
         return self._gold("sales_summary_by_product", one_row_per_sku,
-                          lambda: gold.sales_summary_by_product(self.fct_sales(one_row_per_sku)))
+                          lambda: gold.sales_summary_by_product(self.fct_sales(one_row_per_sku), sort))
 
-    def sales_summary_by_region(self, one_row_per_sku: bool | None = None) -> DataFrame:
+    def sales_summary_by_region(self, one_row_per_sku: bool | None = None, sort: bool = True) -> DataFrame:
         return self._gold("sales_summary_by_region", one_row_per_sku,
-                          lambda: gold.sales_summary_by_region(self.fct_sales(one_row_per_sku)))
+                          lambda: gold.sales_summary_by_region(self.fct_sales(one_row_per_sku), sort))

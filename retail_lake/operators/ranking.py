@@ -7,14 +7,14 @@ value range:
 1. ``counts``: one row per distinct value with its multiplicity (partial
    aggregation first, so a value shared by a third of the rows costs one row
    per map task).
-2. Range buckets over the distinct values from ``percentile_approx``
-   boundaries (a scalar subquery; Spark reuses the upstream exchange for it).
-   Equal values always share a bucket, so ties never straddle buckets.
-3. Per-bucket totals (at most ``buckets + 2`` rows; the only single-partition
-   step, bounded by the bucket cap, not by the data) give each bucket the
-   number of rows ranked ahead of it.
-4. Inside a bucket a running sum of multiplicities over the distinct values
-   gives the rows ahead within the bucket; rank = 1 + both.
+2. The distinct values are range-partitioned in rank order (Spark samples the
+   bounds and routes each value by binary search) and written with the number
+   of their partition. Equal values always share one, so ties never straddle.
+3. Per-partition totals (one row per partition; the only single-partition
+   step, bounded by the partition count, not by the data) give each partition
+   the number of rows ranked ahead of it.
+4. Inside a partition a running sum of multiplicities over the distinct values
+   gives the rows ahead within it; rank = 1 + both.
 5. Rows get their rank by an equi-join on the value (null-safe). AQE picks a
    broadcast when the distinct-value table is small and splits skewed values.
 
@@ -27,40 +27,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retail_lake.functions.sql import q
+from retail_lake.operators.stages import stage
 
-MIN_BUCKETS, MAX_BUCKETS = 64, 4096
 _V, _N, _B = "__rank_value", "__rank_n", "__rank_bucket"
 
 
-def default_buckets(df: DataFrame) -> int:
-    """As many value ranges as shuffle partitions (64..4096): each window task
-    then holds about 1/partitions of the distinct values, while the boundary
-    array and the broadcast offsets table stay bounded by the cap."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(MIN_BUCKETS, min(MAX_BUCKETS, parts))
+def value_rank_table(df: DataFrame, value: str, descending: bool = True, buckets: int | None = None) -> DataFrame:
+    """(value, rank) for every distinct value of ``df[value]``, NULL included.
 
-
-def value_rank_table(df: DataFrame, value: str, descending: bool = True,
-                     buckets: int | None = None, accuracy: int = 10000) -> DataFrame:
-    """(value, rank) for every distinct value of ``df[value]``, NULL included."""
-    buckets = buckets or default_buckets(df)
-    accuracy = max(accuracy, 4 * buckets)
-    counts = df.groupBy(F.col(value).alias(_V)).agg(F.count(F.lit(1)).alias(_N))
-    probs = ", ".join(str(i / buckets) for i in range(1, buckets))
-    bounds = counts.where(f"{_V} IS NOT NULL").selectExpr(
-        f"percentile_approx({_V}, array({probs}), {accuracy})").scalar()
-    # number of boundaries strictly below v (0..buckets-1); no higher-order
-    # function, so the boundary subquery is allowed inside the expression
-    below = F.coalesce(F.array_position(F.sort_array(F.array_append(bounds, F.col(_V))), F.col(_V)) - 1,
-                       F.lit(0))
-    # bucket order key: smaller = ranked earlier; NULLs always last
-    key = (F.lit(buckets) - below) if descending else below
-    tagged = counts.withColumn(_B, F.when(F.col(_V).isNull(), F.lit(buckets + 1)).otherwise(key).cast("int"))
+    ``buckets``: number of value ranges, by default the shuffle partitions.
+    """
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     direction = "DESC" if descending else "ASC"
+    order = F.col(_V).desc_nulls_last() if descending else F.col(_V).asc_nulls_last()
+    counts = df.groupBy(F.col(value).alias(_V)).agg(F.count(F.lit(1)).alias(_N))
+    tagged = stage(counts.repartitionByRange(buckets, order).withColumn(_B, F.spark_partition_id()), "rank_values")
     ahead = tagged.selectExpr(
         "*", f"coalesce(sum({_N}) OVER (PARTITION BY {_B} ORDER BY {_V} {direction} NULLS LAST "
              f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS __ahead")
-    # at most buckets + 2 rows: this single-partition window is bounded by the parameter
+    # at most one row per range: this single-partition window is bounded by their number
     offsets = tagged.groupBy(_B).agg(F.sum(_N).alias("__bucket_rows")).selectExpr(
         _B, "coalesce(sum(__bucket_rows) OVER (ORDER BY "
             f"{_B} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS __offset")

@@ -22,6 +22,7 @@ from retail_lake.functions.rules import (
 )
 from retail_lake.functions.sql import q
 from retail_lake.lake import Lake
+from retail_lake.params import RECENT_SALES_DAYS
 from retail_lake.plans import gold, silver
 from retail_lake.plans.silver import NOT_CANCELLED
 
@@ -125,18 +126,27 @@ def castable_checks() -> list[Check]:
 
 
 # ---------------------------------------------------------- Q4 row counts
+ROW_COUNT_KEYS = [("stg_amazon_sales", "raw_amazon_sales", "Order ID"),
+                  ("stg_international_sales", "raw_international_sales", "SKU"),
+                  ("stg_stock_levels", "raw_stock_levels", "SKU Code")]
+
+
 def row_count_checks() -> list[Check]:
-    """raw rows = staged rows + rejected rows; violations = rejected rows."""
-    def measure(raw: DataFrame, key: str) -> DataFrame:
-        return count_violations(raw, f"sum(CASE WHEN trim({q(key)}) IS NULL THEN 1 ELSE 0 END)")
-    return [
-        Check("bronze", "stg_amazon_sales", "rejected_rows", WARNING,
-              lambda lake: measure(lake.raw_amazon_sales, "Order ID")),
-        Check("bronze", "stg_international_sales", "rejected_rows", WARNING,
-              lambda lake: measure(lake.raw_international_sales, "SKU")),
-        Check("bronze", "stg_stock_levels", "rejected_rows", WARNING,
-              lambda lake: measure(lake.raw_stock_levels, "SKU Code")),
-    ]
+    """Rejected rows are reported; raw rows that are neither staged nor rejected, or staged twice, fail."""
+    def null_keys(key: str) -> str:
+        return f"sum(CASE WHEN trim({q(key)}) IS NULL THEN 1 ELSE 0 END)"
+
+    def unaccounted(lake: Lake, t: str, raw: str, key: str) -> DataFrame:
+        staged = model_table(lake, t).selectExpr("count(*)").scalar()
+        return count_violations(getattr(lake, raw), f"coalesce({null_keys(key)}, 0)").select(
+            F.abs(F.col("checked_rows") - F.col("violations") - staged).alias("violations"), "checked_rows")
+    out = []
+    for t, raw, key in ROW_COUNT_KEYS:
+        out.append(Check("bronze", t, "rejected_rows", WARNING,
+                         lambda lake, raw=raw, key=key: count_violations(getattr(lake, raw), null_keys(key))))
+        out.append(Check("bronze", t, "rows_accounted_for", FAILED,
+                         lambda lake, t=t, raw=raw, key=key: unaccounted(lake, t, raw, key)))
+    return out
 
 
 # ------------------------------------------------------ Q5 business rules
@@ -197,15 +207,18 @@ def aggregation_checks() -> list[Check]:
 
 # ----------------------------------------------------------- Q8 freshness
 def freshness_checks() -> list[Check]:
-    def fresh(lake: Lake, t: str) -> DataFrame:
-        """Checked against the run's load time (the moment the run stamps its rows)."""
-        now = f"TIMESTAMP_NTZ '{lake.params.load_ts.isoformat(sep=' ')}'"
-        latest = "max(loaded_timestamp)"
+    """The newest load and the newest event against the day the run reports on."""
+    def stale(lake: Lake, t: str, column: str, allowed: str) -> DataFrame:
+        latest, day = f"max({column})", f"DATE '{lake.params.as_of.isoformat()}'"
         return count_violations(
-            model_table(lake, t),
-            f"CASE WHEN {latest} IS NULL OR {latest} < {now} - INTERVAL {FRESHNESS_HOURS} HOURS THEN 1 ELSE 0 END")
-    return [Check("bronze", t, f"loaded_within_{FRESHNESS_HOURS}h", FAILED, lambda lake, t=t: fresh(lake, t))
-            for t in ("stg_amazon_sales", "stg_international_sales", "stg_stock_levels")]
+            model_table(lake, t), f"CASE WHEN {latest} IS NULL OR {latest} < {day} - INTERVAL {allowed} THEN 1 ELSE 0 END")
+    loads = [Check("bronze", t, f"loaded_within_{FRESHNESS_HOURS}h", FAILED,
+                   lambda lake, t=t: stale(lake, t, "loaded_timestamp", f"{FRESHNESS_HOURS} HOURS"))
+             for t in ("stg_amazon_sales", "stg_international_sales", "stg_stock_levels")]
+    events = [Check("bronze", t, f"sold_within_{RECENT_SALES_DAYS}d", WARNING,
+                    lambda lake, t=t: stale(lake, t, "order_date", f"{RECENT_SALES_DAYS} DAYS"))
+              for t in ("stg_amazon_sales", "stg_international_sales")]
+    return loads + events
 
 
 # ---------------------------------------------------------- Q9 metrics
@@ -222,16 +235,16 @@ def metric_checks() -> list[Check]:
         return lake.fct_sales().where(where).selectExpr("CAST(sum(gross_revenue_inr) AS DOUBLE)").scalar()
 
     def product_total(lake: Lake) -> DataFrame:
-        return _total_matches(gold.sales_summary_by_product(lake.fct_sales(), sort=False),
+        return _total_matches(lake.sales_summary_by_product(sort=False),
                               silver_total(lake, NOT_CANCELLED))
 
     def region_total(lake: Lake) -> DataFrame:
-        return _total_matches(gold.sales_summary_by_region(lake.fct_sales(), sort=False),
+        return _total_matches(lake.sales_summary_by_region(sort=False),
                               silver_total(lake, f"{NOT_CANCELLED} AND ship_state IS NOT NULL"))
 
     def shares(lake: Lake) -> DataFrame:
         """Each share is rounded to 2 places, so the sum may drift by 0.005 per group."""
-        g = gold.sales_summary_by_region(lake.fct_sales(), sort=False)
+        g = lake.sales_summary_by_region(sort=False)
         return g.agg(F.expr("sum(revenue_share_percentage) AS s"), F.expr("count(*) AS n")).selectExpr(
             "CASE WHEN abs(s - 100.0D) <= 0.005D * n + 1e-9D THEN 0 ELSE 1 END AS violations", "n AS checked_rows")
     return [Check("gold", "sales_summary_by_product", "revenue_matches_silver", FAILED, product_total),
@@ -241,19 +254,20 @@ def metric_checks() -> list[Check]:
 
 # ------------------------------------------------------ Q10 completeness
 def completeness_checks() -> list[Check]:
-    def missing(lake: Lake, keys: list[str], where: str, build) -> DataFrame:
+    def missing(lake: Lake, keys: list[str], where: str, rows: DataFrame) -> DataFrame:
         """Silver group keys with no gold row (NULL keys compare equal)."""
         src = lake.fct_sales().where(where).select(*keys).distinct()
-        g = build(lake.fct_sales(), sort=False).select(*keys)
+        g = rows.select(*keys)
         cond = reduce(lambda a, b: a & b, [src[k].eqNullSafe(g[k]) for k in keys])
         return src.join(g, cond, "left_anti").agg(F.count(F.lit(1)).alias("violations")).select(
             "violations", src.agg(F.count(F.lit(1))).scalar().alias("checked_rows"))
     return [
         Check("gold", "sales_summary_by_product", "all_product_groups_present", FAILED,
-              lambda lake: missing(lake, gold.PRODUCT_KEYS, NOT_CANCELLED, gold.sales_summary_by_product)),
+              lambda lake: missing(lake, gold.PRODUCT_KEYS, NOT_CANCELLED,
+                                   lake.sales_summary_by_product(sort=False))),
         Check("gold", "sales_summary_by_region", "all_region_groups_present", FAILED,
               lambda lake: missing(lake, gold.REGION_KEYS, f"{NOT_CANCELLED} AND ship_state IS NOT NULL",
-                                   gold.sales_summary_by_region)),
+                                   lake.sales_summary_by_region(sort=False))),
     ]
 
 

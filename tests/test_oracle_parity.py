@@ -11,8 +11,11 @@ import __spark_entry__ as entry  # noqa: E402
 from oracle_compare import compare, duck  # noqa: E402
 
 from conftest import SF_SMALL  # noqa: E402
+from retail_lake.catalog import oracle_statements, spark_queries  # noqa: E402
 
-KEYS = sorted(entry.queries())
+# the models, operators and checks of the library; the training-data queries have tests of their own
+QUERIES, ORACLE = spark_queries(), oracle_statements()
+KEYS = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -21,12 +24,13 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
-    res = compare(spark, con, SF_SMALL, key, entry.queries()[key], entry.oracle_sql()[key])
+    res = compare(spark, con, SF_SMALL, key, QUERIES[key], ORACLE[key])
     assert res["status"] == "ok", res
 
 
@@ -40,7 +44,7 @@ def test_no_decimal_in_results(spark, con):
     """Query results carry no DECIMAL on either side (see catalog.DECIMAL_OUTPUTS)."""
     from pyspark.sql.types import DecimalType
     for key in KEYS:
-        df = entry.queries()[key](spark, SF_SMALL)
+        df = QUERIES[key](spark, SF_SMALL)
         assert not [f.name for f in df.schema.fields if isinstance(f.dataType, DecimalType)], key
-        types = [d[1] for d in con.execute(f"DESCRIBE {entry.oracle_sql()[key]}").fetchall()]
+        types = [d[1] for d in con.execute(f"DESCRIBE {ORACLE[key]}").fetchall()]
         assert not [t for t in types if str(t).startswith("DECIMAL")], key
