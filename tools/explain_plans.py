@@ -83,8 +83,7 @@ def main(argv):
             notes.append(f"- `{k}`: `{c}`")
     print("\n## Consumers of single-partition exchanges\n")
     print("Each one reads a bounded input: a global SUM/COUNT merging one partial row per task, the "
-          "percentile-boundary merge of one sketch per task, or the window over at most buckets + 2 "
-          "bucket totals in `global_rank`.\n")
+          "window over one row per value range in `global_rank`.\n")
     print("\n".join(notes) if notes else "- none")
 
 
