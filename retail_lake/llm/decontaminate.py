@@ -2,7 +2,8 @@
 
 Test items are short, documents are long, so containment |item & doc| / |item|
 over five-word shingles is searched, not resemblance. Items are partitioned by
-their number of shingles; an item of n shingles is sketched by its s smallest
+the power of two of their number of shingles; a document with fewer runs of
+words than the least match of a partition skips it. An item of n shingles is sketched by its s smallest
 shingle hashes (a bottom-s MinHash sketch) with s = n - ceil(t * n) + 1. A
 document that holds at least t * n of the shingles must hold one of any s of
 them, so the search over the sketches loses nothing, whatever the size of the
@@ -49,12 +50,13 @@ def shingles(w: list[bytes], size: int) -> list[bytes]:
 
 
 class ItemIndex:
-    """Sketches of one block of items, partitioned by shingle length and number."""
+    """Sketches of one block of items, partitioned by shingle length and number of shingles."""
 
     def __init__(self, items: list[tuple[object, str, int]], threshold: float):
         self.word_hash = Remembered(xxhash.xxh64_intdigest, 200_000)
         self.items: list[tuple[object, frozenset, int, int]] = []
-        partitions: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
+        partitions: dict[tuple[int, int], dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
+        least: dict[tuple[int, int], int] = {}
         for item_id, text, copies in items:
             w = words(text)
             if not w:
@@ -62,12 +64,16 @@ class ItemIndex:
             size = min(SHINGLE, len(w))
             own = frozenset(shingles(w, size))
             need = math.ceil(threshold * len(own) - 1e-9)
+            part = (size, len(own).bit_length())
+            least[part] = min(need, least.get(part, need))
             hashes = np.unique(self.hashes(w, size))
             for h in hashes[:len(own) - need + 1].tolist():
-                partitions[size][h].append(len(self.items))
+                partitions[part][h].append(len(self.items))
             self.items.append((item_id, own, need, copies))
-        #: shingle length -> (sorted sketch hashes, hash -> items)
-        self.partitions = {size: (np.array(sorted(p), dtype=np.uint64), dict(p)) for size, p in partitions.items()}
+        #: shingle length -> [(least match, sorted sketch hashes, hash -> items)], one for each size class
+        self.partitions: dict[int, list[tuple[int, np.ndarray, dict[int, list[int]]]]] = defaultdict(list)
+        for part, p in sorted(partitions.items()):
+            self.partitions[part[0]].append((least[part], np.array(sorted(p), dtype=np.uint64), dict(p)))
 
     def hashes(self, w: list[bytes], size: int) -> np.ndarray:
         """A 64-bit hash of each run of ``size`` words."""
@@ -82,12 +88,16 @@ class ItemIndex:
         """(item id, shingles found, shingles of the item, its copies) of all items that the text holds."""
         w = words(text)
         found = []
-        for size, (sketch, postings) in self.partitions.items():
-            if len(w) < size:
+        for size, classes in self.partitions.items():
+            runs = len(w) - size + 1
+            if runs < classes[0][0]:
                 continue
             h = self.hashes(w, size)
-            at = np.minimum(np.searchsorted(sketch, h), len(sketch) - 1)
-            candidates = {i for x in np.unique(h[sketch[at] == h]).tolist() for i in postings[x]}
+            candidates: set[int] = set()
+            for least, sketch, postings in classes:
+                if runs >= least:
+                    at = np.minimum(np.searchsorted(sketch, h), len(sketch) - 1)
+                    candidates.update(i for x in np.unique(h[sketch[at] == h]).tolist() for i in postings[x])
             if candidates:
                 own = set(shingles(w, size))
                 for i in sorted(candidates):
