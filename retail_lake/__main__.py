@@ -13,6 +13,7 @@ import argparse
 import datetime as dt
 import json
 import sys
+from functools import reduce
 
 from retail_lake.params import USD_TO_INR, RunParams
 
@@ -36,23 +37,26 @@ def parse_args(argv):
 
 
 def main(argv=None, spark=None) -> int:
-    from retail_lake.plans.pipeline import QualityGateError, run_pipeline
+    from pyspark.sql import DataFrame
+
+    from retail_lake.plans.pipeline import RAW_TABLES, QualityGateError, run_pipeline
     from retail_lake.session import build_session
-    from retail_lake.sources.seeds import read_seeds
+    from retail_lake.sources.seeds import malformed_values, read_seeds
 
     args = parse_args(argv if argv is not None else sys.argv[1:])
     spark = spark or build_session(master="local[*]")
     defaults = RunParams()
     params = RunParams(load_ts=args.load_ts or defaults.load_ts, as_of=args.as_of or defaults.as_of,
                        usd_inr=args.usd_inr)
-    raw = None
+    raw = malformed = None
     if args.seeds:
-        raw = read_seeds(spark, dict(zip(("raw_amazon_sales", "raw_international_sales", "raw_stock_levels"),
-                                         args.seeds)))
+        paths = dict(zip(RAW_TABLES, args.seeds, strict=True))
+        raw = read_seeds(spark, paths)
+        malformed = reduce(DataFrame.unionByName, [malformed_values(spark, t, p) for t, p in paths.items()])
     try:
         result = run_pipeline(spark, params, raw=raw, sf_dir=args.sf_dir, layers=tuple(args.layers),
                               fmt=args.format, location=args.warehouse, corrected=not args.reference_variant,
-                              gate=not args.no_gate)
+                              gate=not args.no_gate, malformed=malformed)
     except QualityGateError as err:
         print(json.dumps({"status": "failed", "layer": err.layer,
                           "checks": [r.asDict() for r in err.failures]}, default=str))

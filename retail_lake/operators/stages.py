@@ -3,12 +3,33 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from retail_lake.session import ensure_checkpoint_dir
 
 
+_BLOCK: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def staged_for_block(spark: SparkSession) -> Iterator[None]:
+    """Remove what is staged inside the block at its end; results must be written by then."""
+    paths: list[str] = []
+    token = _BLOCK.set(paths)
+    try:
+        yield
+    finally:
+        _BLOCK.reset(token)
+        sc = spark.sparkContext
+        for p in paths:
+            path = sc._jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Materialise ``df`` as parquet under the shared checkpoint folder.
 
@@ -18,5 +39,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     branches start from a small columnar scan with real size statistics.
     """
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/retail_lake/stages/{label}-{uuid.uuid4().hex}"
+    if (block := _BLOCK.get()) is not None:
+        block.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,10 +3,9 @@ values, min and max, as a DataFrame (re-aims the reference's docs step).
 
 One aggregate per table computes rows, NULLs, min and max of every column in
 a single pass, then ``stack`` turns the wide row into one row per column.
-Distinct counts are exact everywhere: each column is counted in its own
-aggregate over that one column, pre-reduced to distinct values map-side,
-instead of one multi-distinct aggregate whose Expand would copy every row once
-per column.
+Distinct counts are exact: a second pass over the table turns rows into
+(column, value) pairs, reduced to distinct ones map-side, and counts them by
+column. A table is read twice, whatever its number of columns.
 """
 
 from __future__ import annotations
@@ -31,6 +30,14 @@ def _text(field) -> str:
     return f"CAST({{agg}}({c}) AS STRING)"
 
 
+def _key(field) -> str:
+    """Text that is equal exactly where values are (the two zeros of floating types are one value)."""
+    c = q(field.name)
+    if isinstance(field.dataType, (DoubleType, FloatType)):
+        c = f"CASE WHEN {c} = 0 THEN abs({c}) ELSE {c} END"
+    return f"CAST({c} AS STRING)"
+
+
 def profile(df: DataFrame, table: str) -> DataFrame:
     fields = df.schema.fields
     aggs = ["count(*) AS __rows"]
@@ -40,15 +47,15 @@ def profile(df: DataFrame, table: str) -> DataFrame:
                  _text(f).format(agg="min") + f" AS lo{i}",
                  _text(f).format(agg="max") + f" AS hi{i}"]
     wide = df.agg(*[F.expr(a) for a in aggs])
-    # one scalar subquery per column (Spark runs them concurrently), no join
-    wide = wide.select("*", *[
-        df.where(f"{q(f.name)} IS NOT NULL").select(q(f.name)).distinct().selectExpr("count(*)").scalar()
-          .alias(f"d{i}") for i, f in enumerate(fields)])
-    rows = ", ".join(f"{s(f.name)}, {s(f.dataType.simpleString())}, n{i}, d{i}, lo{i}, hi{i}"
-                     for i, f in enumerate(fields))
-    return wide.selectExpr(
-        f"{s(table)} AS table_name", "__rows AS row_count",
-        f"stack({len(fields)}, {rows}) AS (column_name, data_type, null_count, distinct_count, min_value, max_value)")
+    rows = ", ".join(f"{s(f.name)}, {s(f.dataType.simpleString())}, n{i}, lo{i}, hi{i}" for i, f in enumerate(fields))
+    columns = wide.selectExpr("__rows AS row_count",
+                              f"stack({len(fields)}, {rows}) AS (name, data_type, null_count, min_value, max_value)")
+    values = ", ".join(f"{s(f.name)}, {_key(f)}" for f in fields)
+    counts = (df.selectExpr(f"stack({len(fields)}, {values}) AS (column_name, value)").where("value IS NOT NULL")
+                .distinct().groupBy("column_name").agg(F.expr("count(*) AS distinct_count")))
+    return columns.join(counts, F.expr("name = column_name"), "left").selectExpr(
+        f"{s(table)} AS table_name", "row_count", "name AS column_name", "data_type", "null_count",
+        "coalesce(distinct_count, 0) AS distinct_count", "min_value", "max_value")
 
 
 def data_dictionary(tables: dict[str, DataFrame]) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_lake.lake import Lake
+from retail_lake.operators.stages import staged_for_block
 from retail_lake.params import RunParams
 from retail_lake.plans import quality
 from retail_lake.plans.dictionary import data_dictionary
@@ -60,11 +61,20 @@ class RunResult:
 
 def run_pipeline(spark: SparkSession, params: RunParams, raw: dict[str, DataFrame] | None = None,
                  sf_dir: str | None = None, layers: tuple[str, ...] = LAYERS, fmt: str = "parquet",
-                 location: str | None = None, corrected: bool = True, gate: bool = True) -> RunResult:
+                 location: str | None = None, corrected: bool = True, gate: bool = True,
+                 malformed: DataFrame | None = None) -> RunResult:
     """Build the selected layers. ``raw``: raw DataFrames (e.g. from seed CSVs);
-    otherwise the fixture mapping over ``sf_dir`` plays the raw files."""
+    otherwise the fixture mapping over ``sf_dir`` plays the raw files.
+    ``malformed``: counts of ``sources.seeds.malformed_values``, recorded with the bronze checks.
+    What the models stage on the way is removed at the end."""
+    with staged_for_block(spark):
+        return _run(spark, params, raw, sf_dir, layers, CatalogSink(spark, fmt, location), corrected, gate, malformed)
+
+
+def _run(spark: SparkSession, params: RunParams, raw: dict[str, DataFrame] | None, sf_dir: str | None,
+         layers: tuple[str, ...], sink: CatalogSink, corrected: bool, gate: bool,
+         malformed: DataFrame | None) -> RunResult:
     pipeline_id = f"run_{params.load_ts:%Y%m%d%H%M%S}_{uuid.uuid4().hex[:6]}"
-    sink = CatalogSink(spark, fmt, location)
     lake = Lake(spark, sf_dir, params, raw=raw, sink=sink, corrected=corrected)
     log: list[tuple] = []
     checks: list[DataFrame] = []
@@ -83,6 +93,8 @@ def run_pipeline(spark: SparkSession, params: RunParams, raw: dict[str, DataFram
 
     def check(layer: str) -> None:
         results = quality.run_checks(lake, quality.layer_checks(layer))
+        if layer == "bronze" and malformed is not None:
+            results = results.unionByName(quality.seed_value_results(malformed))
         written = sink.append("quality_results", results.withColumn("pipeline_id", F.lit(pipeline_id))
                               .withColumn("checked_layer", F.lit(layer)))
         written = written.where((F.col("pipeline_id") == pipeline_id) & (F.col("checked_layer") == layer)) \

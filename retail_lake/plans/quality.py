@@ -1,10 +1,12 @@
 """Data-quality checks as Spark aggregates (one result row per check).
 
 The reference names these validations but returns a constant 'passed'; here
-every check reads the data. Each check is one aggregate over its table
-(partial aggregation, no collect) producing ``violations`` and
-``checked_rows``; the result rows follow ``schemas.QUALITY_RESULT`` and the
-layer runner stops when any row of a gating check has status 'failed'.
+every check reads the data. Checks on the rows of one table are aggregates of
+one scan of that table, whatever their number (``counted``); the others are a
+plan of their own (``measure``). Both produce ``violations`` and
+``checked_rows`` without a collect; the result rows follow
+``schemas.QUALITY_RESULT`` and the layer runner stops when any row of a gating
+check has status 'failed'.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from retail_lake.functions.cleaning import parse_dmy
 from retail_lake.functions.rules import (
     STOCK_CRITICAL, STOCK_EXCESS, STOCK_LOW, STOCK_NORMAL, STOCK_OUT,
 )
-from retail_lake.functions.sql import q
+from retail_lake.functions.sql import q, s
 from retail_lake.lake import Lake
 from retail_lake.params import RECENT_SALES_DAYS
 from retail_lake.plans import gold, silver
@@ -39,19 +41,47 @@ class Check:
     table: str
     name: str
     severity: str
-    measure: Callable[[Lake], DataFrame]      # -> one row: violations, checked_rows
+    measure: Callable[[Lake], DataFrame] | None = None      # -> one row: violations, checked_rows
+    counted: Callable[[Lake], str] | None = None            # violations, an aggregate over the table's rows
+    checked: str = "count(*)"                               # checked rows of a counted check
 
 
-def result(measured: DataFrame, c: Check) -> DataFrame:
+def _statuses(measured: DataFrame) -> DataFrame:
+    """Result rows from layer, table_name, check_name, severity, violations, checked_rows."""
     return measured.selectExpr(
-        f"'{c.layer}' AS layer", f"'{c.table}' AS table_name", f"'{c.name}' AS check_name",
-        f"CASE WHEN coalesce(violations, 0) = 0 THEN '{PASSED}' ELSE '{c.severity}' END AS status",
+        "layer", "table_name", "check_name",
+        f"CASE WHEN coalesce(violations, 0) = 0 THEN '{PASSED}' ELSE severity END AS status",
         "CAST(coalesce(violations, 0) AS BIGINT) AS violations",
         "CAST(coalesce(checked_rows, 0) AS BIGINT) AS checked_rows")
 
 
+def _names(c: Check) -> str:
+    return ", ".join(s(x) for x in (c.layer, c.table, c.name, c.severity))
+
+
+def one_pass(lake: Lake, table: str, checks: list[Check]) -> DataFrame:
+    """All counted checks of a table as one aggregate, a row for each."""
+    aggs = [F.expr(f"CAST({e} AS BIGINT) AS {n}{i}") for i, c in enumerate(checks)
+            for n, e in (("v", c.counted(lake)), ("n", c.checked))]
+    rows = ", ".join(f"{_names(c)}, v{i}, n{i}" for i, c in enumerate(checks))
+    return _statuses(model_table(lake, table).agg(*aggs).selectExpr(
+        f"stack({len(checks)}, {rows}) AS (layer, table_name, check_name, severity, violations, checked_rows)"))
+
+
+def result(measured: DataFrame, c: Check) -> DataFrame:
+    return _statuses(measured.selectExpr(
+        f"inline(array(struct({_names(c)}, violations, checked_rows))) AS "
+        "(layer, table_name, check_name, severity, violations, checked_rows)"))
+
+
 def run_checks(lake: Lake, checks: list[Check]) -> DataFrame:
-    return reduce(DataFrame.unionByName, [result(c.measure(lake), c) for c in checks])
+    by_table: dict[str, list[Check]] = {}
+    for c in checks:
+        if c.counted:
+            by_table.setdefault(c.table, []).append(c)
+    parts = [one_pass(lake, t, cs) for t, cs in by_table.items()]
+    parts += [result(c.measure(lake), c) for c in checks if c.measure]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def count_violations(df: DataFrame, violations: str, checked: str = "count(*)") -> DataFrame:
@@ -72,6 +102,9 @@ BRONZE_REQUIRED = {
 
 def model_table(lake: Lake, name: str) -> DataFrame:
     return {
+        "raw_amazon_sales": lambda: lake.raw_amazon_sales,
+        "raw_international_sales": lambda: lake.raw_international_sales,
+        "raw_stock_levels": lambda: lake.raw_stock_levels,
         "stg_amazon_sales": lambda: lake.stg_amazon_sales,
         "stg_international_sales": lambda: lake.stg_international_sales,
         "stg_stock_levels": lambda: lake.stg_stock_levels,
@@ -87,8 +120,7 @@ def model_table(lake: Lake, name: str) -> DataFrame:
 
 
 def null_checks() -> list[Check]:
-    return [Check("bronze", t, f"not_null:{c}", FAILED,
-                  lambda lake, t=t, c=c: count_violations(model_table(lake, t), _nulls(c)))
+    return [Check("bronze", t, f"not_null:{c}", FAILED, counted=lambda lake, c=c: _nulls(c))
             for t, cols in BRONZE_REQUIRED.items() for c in cols]
 
 
@@ -115,14 +147,17 @@ def duplicate_checks() -> list[Check]:
 
 # ------------------------------------------------------------ Q3 castable
 def castable_checks() -> list[Check]:
-    def dates(lake: Lake, raw: str, col: str) -> DataFrame:
-        df = lake.raw_amazon_sales if raw == "raw_amazon_sales" else lake.raw_international_sales
-        return count_violations(df.where(f"{q(col)} IS NOT NULL"),
-                                f"sum(CASE WHEN {parse_dmy(col)} IS NULL THEN 1 ELSE 0 END)")
-    return [Check("bronze", "raw_amazon_sales", "castable:Date", WARNING,
-                  lambda lake: dates(lake, "raw_amazon_sales", "Date")),
-            Check("bronze", "raw_international_sales", "castable:DATE", WARNING,
-                  lambda lake: dates(lake, "raw_international_sales", "DATE"))]
+    """Dates that do not parse; numbers and booleans are typed when landed (see seed_value_results)."""
+    return [Check("bronze", raw, f"castable:{col}", WARNING, checked=f"count({q(col)})",
+                  counted=lambda lake, col=col: f"count_if({q(col)} IS NOT NULL AND {parse_dmy(col)} IS NULL)")
+            for raw, col in (("raw_amazon_sales", "Date"), ("raw_international_sales", "DATE"))]
+
+
+def seed_value_results(malformed: DataFrame) -> DataFrame:
+    """Result rows for the values of seed files that did not cast (``sources.seeds.malformed_values``)."""
+    return _statuses(malformed.where("data_type <> 'string'").selectExpr(
+        "'bronze' AS layer", "table_name", "concat('castable:', column_name) AS check_name",
+        f"'{WARNING}' AS severity", "malformed AS violations", "present AS checked_rows"))
 
 
 # ---------------------------------------------------------- Q4 row counts
@@ -154,20 +189,18 @@ STOCK_LABELS = [STOCK_OUT, STOCK_CRITICAL, STOCK_LOW, STOCK_NORMAL, STOCK_EXCESS
 
 
 def business_rule_checks() -> list[Check]:
-    def rule(t: str, bad: str) -> Callable[[Lake], DataFrame]:
-        return lambda lake: count_violations(model_table(lake, t),
-                                             f"sum(CASE WHEN {bad} THEN 1 ELSE 0 END)")
     labels = ", ".join(f"'{x}'" for x in STOCK_LABELS)
-    return [
-        Check("bronze", "stg_amazon_sales", "quantity_non_negative", FAILED, rule("stg_amazon_sales", "quantity < 0")),
-        Check("bronze", "stg_amazon_sales", "amount_non_negative", FAILED, rule("stg_amazon_sales", "amount < 0")),
-        Check("bronze", "stg_international_sales", "quantity_non_negative", FAILED,
-              rule("stg_international_sales", "quantity < 0")),
-        Check("bronze", "stg_stock_levels", "stock_non_negative", FAILED, rule("stg_stock_levels", "stock_quantity < 0")),
-        Check("silver", "fct_sales", "no_cancelled_orders", FAILED, rule("fct_sales", "order_status = 'Cancelled'")),
-        Check("silver", "fct_inventory", "known_stock_status", FAILED,
-              rule("fct_inventory", f"stock_status IS NULL OR stock_status NOT IN ({labels})")),
+    rules = [
+        ("bronze", "stg_amazon_sales", "quantity_non_negative", "quantity < 0"),
+        ("bronze", "stg_amazon_sales", "amount_non_negative", "amount < 0"),
+        ("bronze", "stg_international_sales", "quantity_non_negative", "quantity < 0"),
+        ("bronze", "stg_stock_levels", "stock_non_negative", "stock_quantity < 0"),
+        ("silver", "fct_sales", "no_cancelled_orders", "order_status = 'Cancelled'"),
+        ("silver", "fct_inventory", "known_stock_status",
+         f"stock_status IS NULL OR stock_status NOT IN ({labels})"),
     ]
+    return [Check(layer, t, name, FAILED, counted=lambda lake, bad=bad: f"count_if({bad})")
+            for layer, t, name, bad in rules]
 
 
 # ------------------------------------------------- Q6 referential integrity
@@ -208,15 +241,14 @@ def aggregation_checks() -> list[Check]:
 # ----------------------------------------------------------- Q8 freshness
 def freshness_checks() -> list[Check]:
     """The newest load and the newest event against the day the run reports on."""
-    def stale(lake: Lake, t: str, column: str, allowed: str) -> DataFrame:
+    def stale(lake: Lake, column: str, allowed: str) -> str:
         latest, day = f"max({column})", f"DATE '{lake.params.as_of.isoformat()}'"
-        return count_violations(
-            model_table(lake, t), f"CASE WHEN {latest} IS NULL OR {latest} < {day} - INTERVAL {allowed} THEN 1 ELSE 0 END")
+        return f"CASE WHEN {latest} IS NULL OR {latest} < {day} - INTERVAL {allowed} THEN 1 ELSE 0 END"
     loads = [Check("bronze", t, f"loaded_within_{FRESHNESS_HOURS}h", FAILED,
-                   lambda lake, t=t: stale(lake, t, "loaded_timestamp", f"{FRESHNESS_HOURS} HOURS"))
+                   counted=lambda lake: stale(lake, "loaded_timestamp", f"{FRESHNESS_HOURS} HOURS"))
              for t in ("stg_amazon_sales", "stg_international_sales", "stg_stock_levels")]
     events = [Check("bronze", t, f"sold_within_{RECENT_SALES_DAYS}d", WARNING,
-                    lambda lake, t=t: stale(lake, t, "order_date", f"{RECENT_SALES_DAYS} DAYS"))
+                    counted=lambda lake: stale(lake, "order_date", f"{RECENT_SALES_DAYS} DAYS"))
               for t in ("stg_amazon_sales", "stg_international_sales")]
     return loads + events
 
@@ -294,8 +326,7 @@ def unique_checks() -> list[Check]:
 
 def not_null_checks() -> list[Check]:
     """dbt-style ``not_null``: number of NULLs in the column."""
-    return [Check(layer, t, f"not_null:{c}", FAILED,
-                  lambda lake, t=t, c=c: count_violations(model_table(lake, t), _nulls(c)))
+    return [Check(layer, t, f"not_null:{c}", FAILED, counted=lambda lake, c=c: _nulls(c))
             for layer, t, c in NOT_NULL_COLUMNS]
 
 

@@ -4,7 +4,8 @@ Columns are matched by header name (white space around it aside), as the
 reference's seeds are: order does not matter, further columns are ignored, a
 missing one is an error. Values are
 read as text and cast to the declared types; ``malformed_values`` counts, per
-column, the values that are there but do not cast (they become NULL).
+column, the values that are there but do not cast (they become NULL); the
+layer runner records them with its checks.
 """
 
 from __future__ import annotations
@@ -40,10 +41,11 @@ def read_seeds(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFram
 
 
 def malformed_values(spark: SparkSession, table: str, path: str) -> DataFrame:
-    """(table_name, column_name, malformed): one pass over the file."""
+    """(table_name, column_name, data_type, malformed, present): one pass over the file."""
     fields = RAW_SCHEMAS[table].fields
     counts = _read_text(spark, table, path).agg(*[
-        F.expr(f"count_if({q(f.name)} IS NOT NULL AND {_cast(f)} IS NULL)").alias(f"n{i}")
-        for i, f in enumerate(fields)])
-    rows = ", ".join(f"{s(f.name)}, n{i}" for i, f in enumerate(fields))
-    return counts.selectExpr(f"{s(table)} AS table_name", f"stack({len(fields)}, {rows}) AS (column_name, malformed)")
+        F.expr(e).alias(f"{n}{i}") for i, f in enumerate(fields)
+        for n, e in (("n", f"count_if({q(f.name)} IS NOT NULL AND {_cast(f)} IS NULL)"), ("p", f"count({q(f.name)})"))])
+    rows = ", ".join(f"{s(f.name)}, {s(f.dataType.simpleString())}, n{i}, p{i}" for i, f in enumerate(fields))
+    return counts.selectExpr(f"{s(table)} AS table_name",
+                             f"stack({len(fields)}, {rows}) AS (column_name, data_type, malformed, present)")

@@ -43,3 +43,33 @@ def test_corrupt_gold_tables_fail(spark):
                  sales_summary_by_product=lambda g: g.sales_summary_by_product(sort=False).where("revenue_rank > 1"))
     got = _status(lake, quality.metric_checks() + quality.completeness_checks())
     assert set(got.values()) == {"failed"}
+
+
+def test_checks_of_a_table_share_one_scan(spark):
+    lake = Lake(spark, SF_SMALL)
+    checks = [c for c in quality.null_checks() + quality.business_rule_checks() + quality.freshness_checks()
+              if c.table == "stg_amazon_sales"]
+    assert len(checks) >= 6
+    lake.stg_amazon_sales
+    plan = quality.run_checks(lake, checks)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1
+
+
+def test_malformed_seed_values_are_recorded(spark, tmp_path):
+    from retail_lake.sources.seeds import malformed_values
+    f = tmp_path / "stock.csv"
+    f.write_text("SKU Code,Design No.,Stock,Category,Size,Color\nSKU1,D,twelve,C,S,Red\nSKU2,D,,C,S,Red\nSKU3,D,4,C,S,Red\n")
+    got = quality.seed_value_results(malformed_values(spark, "raw_stock_levels", str(f))).collect()
+    assert [tuple(r) for r in got] == [("bronze", "raw_stock_levels", "castable:Stock", "warning", 1, 2)]
+
+
+def test_staged_folders_leave_with_their_block(spark):
+    import os
+
+    from retail_lake.operators.stages import stage, staged_for_block
+    with staged_for_block(spark):
+        inside = stage(spark.range(3), "inside")
+        (path,) = {os.path.dirname(p) for p in inside.inputFiles()}
+        assert inside.count() == 3
+    assert not os.path.exists(path.removeprefix("file://"))
+    assert stage(spark.range(3), "outside").count() == 3
