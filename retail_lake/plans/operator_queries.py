@@ -34,6 +34,26 @@ def clean_text_defaults(lake: Lake) -> DataFrame:          # P2, P3
         f"{clean_text('ship-state')} AS ship_state")
 
 
+def clean_text_defaults_all(lake: Lake) -> DataFrame:      # P2, P3 at every site; fields a file lacks are NULL
+    amazon = lake.raw_amazon_sales.selectExpr(
+        "'AMAZON' AS channel", f"{clean_text('Order ID')} AS order_id",
+        f"{text_or_default('Status')} AS order_status", f"{clean_text('Fulfilment')} AS fulfilment_type",
+        f"{clean_text('Sales Channel ')} AS sales_channel", f"{text_or_default('SKU')} AS sku",
+        f"{clean_text('Category')} AS category", f"{clean_text('Size')} AS size",
+        f"{text_or_default('currency', 'INR')} AS currency", f"{clean_text('ship-city')} AS ship_city",
+        f"{clean_text('ship-state')} AS ship_state", f"{clean_text('ship-country')} AS ship_country")
+    intl = lake.raw_international_sales.selectExpr(
+        "'INTERNATIONAL' AS channel", f"{text_or_default('CUSTOMER')} AS customer_name",
+        f"{clean_text('Months')} AS month_year", f"{clean_text('Style')} AS style",
+        f"{clean_text('SKU')} AS sku", f"{clean_text('Size')} AS size")
+    stock = lake.raw_stock_levels.selectExpr(
+        "'STOCK' AS channel", f"{clean_text('SKU Code')} AS sku", f"{clean_text('Design No.')} AS design_number",
+        f"{text_or_default('Category')} AS category", f"{text_or_default('Size')} AS size",
+        f"{text_or_default('Color')} AS color")
+    return (amazon.unionByName(intl, allowMissingColumns=True)
+                  .unionByName(stock, allowMissingColumns=True))
+
+
 def clamp_quantity(lake: Lake) -> DataFrame:               # P4, P5
     amazon = lake.raw_amazon_sales.selectExpr(
         "'AMAZON' AS channel", "`Qty` AS raw_quantity", f"{clamp_count('Qty', 0)} AS quantity")
@@ -48,6 +68,16 @@ def numeric_boolean_defaults(lake: Lake) -> DataFrame:     # P6, P7
         "`B2B` AS raw_b2b", f"{flag_or_false('B2B')} AS is_b2b")
 
 
+def numeric_boolean_defaults_all(lake: Lake) -> DataFrame: # P6 at every site, P7 (the marketplace file only)
+    def money(c: str, name: str) -> list[str]:
+        return [f"`{c}` AS raw_{name}", f"CAST({number_or_zero(c)} AS DECIMAL(18,2)) AS {name}"]
+    amazon = lake.raw_amazon_sales.selectExpr(
+        "'AMAZON' AS channel", *money("Amount", "amount"), "`B2B` AS raw_b2b", f"{flag_or_false('B2B')} AS is_b2b")
+    intl = lake.raw_international_sales.selectExpr(
+        "'INTERNATIONAL' AS channel", *money("GROSS AMT", "amount"), *money("RATE", "unit_price"))
+    return amazon.unionByName(intl, allowMissingColumns=True)
+
+
 def parse_dmy_date(lake: Lake) -> DataFrame:               # P8
     amazon = lake.raw_amazon_sales.selectExpr("`Date` AS date_raw", f"{parse_dmy('Date')} AS order_date")
     intl = lake.raw_international_sales.selectExpr("`DATE` AS date_raw", f"{parse_dmy('DATE')} AS order_date")
@@ -79,6 +109,14 @@ def drop_unknown_sku(lake: Lake) -> DataFrame:             # F3
     return lake.stg_amazon_sales.where("sku != 'Unknown'").select("sku", "category", "size").distinct()
 
 
+def drop_unknown_sku_all(lake: Lake) -> DataFrame:         # F3 on both channels, every row that stays
+    amazon = lake.stg_amazon_sales.where("sku != 'Unknown'").selectExpr(
+        "'AMAZON' AS channel", "order_id AS sales_id", "sku", "category", "size")
+    intl = lake.stg_international_sales.where("sku != 'Unknown'").selectExpr(
+        "'INTERNATIONAL' AS channel", "transaction_id AS sales_id", "sku", "style", "size")
+    return amazon.unionByName(intl, allowMissingColumns=True)
+
+
 def rolling_30day_units(lake: Lake) -> DataFrame:          # F4, A1
     return gold.recent_units(lake.fct_sales(), lake.params.as_of)
 
@@ -151,6 +189,14 @@ def distinct_sku_attributes(lake: Lake) -> DataFrame:      # A10
     return lake.stg_international_sales.where("sku != 'Unknown'").select("sku", "style", "size").distinct()
 
 
+def distinct_sku_attributes_all(lake: Lake) -> DataFrame:  # A10 on both channels
+    amazon = lake.stg_amazon_sales.where("sku != 'Unknown'").selectExpr(
+        "'AMAZON' AS channel", "sku", "category", "size").distinct()
+    intl = lake.stg_international_sales.where("sku != 'Unknown'").selectExpr(
+        "'INTERNATIONAL' AS channel", "sku", "style", "size").distinct()
+    return amazon.unionByName(intl, allowMissingColumns=True)
+
+
 def lag_delta_query(lake: Lake) -> DataFrame:              # W1, W2
     snaps = lake.stg_stock_history.selectExpr(
         "sku_code AS product_sku", "stock_quantity", "category", "size", "color",
@@ -231,13 +277,16 @@ def revenue_tier_query(lake: Lake) -> DataFrame:           # E17
 
 OPERATOR_QUERIES = {
     "clean_text_defaults": (clean_text_defaults, "P2 P3"),
+    "clean_text_defaults_all": (clean_text_defaults_all, "P2 P3"),
     "clamp_quantity": (clamp_quantity, "P4 P5"),
     "numeric_boolean_defaults": (numeric_boolean_defaults, "P6 P7"),
+    "numeric_boolean_defaults_all": (numeric_boolean_defaults_all, "P6 P7"),
     "parse_dmy_date": (parse_dmy_date, "P8"),
     "transaction_key": (transaction_key_query, "P9"),
     "required_key_filter": (required_key_filter, "F1"),
     "exclude_cancelled": (exclude_cancelled, "F2"),
     "drop_unknown_sku": (drop_unknown_sku, "F3"),
+    "drop_unknown_sku_all": (drop_unknown_sku_all, "F3"),
     "rolling_30day_units": (rolling_30day_units, "F4 A1"),
     "active_stock_filter": (active_stock_filter, "F5"),
     "left_join_product": (left_join_product, "J1"),
@@ -249,6 +298,7 @@ OPERATOR_QUERIES = {
     "price_stats": (price_stats, "A3 A4"),
     "conditional_revenue": (conditional_revenue, "A5 A6"),
     "distinct_sku_attributes": (distinct_sku_attributes, "A10"),
+    "distinct_sku_attributes_all": (distinct_sku_attributes_all, "A10"),
     "lag_delta": (lag_delta_query, "W1 W2"),
     "moving_average_7": (moving_average_7, "W3"),
     "global_rank": (global_rank_query, "W4"),
