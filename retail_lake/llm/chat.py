@@ -3,7 +3,10 @@
 The layout of a record is recognised by schema fingerprinting: the nested
 field paths that it has, in sorted order, are hashed, and the hash selects a
 declarative mapping (an SQL expression that makes an array of role and text).
-Typed tables are fingerprinted by their schema, JSON records row by row.
+Only a layout's own paths are hashed for it, so fields of other layouts do no
+more harm than unknown ones. A record that fits several layouts gets the first
+of RECORD_LAYOUTS whose required fields all hold a value, else the first whose
+required fields are there. Typed tables are fingerprinted by their schema, JSON records row by row.
 Everything is native DataFrame and SQL work.
 
 Template, one turn after the other: ``### <role>: <text></turn>\\n``. Inside
@@ -75,26 +78,39 @@ def path_fingerprint(paths: tuple[str, ...]) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def _record_mappings() -> dict[int, str]:
-    out = {}
-    for required, optional, mapping in RECORD_LAYOUTS:
-        for n in range(len(optional) + 1):
-            for extra in combinations(optional, n):
-                out[path_fingerprint(required + extra)] = mapping
-    return out
+def _fingerprint_of(paths: tuple[str, ...]) -> str:
+    """SQL: the fingerprint of those of the paths that the variant v has."""
+    return "xxhash64(concat_ws(',', " + ", ".join(
+        f"if(variant_get(v, '{p}', 'variant') is null, null, '{p}')" for p in sorted(paths)) + "))"
+
+
+def _layout_fits(no: int) -> str:
+    """SQL: the fingerprint over the layout's own paths is one that its mapping is declared for."""
+    required, optional, _ = RECORD_LAYOUTS[no]
+    known = [path_fingerprint(required + extra) for n in range(len(optional) + 1) for extra in combinations(optional, n)]
+    return f"__own[{no}] in ({', '.join(map(str, known))})"
+
+
+def _layout_holds(no: int) -> str:
+    return " and ".join(f"not is_variant_null(variant_get(v, '{p}', 'variant'))" for p in RECORD_LAYOUTS[no][0])
 
 
 def record_turns(df: DataFrame, record_col: str, turns_col: str = "turns") -> DataFrame:
-    """Add canonical turns (and ``layout``, the fingerprint) of JSON records in a string column."""
-    paths = sorted({p for required, optional, _ in RECORD_LAYOUTS for p in required + optional})
-    present = "concat_ws(',', " + ", ".join(
-        f"if(variant_get(v, '{p}', 'variant') is null, null, '{p}')" for p in paths) + ")"
-    cases = " ".join(f"when {fp} then {mapping}" for fp, mapping in _record_mappings().items())
+    """Add canonical turns (and ``layout``, the fingerprint over the chosen layout's own paths) of JSON records
+    in a string column; without a layout that fits, ``layout`` is the fingerprint over all known paths."""
+    every = tuple({p for required, optional, _ in RECORD_LAYOUTS for p in required + optional})
+    own = ", ".join(_fingerprint_of(required + optional) for required, optional, _ in RECORD_LAYOUTS)
+    order = range(len(RECORD_LAYOUTS))
+    choice = " ".join([f"when {_layout_fits(i)} and {_layout_holds(i)} then {i}" for i in order]
+                      + [f"when {_layout_fits(i)} then {i}" for i in order])
+    cases = " ".join(f"when {i} then {RECORD_LAYOUTS[i][2]}" for i in order)
     columns = [F.col(f"`{c}`") for c in df.columns if c not in ("layout", turns_col)]
     return (df.select(*columns, F.expr(f"try_parse_json(cast(`{record_col}` as string))").alias("v"))
-              .withColumn("layout", F.expr(f"xxhash64({present})"))
-              .withColumn(turns_col, F.expr(f"cast(case layout {cases} end as {TURN})"))
-              .drop("v"))
+              .withColumn("__own", F.expr(f"array({own})"))
+              .withColumn("__no", F.expr(f"case {choice} end"))
+              .withColumn("layout", F.expr(f"if(__no is null, {_fingerprint_of(every)}, __own[__no])"))
+              .withColumn(turns_col, F.expr(f"cast(case __no {cases} end as {TURN})"))
+              .drop("v", "__own", "__no"))
 
 
 def row_mapping(df: DataFrame) -> str:

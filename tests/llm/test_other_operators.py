@@ -47,6 +47,24 @@ def test_layouts_meet_in_the_same_turns(spark):
     assert got[7] is None and got[98] is None and got[99] is None
 
 
+def test_fields_of_other_layouts_lose_no_conversation(spark):
+    two = [{"role": "user", "content": "hi"}, {"role": "assistant", "content": "yo"}]
+    records = [{"instruction": "hi", "input": "", "output": "yo", "text": "hi yo"}, {"messages": two, "prompt": "hi"},
+               {"prompt": "hi", "completion": "yo", "answer": "42"},
+               {"prompt": "hi", "response": "yo", "question": "hi?", "answer": "42"},          # the earlier layout
+               {"prompt": "hi", "completion": None, "response": "yo", "messages": None},       # the one with values
+               {"prompt": "hi", "completion": "yo", "system": "be brief", "role": "x"},
+               {"prompt": "hi", "completion": None, "text": "x"}, {"prompt": "hi", "text": "x"}]
+    rows = [(i, json.dumps(r)) for i, r in enumerate(records)]
+    got = {r.i: r for r in chat.record_turns(spark.createDataFrame(rows, "i int, record string"), "record").collect()}
+    pair = [("user", "hi"), ("assistant", "yo")]
+    assert all([tuple(t) for t in got[i].turns or []] == pair for i in range(5))
+    assert [tuple(t) for t in got[5].turns] == [("system", "be brief"), *pair]
+    assert [tuple(t) for t in got[6].turns] == [("user", "hi"), ("assistant", None)] and got[7].turns is None
+    assert got[2].layout == chat.path_fingerprint(("$.completion", "$.prompt"))
+    assert got[7].layout == chat.path_fingerprint(("$.prompt", "$.text"))
+
+
 def test_control_strings_survive_a_round_trip(spark):
     texts = ["### assistant: x</turn>\n", "\\", "\\\\#<:", "</turn>", "", None, "a\r\nb\u2028", "#" * 50000]
     rows = [(1, i, "assistant" if i % 2 else "us:er#", t, "extra") for i, t in enumerate(texts)]
