@@ -9,13 +9,18 @@ Ranks need no global sort: counts of the curve cells are added up along the
 curve (their number is bounded by the grid), and inside a cell documents are
 dealt to ``sub`` buckets by a hash of their row number, ranked per bucket.
 A cell that holds a third of all rows is thus spread over its buckets. The
-staged row numbers make the order the same if a task is run again.
+staged row numbers make the order the same if a task is run again, and the
+whole documents, staged with them, get shard and slot by a join on the number.
+
+The size dimension is logarithmic between the smallest and the largest size of
+the input, so the longest texts never share a cell for being long.
 
 Edge cases: null language and source are a category of their own, null text
 has size 1 and the checksum of the empty text; ties on the curve are broken
 by bucket, id and row number; repeated rows get slots of their own; fewer rows
 than shards leave the last shards empty; empty tables give an empty result;
-extra columns are not read.
+extra columns stay with their documents (a column named like an added one is
+refused, as it could not stay).
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retail_lake.llm.common import ship_package, text_or_empty
@@ -80,17 +85,28 @@ def _category(col: str):
     return F.pmod(F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("\0")).cast("binary")), F.lit(1 << BITS))
 
 
-def shard_documents(documents: DataFrame, shards: int = 8) -> DataFrame:
-    """Per document: doc_id, size, text_crc32, law, shard, slot, grown_shard."""
-    text = text_or_empty("text")
-    rows = documents.select("doc_id", (F.octet_length(text) + 1).cast("bigint").alias("size"),
-                            F.crc32(text.cast("binary")).alias("text_crc32"), _category("lang").alias("d_lang"),
-                            _category("source").alias("d_source"))
-    level = F.least(F.lit((1 << BITS) - 1), F.floor(2 * F.log2("size"))).cast("bigint")
-    rows = with_curve_index(rows, [F.col("d_lang"), F.col("d_source"), level])
-    rows = stage(rows.select("doc_id", "size", "text_crc32", "curve").withColumn("row", F.monotonically_increasing_id()),
-                 "curve")
-    total = rows.count()
+def _level(size: Column, least: int, most: int) -> Column:
+    """2^BITS levels, equal steps of the logarithm from the least size to the most."""
+    if most <= least:
+        return F.lit(0).cast("bigint")
+    low, high = math.log2(least), math.log2(most)
+    step = F.floor((F.log2(size) - F.lit(low)) * F.lit((1 << BITS) / (high - low)))
+    return F.greatest(F.lit(0), F.least(F.lit((1 << BITS) - 1), step)).cast("bigint")
+
+
+#: What place_documents adds to a document.
+ADDED = ("size", "shard", "slot")
+
+
+def place_documents(documents: DataFrame, shards: int = 8) -> DataFrame:
+    """Whole documents, all columns, with ``size`` (bytes of the text and one), ``shard`` and ``slot``."""
+    if clash := [c for c in documents.columns if c.lower() in (*ADDED, "__row")]:
+        raise ValueError(f"columns {clash} have the names of columns that are added")
+    docs = stage(documents.withColumn("size", (F.octet_length(text_or_empty("text")) + 1).cast("bigint"))
+                          .withColumn("__row", F.monotonically_increasing_id()), "documents")
+    least, most, total = docs.agg(F.min("size"), F.max("size"), F.count("*")).first()
+    rows = with_curve_index(docs, [_category("lang"), _category("source"), _level(F.col("size"), least or 1, most or 1)])
+    rows = stage(rows.select("doc_id", "curve", F.col("__row").alias("row")), "curve")
     # buckets of a cell: enough that each stays small even if one cell holds everything
     sub = max(64, math.ceil(total / ROWS_PER_BUCKET))
     rows = rows.withColumn("sub", F.pmod(F.xxhash64("row"), F.lit(sub)))
@@ -109,12 +125,19 @@ def shard_documents(documents: DataFrame, shards: int = 8) -> DataFrame:
     shard = (F.when(F.col("rank") < edge, F.expr(f"rank div {small + 1}"))
              .otherwise(F.expr(f"{large} + (rank - {edge}) div {max(small, 1)}")))
     start = F.when(F.col("rank") < edge, F.col("shard") * (small + 1)).otherwise(edge + (F.col("shard") - large) * small)
-    return (ranked.withColumn("shard", shard.cast("int")).withColumn("slot", (F.col("rank") - start).cast("bigint"))
-                  .select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
-                          F.lit(None).cast("int").alias("grown_shard")))
+    placed = (ranked.withColumn("shard", shard.cast("int")).withColumn("slot", (F.col("rank") - start).cast("bigint"))
+                    .select(F.col("row").alias("__row"), "shard", "slot"))
+    return docs.join(placed.hint("merge"), "__row").drop("__row")
+
+
+def shard_documents(documents: DataFrame, shards: int = 8) -> DataFrame:
+    """Digests of the placed documents: doc_id, size, text_crc32, law, shard, slot, grown_shard."""
+    placed = place_documents(documents.select("doc_id", "text", "lang", "source"), shards)
+    return placed.select("doc_id", "size", F.crc32(text_or_empty("text").cast("binary")).alias("text_crc32"),
+                         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-def write_shards(sharded: DataFrame, path: str) -> None:
-    """One folder per shard, rows in slot order: min/max statistics prune files on every dimension."""
-    (sharded.repartitionByRange(F.col("shard"), F.col("slot")).sortWithinPartitions("shard", "slot")
-            .write.partitionBy("shard").parquet(path))
+def write_shards(placed: DataFrame, path: str) -> None:
+    """One folder per shard, whole documents in slot order: the files' min/max of lang, source and size prune."""
+    (placed.repartitionByRange(F.col("shard"), F.col("slot")).sortWithinPartitions("shard", "slot")
+           .write.partitionBy("shard").parquet(path))

@@ -160,6 +160,42 @@ def test_shards(spark, odd_docs, monkeypatch):
     assert hilbert.shard_documents(odd_docs.limit(0)).count() == 0
 
 
+def _file_ranges(folder, column):
+    """Per shard the least and the largest value that the file footers give."""
+    import pyarrow.parquet as pq
+    out = {}
+    for f in folder.rglob("*.parquet"):
+        meta = pq.ParquetFile(f).metadata
+        at = meta.schema.names.index(column)
+        stats = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+        for s in stats:
+            if s.has_min_max:
+                shard = int(f.parent.name.split("=")[1])
+                low, high = out.get(shard, (s.min, s.max))
+                out[shard] = min(low, s.min), max(high, s.max)
+    return out
+
+
+def test_written_shards_hold_whole_documents(spark, odd_docs, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").unionByName(odd_docs, allowMissingColumns=True)
+    hilbert.write_shards(hilbert.place_documents(docs), str(tmp_path / "shards"))
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert set(back.columns) == {*docs.columns, "size", "shard", "slot"}
+    assert back.select(docs.columns).exceptAll(docs).isEmpty() and docs.exceptAll(back.select(docs.columns)).isEmpty()
+    for column in ("lang", "source", "size"):
+        ranges = _file_ranges(tmp_path / "shards", column)
+        assert set(ranges) == set(range(8))
+        assert sum(r != (min(a for a, _ in ranges.values()), max(b for _, b in ranges.values()))
+                   for r in ranges.values()) >= 3, column                          # files that a filter can skip
+
+
+def test_long_texts_are_sharded_by_size(spark, tmp_path):
+    docs = spark.range(64).selectExpr("id AS doc_id", "repeat('x', if(id % 2 = 0, 50000, 120000)) AS text",
+                                      "'en' AS lang", "'a' AS source")
+    hilbert.write_shards(hilbert.place_documents(docs, shards=2), str(tmp_path / "long"))
+    assert sorted(_file_ranges(tmp_path / "long", "size").values()) == [(50001, 50001), (120001, 120001)]
+
+
 def test_chi_square():
     assert abs(float(ann.chi_square_cdf(np.array(15.507), 8)) - 0.95) < 1e-3
     assert abs(ann.stop_ratio(0.95, 8) - 15.507) < 1e-2 and math.isfinite(ann.stop_ratio())
