@@ -11,9 +11,12 @@ document. Each candidate is verified on the spot by exact containment of the
 shingles themselves.
 
 The benchmark is searched in blocks of at most ``block_rows`` items and
-``block_chars`` characters; only a block is broadcast, so the size sent out is
-bounded whatever the size of the benchmark, and repeated items are sent once
-with their number. Documents are never shuffled.
+``block_chars`` characters, and repeated items are sent once with their number.
+Of several blocks one is searched after the other: what it found is written,
+then its broadcast is destroyed, so the driver and a Python worker hold one
+block whatever the size of the benchmark. With one block documents are never
+shuffled; with several, the pipeline stage takes out the found row numbers by
+one join.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z. Edge
 cases: items of one to four words are one shingle, their whole sequence of
@@ -27,7 +30,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -126,17 +129,31 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     spark = docs.sparkSession
     ship_package(spark)
     item_type = benchmark.schema[item_id_col].dataType.simpleString()
-    result = None
-    for block in _blocks(benchmark, item_id_col, item_text_col):
-        hits = _hits(_shared(block, threshold), item_type)
-        part = (docs.select(F.col(id_col), hits(text_or_empty(text_col)).alias("__hits"))
+
+    def found(shared) -> DataFrame:
+        hits = _hits(shared, item_type)
+        return (docs.select(F.col(id_col), hits(text_or_empty(text_col)).alias("__hits"))
                     .select(F.col(id_col), F.explode("__hits").alias("__hit"))
                     .select(F.col(id_col), "__hit.*", F.explode(F.expr("sequence(1L, __hit.copies)")).alias("__copy"))
                     .drop("copies", "__copy"))
-        result = part if result is None else result.unionByName(part)
+
+    result = _searched(_blocks(benchmark, item_id_col, item_text_col), threshold, found, "contaminations")
     return result.withColumn("containment", F.col("matched") / F.col("n_shingles"))
 
 
+def _searched(blocks: list[DataFrame], threshold: float, found: Callable[..., DataFrame], label: str) -> DataFrame:
+    """What ``found`` gives for all blocks; of several, each is written and its broadcast destroyed before the next."""
+    if len(blocks) == 1:
+        return found(_shared(blocks[0], threshold))
+    result = None
+    for block in blocks:
+        shared = _shared(block, threshold)
+        part = stage(found(shared), label)
+        shared.destroy()
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
 def _shared(block: DataFrame, threshold: float):
     """Broadcast of one bounded block of items."""
     rows = sorted(((r.item_id, r.text, r.copies) for r in block.toLocalIterator()), key=str)
@@ -167,11 +184,15 @@ def _holds(shared):
 def keep_clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Pipeline stage: documents that hold no benchmark item, columns unchanged."""
     ship_package(docs.sparkSession)
-    kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"),
-                       text_or_empty("text").alias("__t"))
-    for block in _blocks(benchmark, "item_id", "text"):
-        kept = kept.where(~_holds(_shared(block, threshold))("__t"))
-    return kept.select("__doc.*")
+    blocks = _blocks(benchmark, "item_id", "text")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc")
+    if len(blocks) == 1:
+        kept = docs.select(whole, text_or_empty("text").alias("__t"))
+        return kept.where(~_holds(_shared(blocks[0], threshold))("__t")).select("__doc.*")
+    rows = stage(docs.select(whole, F.monotonically_increasing_id().alias("__row")), "to-clean")
+    texts = rows.select("__row", F.coalesce(F.col("__doc.text").cast("string"), F.lit("")).alias("__t"))
+    dirty = _searched(blocks, threshold, lambda shared: texts.where(_holds(shared)("__t")).select("__row"), "dirty")
+    return rows.join(dirty.distinct(), "__row", "left_anti").select("__doc.*")
 
 
 #: The same search by brute force over all shingles.

@@ -82,6 +82,17 @@ def test_decontamination_in_blocks(spark, monkeypatch):
     assert sorted(map(tuple, decontaminate.contaminations(docs, thrice).collect())) == sorted(whole * 3)
 
 
+def test_decontamination_holds_one_block_at_a_time(spark, odd_docs, monkeypatch):
+    docs, bench = _docs(spark).unionByName(odd_docs, allowMissingColumns=True), spark.read.parquet(f"{SF}/benchmark.parquet")
+    whole = sorted(decontaminate.keep_clean(docs, bench).collect(), key=str)
+    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 20)
+    parts = [decontaminate.keep_clean(docs, bench), decontaminate.contaminations(docs, bench)]
+    assert len(decontaminate._blocks(bench, "item_id", "text")) > 1
+    for df in parts:                                         # all blocks are searched and written, none is still held
+        assert "EvalPython" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(parts[0].collect(), key=str) == whole and parts[0].columns == docs.columns
+
+
 def test_license_base_places_equal_brute_force(spark, odd_docs):
     extra = spark.createDataFrame([
         (501, "Under the MIT license under the mit LICENSE, and CC-BY NC"),
