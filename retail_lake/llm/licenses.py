@@ -5,7 +5,8 @@ the templates and positions where it stands. Word rarity is the inverse
 document frequency over all documents (counted once, map-side combined; the
 template words are a fixed small set). In each file the license words that
 occur are looked up from the highest IDF down; a phrase is placed by its
-rarest word, a longer passage by any of its rarest few, and every occurrence
+rarest word, a longer passage by any of its rarest positions, one more than may
+differ, and every occurrence
 of such a word proposes one alignment of the whole template by relative
 position. A phrase template must then stand word
 for word at the alignment. A text template collects the votes of its other
@@ -14,7 +15,9 @@ mandatory key phrase stands consecutively inside the aligned span.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z.
 Completeness: a place of a phrase holds every word of it, so it holds the
-phrase's rarest word, which is always looked up.
+phrase's rarest word, which is always looked up. Of a passage's n words at
+most n - ceil(0.8 n) may differ, so a file that holds it agrees at one of any
+n - ceil(0.8 n) + 1 of its positions.
 
 Edge cases: null and empty text have no words, no places, empty labels and
 score 0; overlapping places are all counted; ties in IDF go to the
@@ -56,7 +59,6 @@ PASSAGES = [
      "creative commons attribution noncommercial"),
     ("this work is licensed under a creative commons attribution license", "cc-by", "creative commons attribution"),
 ]
-ANCHORS = 4                # rarest words that may place a passage
 MIN_SHARE = 0.8            # of a passage's words at their relative positions
 
 
@@ -68,18 +70,20 @@ class PositionalIndex:
         self.templates = [(words(p), label, None) for p, label in PHRASES.items()]
         self.templates += [(words(p), label, words(key)) for p, label, key in PASSAGES]
         rarity = lambda w: (-idf.get(w, math.inf), w)
-        #: license word -> [(template, position)]: a phrase by its rarest word, a passage by its rarest few
+        #: license word -> [(template, position)]: a phrase by its rarest word, a passage by its rarest positions
         self.postings: dict[bytes, list[tuple[int, int]]] = {}
         for k, (template, _, key) in enumerate(self.templates):
-            for anchor in sorted(set(template), key=rarity)[:1 if key is None else ANCHORS]:
-                at = [i for i, w in enumerate(template) if w == anchor]
-                self.postings.setdefault(anchor, []).extend((k, i) for i in (at[:1] if key is None else at))
+            n = len(template)
+            anchors = 1 if key is None else n - math.ceil(min_share * n) + 1
+            for i in sorted(range(n), key=lambda i: (rarity(template[i]), i))[:anchors]:
+                self.postings.setdefault(template[i], []).append((k, i))
         self.by_rarity = sorted(self.postings, key=rarity)
 
-    def scan(self, text: str) -> tuple[int, int, int | None, int | None, str, str, float]:
+    def scan(self, text: str) -> tuple[int, list[tuple[bool, str, int, int, float]]]:
+        """Number of words, and (phrase?, label, first word, word after the last, share of the template) of each span."""
         w = words(text)
         present = set(w).intersection(self.postings)
-        places, base, labels, score = [], set(), set(), 0.0
+        spans = []
         seen: set[tuple[int, int]] = set()                   # alignments of passages already judged
         for anchor in [a for a in self.by_rarity if a in present]:
             starts = [i for i, x in enumerate(w) if x == anchor]
@@ -90,20 +94,16 @@ class PositionalIndex:
                     at = i - offset
                     if key is None:
                         if at >= 0 and w[at:at + n] == template:
-                            places.append(at)
-                            base.add(label)
-                            score = 1.0
+                            spans.append((True, label, at, at + n, 1.0))
                         continue
                     if (k, at) in seen:
                         continue
                     seen.add((k, at))
                     hits = sum(1 for j, x in enumerate(template) if 0 <= at + j < len(w) and w[at + j] == x)
-                    span = w[max(0, at):at + n]
-                    if hits >= self.min_share * n and _holds(span, key):
-                        labels.add(label)
-                        score = max(score, hits / n)
-        return (len(w), len(places), min(places, default=None), max(places, default=None),
-                ",".join(sorted(base)), ",".join(sorted(base | labels)), score)
+                    first, end = max(0, at), min(len(w), at + n)
+                    if hits >= self.min_share * n and _holds(w[first:end], key):
+                        spans.append((False, label, first, end, hits / n))
+        return len(w), sorted(spans, key=lambda s: s[2:4] + s[:2])
 
 
 def _holds(span: list[bytes], phrase: list[bytes]) -> bool:
@@ -132,19 +132,36 @@ def word_idf(df: DataFrame, text_col: str = "text") -> dict[bytes, float]:
     return {w: math.log((1 + n) / (1 + counts.get(w, 0))) for w in vocabulary}
 
 
-def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
+SPAN = ("is_phrase", "label", "first_word", "end_word", "share")
+
+
+def license_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id, n_words, and the spans of all places of phrases and passages, in words from 0, in order."""
     ship_package(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(word_idf(df, text_col))
-    kinds = {"n_words": "bigint", "n_base": "bigint", "first_word": "bigint", "last_word": "bigint",
-             "base_labels": "string", "labels": "string", "score": "double"}
 
-    @F.pandas_udf("struct<" + ",".join(f"{k}:{v}" for k, v in kinds.items()) + ">")
+    @F.pandas_udf("struct<n_words:bigint,spans:array<struct<is_phrase:boolean,label:string,first_word:bigint,"
+                  "end_word:bigint,share:double>>>")
     def found(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         index = PositionalIndex(shared.value)
         for batch in texts:
-            out = pd.DataFrame([index.scan(t) for t in batch], columns=list(kinds))
-            yield out.astype({k: "Int64" for k, v in kinds.items() if v == "bigint"})
+            scanned = [index.scan(t) for t in batch]
+            yield pd.DataFrame({"n_words": pd.Series([n for n, _ in scanned], dtype="int64"),
+                                "spans": pd.Series([[dict(zip(SPAN, s, strict=True)) for s in spans]
+                                                    for _, spans in scanned], dtype=object)})
 
-    return (df.select(F.col(id_col), found(text_or_empty(text_col)).alias("__l"))
-              .select(F.col(id_col), *[F.col(f"__l.{k}") for k in kinds]))
+    # not deterministic only in name: the scan runs once, however many columns are made of it
+    return (df.select(F.col(id_col), found.asNondeterministic()(text_or_empty(text_col)).alias("__l"))
+              .select(F.col(id_col), F.col("__l.n_words").alias("n_words"), F.col("__l.spans").alias("spans")))
+
+
+def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Digests of the spans: id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
+    base = "filter(spans, s -> s.is_phrase)"
+    labels = "array_join(sort_array(array_distinct(transform({0}, s -> s.label))), ',')"
+    return license_spans(df, id_col, text_col).select(
+        F.col(id_col), "n_words", F.expr(f"cast(size({base}) as bigint)").alias("n_base"),
+        F.expr(f"array_min(transform({base}, s -> s.first_word))").alias("first_word"),
+        F.expr(f"array_max(transform({base}, s -> s.first_word))").alias("last_word"),
+        F.expr(labels.format(base)).alias("base_labels"), F.expr(labels.format("spans")).alias("labels"),
+        F.expr("coalesce(array_max(transform(spans, s -> s.share)), 0D)").alias("score"))

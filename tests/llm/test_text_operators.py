@@ -93,6 +93,25 @@ def test_decontamination_holds_one_block_at_a_time(spark, odd_docs, monkeypatch)
     assert sorted(parts[0].collect(), key=str) == whole and parts[0].columns == docs.columns
 
 
+def test_license_passage_is_found_by_any_of_its_words(spark):
+    text, label, _ = licenses.PASSAGES[2]
+    rare = ["program", "free", "redistribute", "modify"]     # outside the key phrase, and all four differ
+    other = " ".join("other" if w in rare else w for w in text.split())
+    index = licenses.PositionalIndex({w.encode(): 9.0 if w in rare else 1.0 for w in text.split()})
+    for words in (text, other):
+        assert (False, label, 2, 24) in [s[:4] for s in index.scan("x y " + words + " z")[1]]
+    for number, (passage, name, key) in enumerate(licenses.PASSAGES):
+        w = passage.split()
+        for lost in range(len(w)):                           # any run of as many words as may differ
+            bad = {i % len(w) for i in range(lost, lost + len(w) - -(-len(w) * 4 // 5))}
+            changed = " ".join("other" if i in bad else x for i, x in enumerate(w))
+            if key in changed:
+                assert name in [s[1] for s in index.scan(changed)[1]], (number, changed)
+    docs = spark.createDataFrame([(1, "a under the MIT license, b " + text)], "doc_id bigint, text string")
+    spans = licenses.license_spans(docs).collect()[0].spans
+    assert [(s.is_phrase, s.label, s.first_word, s.end_word) for s in spans] == [(True, "mit", 1, 5), (False, label, 6, 28)]
+
+
 def test_license_base_places_equal_brute_force(spark, odd_docs):
     extra = spark.createDataFrame([
         (501, "Under the MIT license under the mit LICENSE, and CC-BY NC"),
