@@ -20,7 +20,6 @@ table gives an empty result; extra columns are not read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -41,7 +40,6 @@ FAMILIES = {
     "slavic": ("be", "bg", "cs", "hr", "mk", "pl", "ru", "sk", "sl", "sr", "uk"),
 }
 _FAMILY = {lang: family for family, langs in FAMILIES.items() for lang in langs}
-_LETTER = re.compile(r"[^\W\d_]")
 #: Letters and non-ASCII bytes stand for themselves, everything else is a space.
 _BYTES = np.frombuffer(bytes(b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in bytes(range(256)).lower()),
                        dtype=np.uint8).astype(np.uint32)
@@ -52,6 +50,11 @@ def family_of(lang: str) -> str:
     return _FAMILY.get(lang.lower().split("-")[0], f"other:{lang}")
 
 
+def has_letter(text: str) -> bool:
+    """Any character of the Unicode categories L*; numeric signs (superscripts, fractions, Roman numerals) are none."""
+    return any(map(str.isalpha, text))
+
+
 def features(text: str) -> np.ndarray:
     """Hashed gram counts of the whole text, square-rooted, length one."""
     counts = np.zeros(DIMENSIONS)
@@ -112,7 +115,7 @@ class LanguageModel:
             self.pair_w[f] = np.array(weights)
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not self.langs or not text or _LETTER.search(text) is None:
+        if not self.langs or not text or not has_letter(text):
             return "und", 0.0
         v = np.append(features(text), 1.0)
         family, score = self.families[0], 1.0

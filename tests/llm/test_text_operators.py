@@ -1,6 +1,7 @@
 """Language ID, decontamination, license scan and SimHash against brute force and held-out accuracy."""
 
 import re
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -38,6 +39,19 @@ def test_language_edge_cases(spark, odd_docs):
     assert langid.predicted_languages(odd_docs.limit(0)).count() == 0
 
 
+def test_numeric_signs_are_no_letters(spark):
+    signs = "\u00b2 \u00bd \u2167 \u2460"                    # superscript two, one half, Roman eight, circled one
+    for c in map(chr, [*range(0xD800), *range(0xE000, 0x110000)]):
+        assert langid.has_letter(c) == (unicodedata.category(c)[0] == "L"), hex(ord(c))
+    rows = [(90001, signs, "en"), (90002, signs + " \u00e9", "en"), (90003, "\u4f60", "en")]
+    docs = _docs(spark).select("doc_id", "text", "lang").unionByName(
+        spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    pred = {r.doc_id: r.lang_pred for r in langid.predicted_languages(docs).where("doc_id > 90000").collect()}
+    assert pred[90001] == "und" and pred[90002] != "und" and pred[90003] != "und"
+    kept = {r.doc_id for r in langid.keep_identified(docs).where("doc_id > 90000").collect()}
+    assert kept == {90002, 90003}
+
+
 def test_features_do_not_depend_on_slices(monkeypatch):
     text = "Ein längerer Satz, the whole text. " * 50
     whole = langid.features(text)
