@@ -6,7 +6,9 @@ machines between the languages of that family vote. Features are hashed
 1- to 3-byte grams of the whole text, square-rooted and scaled to length one.
 
 Training uses a bounded sample of labelled rows: at most ``rows_per_lang``
-rows of each language, the row with the smallest content hash of each of that
+rows of each language and TRAIN_ROWS in all, in equal shares once the labels
+outnumber the known languages; more labels than TRAIN_ROWS are refused, as no
+share is left. A language's rows are the row with the smallest content hash of each of that
 many hash buckets, so repeated rows count once and the choice does not depend
 on partitioning. Everything else (prediction) covers every whole text.
 
@@ -39,6 +41,8 @@ FAMILIES = {
     "romance": ("ca", "es", "fr", "gl", "it", "oc", "pt", "ro"),
     "slavic": ("be", "bg", "cs", "hr", "mk", "pl", "ru", "sk", "sl", "sr", "uk"),
 }
+#: Rows of all languages together: the full share for every known language, whatever the number of labels.
+TRAIN_ROWS = ROWS_PER_LANG * sum(map(len, FAMILIES.values()))
 _FAMILY = {lang: family for family, langs in FAMILIES.items() for lang in langs}
 #: Letters and non-ASCII bytes stand for themselves, everything else is a space.
 _BYTES = np.frombuffer(bytes(b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in bytes(range(256)).lower()),
@@ -147,12 +151,15 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           rows_per_lang: int = ROWS_PER_LANG) -> LanguageModel:
-    """Fit on at most ``rows_per_lang`` rows of each language outside the held-out fold."""
+    """Fit on at most ``rows_per_lang`` rows of each language, TRAIN_ROWS in all, outside the held-out fold."""
     ship_package(df.sparkSession)
     rows = (df.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
               .select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
               .withColumn("h", F.xxhash64("text")))
-    bucket = F.pmod(F.col("h"), F.lit(rows_per_lang))
+    labels = rows.select("lang").distinct().count()
+    if labels > TRAIN_ROWS:
+        raise ValueError(f"{labels} labels in {lang_col}: at most {TRAIN_ROWS} can be learnt")
+    bucket = F.pmod(F.col("h"), F.lit(min(rows_per_lang, TRAIN_ROWS // max(labels, 1))))
     chosen = rows.groupBy("lang", bucket.alias("b")).agg(F.min("h").alias("h")).select("lang", "h")
 
     @F.pandas_udf(BinaryType())
@@ -160,7 +167,7 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         for batch in texts:
             yield batch.map(lambda t: features(t).astype("<f2").tobytes()).astype(object)
 
-    # chosen has at most rows_per_lang rows for each language, a proven bound for the broadcast
+    # chosen has at most TRAIN_ROWS rows whatever the number of labels, a proven bound for the broadcast
     sample = (rows.join(F.broadcast(chosen), ["lang", "h"]).select("lang", "h", vectors("text").alias("v"))
                   .groupBy("lang", "h").agg(F.min("v").alias("v")).collect())
     sample.sort(key=lambda r: (r.lang, r.h))

@@ -5,6 +5,7 @@ import unicodedata
 from collections import Counter
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -39,6 +40,18 @@ def test_language_edge_cases(spark, odd_docs):
     assert langid.predicted_languages(odd_docs.limit(0)).count() == 0
 
 
+def test_training_rows_do_not_grow_with_the_labels(spark, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(langid, "LanguageModel", lambda x, langs: fitted.append(langs))
+    monkeypatch.setattr(langid, "TRAIN_ROWS", 50)
+    for labels in (2, 20):
+        langid.train(spark.range(1000).selectExpr("id AS doc_id", "concat('some words ', id) AS text",
+                                                  f"concat('l', id % {labels}) AS lang"), rows_per_lang=30)
+        assert 20 <= len(fitted[-1]) <= 50 and len(set(fitted[-1])) == labels
+    with pytest.raises(ValueError, match="labels"):
+        langid.train(spark.range(1000).selectExpr("id AS doc_id", "'x' AS text", "cast(id AS string) AS lang"))
+
+
 def test_numeric_signs_are_no_letters(spark):
     signs = "\u00b2 \u00bd \u2167 \u2460"                    # superscript two, one half, Roman eight, circled one
     for c in map(chr, [*range(0xD800), *range(0xE000, 0x110000)]):
