@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retail_lake.llm import ann, bpe, chat, decontaminate, hilbert, langid, licenses, simhash, tokencount, urlfilter
+from retail_lake.llm import (
+    ann, bpe, chat, decontaminate, filteraudit, hilbert, langid, licenses, simhash, spelling, tokencount, toxicity,
+    urlfilter,
+)
 from retail_lake.llm.common import table
 
 
@@ -25,10 +28,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": _on(ann.embedding_neighbours, "embeddings"),
     "op9_hilbert_shards": _on(hilbert.shard_documents, "documents"),
     "op10_token_counts": lambda spark, sf_dir: tokencount.count_tokens(spark, table(spark, sf_dir, "documents")),
+    "op11_toxicity": _on(toxicity.toxic_documents, "documents", "labels"),
+    "op12_spelling_variants": _on(spelling.spelling_variants, "documents"),
+    "op13_filter_audit": _on(filteraudit.audit_filters, "documents", "labels"),
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_decontamination": decontaminate.ORACLE_SQL,
     "op6_chat_format": chat.ORACLE_SQL,
     "op7_url_filter": urlfilter.ORACLE_SQL,
+    "op13_filter_audit": filteraudit.ORACLE_SQL,
 }
