@@ -4,21 +4,21 @@ Five filters fail a document (words: maximal ``[^\\x20\\x09-\\x0D]+``, case-sens
 A under 200 words, B fewer than half of the words distinct, C over 2 % of the
 code points in A-Z, D any of ``#$%&*|``, E the text of a smaller id.
 
-The matrix is built in shards of consecutive documents (compressed sparse
-rows). A first pass over the texts writes every shard with a vocabulary of its
-own. The distinct words of all shards are the global dictionary, numbered
-without gaps from 0: per partition in written order, after the words of the
-partitions before. A join on the word translates every shard's vocabulary, and
-the shard's column indices are rewritten to global word ids. Row sums of the
-finished matrix are word counts, its row lengths (nonzero counts) distinct
-words: they decide A and B. C and D come from the first pass, E from the smallest
-id of each text digest (SHA-256). ``document_flags`` joins them;
-``audit_filters`` counts the 32 failure patterns per part, from which every
-order's figures follow without looking at a document again.
-
-What a task holds is one shard: SHARD_BYTES of text or SHARD_ROWS documents,
-whichever comes first, or one longer document. A word in every shard costs one
-row a shard, a text shared by many documents one row a map task.
+The matrix is built in shards of documents (compressed sparse rows). A first pass
+over the texts writes every shard with a vocabulary of its own. The vocabularies, cut into
+blocks by the words' hash, are shuffled to dictionary buckets; a bucket sees all
+shards' blocks of its words and gives each distinct word one id (its number in the
+bucket times the number of buckets, plus the bucket's). Back at their shards the
+ids replace the local column indices. Row sums of the finished matrix are word
+counts, its row lengths (nonzero counts) distinct words: they decide A and B. C and D come
+from the first pass, E from the smallest id of each text digest (SHA-256).
+``document_flags`` joins them; ``audit_filters`` counts the 32 failure patterns
+per part, from which every order's figures follow without looking at a document again.
+
+What a task holds is one shard (SHARD_BYTES of text or SHARD_ROWS documents,
+whichever comes first, or one longer document) or one bucket (about BUCKET_WORDS
+entries: there are as many buckets as the vocabularies need). A word in every
+shard costs one entry a shard, a text shared by many documents one row a map task.
 
 Edge cases: null text is the empty text (fails A; not B, as 0 < 0 is false; not
 C); empty texts are identical to each other; rows of equal id and text are both
@@ -32,12 +32,14 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import count, permutations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,14 +52,28 @@ MIN_WORDS, DISTINCT_PERCENT, UPPER_PERCENT = 200, 50, 2
 _SYMBOL = re.compile(rb"[#$%&*|]")
 _UPPER = bytes(range(0x41, 0x5B))
 
-SHARD_ROWS, SHARD_BYTES = 4000, 8 << 20        # bound a task's memory, not results
+SHARD_ROWS, SHARD_BYTES = 10_000, 16 << 20     # bound a task's memory, not results
+BUCKET_WORDS = 200_000
 
 _SHARD = ("doc_ids array<bigint>, parts array<string>, upper array<boolean>, symbol array<boolean>, "
-          "digests array<binary>, row_ends binary, columns binary, counts binary, vocabulary array<binary>")
+          "digests array<binary>, row_ends binary, columns binary, counts binary, vocabulary binary, n_vocabulary bigint")
 _SHARD_ARROW = pa.schema([
-    ("doc_ids", pa.list_(pa.int64())), ("parts", pa.list_(pa.string())),
-    ("upper", pa.list_(pa.bool_())), ("symbol", pa.list_(pa.bool_())), ("digests", pa.list_(pa.binary())),
-    ("row_ends", pa.binary()), ("columns", pa.binary()), ("counts", pa.binary()), ("vocabulary", pa.list_(pa.binary()))])
+    ("doc_ids", pa.list_(pa.int64())), ("parts", pa.list_(pa.string())), ("upper", pa.list_(pa.bool_())),
+    ("symbol", pa.list_(pa.bool_())), ("digests", pa.list_(pa.binary())), ("row_ends", pa.binary()),
+    ("columns", pa.binary()), ("counts", pa.binary()), ("vocabulary", pa.binary()), ("n_vocabulary", pa.int64())])
+
+
+def _pack(a: np.ndarray | bytes) -> bytes:
+    return zstandard.compress(a if isinstance(a, bytes) else a.tobytes(), 3)
+
+
+def _unpack(b: bytes, dtype: str | None = None):
+    raw = zstandard.decompress(b)
+    return raw if dtype is None else np.frombuffer(raw, dtype=dtype)
+
+
+def _one_row(values: list, schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
 
 
 class _Shard:
@@ -84,11 +100,10 @@ class _Shard:
         self.bytes += len(raw)
 
     def batch(self) -> pa.RecordBatch:
-        packed = lambda arrays: np.concatenate(arrays).tobytes()
-        row = [self.doc_ids, self.parts, self.upper, self.symbol, self.digests,
-               np.array(self.ends, dtype="<i8").tobytes(), packed(self.columns), packed(self.counts), list(self.number)]
-        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _SHARD_ARROW, strict=True)],
-                                          schema=_SHARD_ARROW)
+        words = list(self.number)                             # words hold no space: it can stand between them
+        return _one_row([self.doc_ids, self.parts, self.upper, self.symbol, self.digests,
+                         _pack(np.array(self.ends, dtype="<i8")), _pack(np.concatenate(self.columns)),
+                         _pack(np.concatenate(self.counts)), _pack(b" ".join(words)), len(words)], _SHARD_ARROW)
 
 
 def local_shards(documents: DataFrame) -> DataFrame:
@@ -110,39 +125,64 @@ def local_shards(documents: DataFrame) -> DataFrame:
     return rows.mapInArrow(cut, _SHARD).withColumn("shard", F.monotonically_increasing_id())
 
 
-def global_dictionary(vocabularies: DataFrame) -> DataFrame:
-    """word -> id, without gaps from 0, from rows with a column ``word``."""
-    written = stage(vocabularies.select("word").distinct().withColumn("at", F.monotonically_increasing_id()),
-                    "dictionary")
-    # the upper bits of ``at`` are the partition: one row for each, whatever the number of words
-    starts = written.groupBy(F.shiftright("at", 33).alias("p")).agg(F.count(F.lit(1)).alias("n")).selectExpr(
-        "p", "coalesce(sum(n) over (order by p rows between unbounded preceding and 1 preceding), 0) as start")
-    return (written.withColumn("p", F.shiftright("at", 33)).join(F.broadcast(starts), "p")
-            .selectExpr("word", f"start + (at & {2 ** 33 - 1}L) as word_id"))
+def _vocabulary_blocks(shards: DataFrame, buckets: int) -> DataFrame:
+    """A row per shard and dictionary bucket: the words of that bucket and their local columns."""
+    schema = pa.schema([("bucket", pa.int32()), ("shard", pa.int64()), ("local", pa.binary()), ("words", pa.binary())])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for shard, packed, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if not n:
+                    continue
+                words = _unpack(packed).split(b" ")
+                bucket = np.fromiter(map(zlib.crc32, words), dtype="<u4", count=n) % np.uint32(buckets)
+                order = np.argsort(bucket, kind="stable").astype("<i4")
+                firsts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+                rows = [(int(bucket[own[0]]), shard, _pack(own), _pack(b" ".join([words[i] for i in own])))
+                        for own in np.split(order, firsts[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in
+                                                  zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+    return shards.select("shard", "vocabulary", "n_vocabulary").mapInArrow(
+        cut, "bucket int, shard bigint, local binary, words binary")
+
+
+def dictionary_ids(shards: DataFrame) -> DataFrame:
+    """Global word ids of the shards' local columns, in blocks: shard, local (packed int32), ids (packed int64)."""
+    entries = shards.agg(F.sum("n_vocabulary")).first()[0] or 0
+    buckets = int(max(1, -(-entries // BUCKET_WORDS)))
+
+    def number(blocks: pa.Table) -> pa.Table:
+        ids = defaultdict(count().__next__)
+        bucket, out = blocks.column("bucket")[0].as_py(), []
+        for words in blocks.column("words").to_pylist():
+            words = _unpack(words).split(b" ")
+            out.append(_pack(np.fromiter(map(ids.__getitem__, words), dtype="<i8", count=len(words)) * buckets + bucket))
+        return pa.table({"shard": blocks.column("shard"), "local": blocks.column("local"), "ids": pa.array(out, pa.binary())})
+
+    return _vocabulary_blocks(shards, buckets).groupBy("bucket").applyInArrow(number, "shard bigint, local binary, ids binary")
+
+
+_MATRIX_ARROW = pa.schema([*list(_SHARD_ARROW)[:8], ("shard", pa.int64())])
+_MATRIX = _SHARD.split(", vocabulary")[0] + ", shard bigint"
 
 
 def document_term_matrix(documents: DataFrame) -> DataFrame:
-    """The matrix in CSR shards: ``columns`` are global word ids (packed int64), ``counts`` their numbers
+    """The matrix in CSR shards, arrays compressed: ``columns`` are global word ids (int64), ``counts`` their numbers
     (int32), ``row_ends`` the ends of the documents' rows (int64); per document its id, part and text flags."""
     shards = stage(local_shards(documents), "shards")
-    vocabularies = shards.select("shard", F.posexplode("vocabulary").alias("local", "word"))
-    numbered = vocabularies.join(global_dictionary(vocabularies), "word").groupBy("shard").agg(
-        F.sort_array(F.collect_list(F.struct("local", "word_id"))).alias("pairs"))     # bounded by a shard's words
-    joined = shards.drop("vocabulary").join(numbered.select("shard", F.col("pairs.word_id").alias("ids")), "shard", "left")
 
-    def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at = {n: i for i, n in enumerate(b.schema.names)}
-            columns = []
-            for local, ids in zip(b.column(at["columns"]).to_pylist(), b.column(at["ids"]), strict=True):
-                known = np.asarray(ids.values if ids.is_valid else [], dtype="<i8")
-                columns.append(known[np.frombuffer(local, dtype="<i4")].tobytes())
-            arrays = [b.column(i) for i in range(b.num_columns)]
-            arrays[at["columns"]] = pa.array(columns, pa.binary())
-            yield pa.RecordBatch.from_arrays(arrays[:-1], names=b.schema.names[:-1])
+    def rewrite(shard: pa.Table, blocks: pa.Table) -> pa.Table:
+        row = shard.to_pylist()[0]
+        known = np.zeros(row["n_vocabulary"], dtype="<i8")
+        for local, ids in zip(blocks.column("local").to_pylist(), blocks.column("ids").to_pylist(), strict=True):
+            known[_unpack(local, "<i4")] = _unpack(ids, "<i8")
+        row["columns"] = _pack(known[_unpack(row["columns"], "<i4")])
+        return pa.Table.from_batches([_one_row([row[f.name] for f in _MATRIX_ARROW], _MATRIX_ARROW)])
 
-    out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.drop("ids").schema.fields)
-    return joined.mapInArrow(rewrite, out)
+    # one shard with the ids of its own words, whatever the number of documents
+    return shards.drop("vocabulary").groupBy("shard").cogroup(dictionary_ids(shards).groupBy("shard")).applyInArrow(
+        rewrite, _MATRIX)
 
 
 def matrix_rows(matrix: DataFrame) -> DataFrame:
@@ -150,8 +190,8 @@ def matrix_rows(matrix: DataFrame) -> DataFrame:
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in b.to_pylist():
-                ends = np.frombuffer(r["row_ends"], dtype="<i8")
-                total = np.concatenate([[0], np.cumsum(np.frombuffer(r["counts"], dtype="<i4"), dtype="<i8")])
+                ends = _unpack(r["row_ends"], "<i8")
+                total = np.concatenate([[0], np.cumsum(_unpack(r["counts"], "<i4"), dtype="<i8")])
                 starts = np.concatenate([[0], ends[:-1]])
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": pa.array(r["doc_ids"], pa.int64()), "part": pa.array(r["parts"], pa.string()),

@@ -50,7 +50,7 @@ INSULTS = ("idiot idiots idiotic moron morons moronic stupid stupidity dumb fool
            "clown clowns pathetic worthless disgusting imbecile imbeciles cretin jerk jerks bastard bastards creep "
            "garbage filth filthy vermin parasite parasites coward cowards degenerate degenerates freak freaks pig pigs "
            "retard retarded bitch whore slut asshole assholes dickhead").split()
-THREATS = ("kill killed murder hurt beat smash stab shoot strangle burn destroy hang drown punch crush slap die "
+THREATS = ("kill killed murder hurt beat smash stab shoot strangle burn destroy hang drown punch crush slap "
            "deserve suffer").split()
 TARGETS = ("you your youre yours u ur yourself he his him she her they them their these those people everyone "
            "anyone somebody").split()
@@ -160,7 +160,7 @@ class Grammar:
         for (s, a), (to, out) in machine.arcs.items():
             self.arcs[a][number[s]] = (number[to], out)
         self.symbols = Remembered(self._symbol, 200_000, longest=40)
-        self.clause = re.compile(f"[^{END}]*[{MATCHES}][^{END}]*{END}")
+        self.match = re.compile(f"[{MATCHES}]")
 
     def _symbol(self, token: bytes) -> str:
         if token in (b".", b'"'):
@@ -174,17 +174,23 @@ class Grammar:
                     break
         return known or OTHER
 
-    def kinds(self, text: str) -> Counter:
-        """Number of matched clauses of each kind."""
-        line = "".join(map(self.symbols.__getitem__, tokens(text))) + END
+    def read(self, line: str) -> Counter:
+        """Kinds written for a line of symbols that ends with a clause end; clauses without a match write nothing."""
         found: Counter = Counter()
-        for clause in self.clause.findall(line):              # clauses without a match write nothing
+        match = self.match.search(line)
+        while match:
+            start, end = line.rfind(END, 0, match.start()) + 1, line.index(END, match.start()) + 1
             state = 0
-            for a in clause:
+            for a in line[start:end]:
                 state, out = self.arcs[a][state]
                 found.update(out)
+            match = self.match.search(line, end)
         return found
 
+    def kinds(self, text: str) -> Counter:
+        """Number of matched clauses of each kind."""
+        return self.read("".join(map(self.symbols.__getitem__, tokens(text))) + END)
+
     def levels(self, text: str) -> tuple[int, ...]:
         """Per kind the number of its clauses, MOST at most."""
         found = self.kinds(text)
@@ -284,14 +290,15 @@ def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
     """Fit the lexicon and the weights on labelled rows outside the held-out fold."""
     ship_package(documents.sparkSession)
     judged = labels.where("toxic is not null").groupBy("doc_id").agg(F.max(F.expr("int(toxic = 1)")).alias("y"))
-    rows = (documents.where(~held_out()).select("doc_id", text_or_empty("text").alias("text")).join(judged, "doc_id")
-            .select("y", "text", F.xxhash64("text").alias("h")))
-    # two labels: at most 2 * sample_rows texts, whatever the number of rows
-    chosen = rows.groupBy("y", F.pmod("h", F.lit(sample_rows)).alias("b")).agg(
+    learnt = documents.where(~held_out()).select("doc_id", text_or_empty("text").alias("text")).withColumn(
+        "h", F.xxhash64("text"))
+    # ids and hashes meet their labels, whole texts do not travel; two labels: at most 2 * sample_rows hashes
+    chosen = learnt.select("doc_id", "h").join(judged, "doc_id").groupBy(
+        "y", F.pmod("h", F.lit(sample_rows)).alias("b")).agg(
         F.min("h").alias("h"), F.count(F.lit(1)).alias("rows")).select("y", "h", "rows")
     near = F.pandas_udf(lambda texts: texts.map(near_copy_key), "bigint")
     # first by hash, one copy of a text, then one text of those that share the smallest shingle
-    texts = rows.join(F.broadcast(chosen), ["y", "h"]).groupBy("y", "h").agg(
+    texts = learnt.join(F.broadcast(chosen), "h").groupBy("y", "h").agg(
         F.min("text").alias("text"), F.first("rows").alias("rows"))
     sample = stage(texts.withColumn("near", near.asNondeterministic()("text")).groupBy("y", "near").agg(
         F.min(F.struct("h", "text")).alias("t"), F.sum("rows").alias("rows")).select("y", "t.text", "rows"), "toxic_sample")
