@@ -102,8 +102,16 @@ def _key(side: str, part: str, length: int) -> int:
     return xxhash.xxh64_intdigest(f"{side}{length}:{part}") - (1 << 63)
 
 
+def letter_parities(word: str) -> int:
+    """64 bits, each the parity of how often letters of one class occur. A replaced letter flips two at most."""
+    bits = 0
+    for c in word:
+        bits ^= 1 << (ord(c) & 63)
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
 def _entries(words: DataFrame, order: dict[str, tuple[int, int]], pivots: bool) -> DataFrame:
-    """Index entries of the prefix grams, or lookups of the pivots: word, key, last place of the prefix."""
+    """Index entries of the prefix grams, or lookups of the pivots: word, key, last place of the prefix, parities."""
     shared = words.sparkSession.sparkContext.broadcast(order)
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -112,19 +120,19 @@ def _entries(words: DataFrame, order: dict[str, tuple[int, int]], pivots: bool)
             rows = []
             for w in batch["word"]:
                 n, prefix = len(w), gram_prefix(w, order)
-                last = max(order[w[p:p + Q]][0] for p in prefix)
+                last, bits = max(order[w[p:p + Q]][0] for p in prefix), letter_parities(w)
                 if pivots:
                     first, second = choose_pivots(w, prefix, order)
                     for other in range(n - EDITS, n + EDITS + 1):
-                        rows.append((w, _key("l", w[:first + Q], other), last))
-                        rows.append((w, _key("r", w[second:], other), last))
+                        rows.append((w, _key("l", w[:first + Q], other), last, bits))
+                        rows.append((w, _key("r", w[second:], other), last, bits))
                 else:
                     for p in prefix:
-                        rows.append((w, _key("l", w[:p + Q], n), last))
-                        rows.append((w, _key("r", w[p:], n), last))
-            yield pd.DataFrame(rows, columns=["word", "k", "last"])
+                        rows.append((w, _key("l", w[:p + Q], n), last, bits))
+                        rows.append((w, _key("r", w[p:], n), last, bits))
+            yield pd.DataFrame(rows, columns=["word", "k", "last", "bits"])
 
-    return words.select("word").mapInPandas(made, "word string, k bigint, last int")
+    return words.select("word").mapInPandas(made, "word string, k bigint, last int, bits bigint")
 
 
 def near_words(words: DataFrame) -> DataFrame:
@@ -132,10 +140,10 @@ def near_words(words: DataFrame) -> DataFrame:
     four code points."""
     ship_package(words.sparkSession)
     order = gram_order(words)
-    probes = _entries(words, order, pivots=True).selectExpr("word as w", "k", "last as w_last")
-    index = _entries(words, order, pivots=False).selectExpr("word as x", "k as x_k", "last as x_last")
-    met = probes.join(index, F.expr("k = x_k and w_last <= x_last and w != x"))
-    # the plain bound on differing ends first: the distance is worked out for what passes
+    probes = _entries(words, order, pivots=True).selectExpr("word as w", "k", "last as w_last", "bits as w_bits")
+    index = _entries(words, order, pivots=False).selectExpr("word as x", "k as x_k", "last as x_last", "bits as x_bits")
+    # parities first: the distance is worked out for what passes
+    met = probes.join(index, F.expr(f"k = x_k and w_last <= x_last and bit_count(w_bits ^ x_bits) <= {2 * EDITS} and w != x"))
     return (met.where(f"levenshtein(w, x, {EDITS}) = {EDITS}")
             .selectExpr("least(w, x) as a", "greatest(w, x) as b").distinct())
 

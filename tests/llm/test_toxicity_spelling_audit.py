@@ -169,6 +169,13 @@ def test_variants_equal_brute_force_on_documents(spark, con):
     assert len(got) == len(set(got)) and set(got) == want and any(x[1] for x in want)
 
 
+@given(st.text(alphabet="abcÿ\u00c0z", min_size=1, max_size=12), st.integers(0, 11), st.sampled_from("abcÿ\u00c0z"))
+def test_one_edit_flips_two_parities_at_most(word, at, letter):
+    at %= len(word)
+    for other in (word[:at] + word[at + 1:], word[:at] + letter + word[at:], word[:at] + letter + word[at + 1:]):
+        assert ((spelling.letter_parities(word) ^ spelling.letter_parities(other)) & (1 << 64) - 1).bit_count() <= 2
+
+
 def test_near_words_of_few_letters(spark):
     """Many ties among bigrams, repeated bigrams, edits at both ends."""
     rng = np.random.default_rng(7)
