@@ -14,8 +14,11 @@ second pivot and all that follows in place, counted from the end; at or after it
 first pivot and all that stands before, counted from the start. Hence the
 first pivot is looked up with the characters before it at its own
 position, the second with the characters after it at its position shifted by
-the difference in length, for lengths that differ by at most one. What meets is
-verified by the edit distance. Both lookups are equi-joins on a hash, which
+the difference in length, for lengths that differ by at most one. Where that part
+is short (under CERTAIN characters, so that many words share it) the lookup is
+split by the word's other end: either the edit spares its last (first) END characters,
+which are looked up too, or it falls on them and spares all the rest. What meets is compared by
+letter parities and verified by the edit distance. All lookups are equi-joins on a hash, which
 Spark shuffles and splits; nothing is capped.
 
 Edge cases: null text has no words, a null id is the empty string in the hash
@@ -38,6 +41,7 @@ from retail_lake.operators.stages import stage
 
 Q, EDITS = 2, 1
 LEAST_LENGTH, LEAST_COUNT = 7, 2
+CERTAIN, END = 5, 3        # shorter parts are looked up with the other end; CERTAIN - 1 + END <= LEAST_LENGTH
 FORM_FACTOR = 10           # a form is so many times as frequent
 DELETE_EVERY = 31          # of the hashes of (document, run), so many lose a character
 
@@ -98,8 +102,43 @@ def choose_pivots(word: str, prefix: list[int], order: dict[str, tuple[int, int]
     return list(rows[-1][want][1])
 
 
-def _key(side: str, part: str, length: int) -> int:
-    return xxhash.xxh64_intdigest(f"{side}{length}:{part}") - (1 << 63)
+def _key(kind: str, length: int, *parts) -> int:
+    return xxhash.xxh64_intdigest(f"{kind}{length}:{':'.join(map(str, parts))}") - (1 << 63)
+
+
+LENGTHS = range(-EDITS, EDITS + 1)                            # by how much the other word may be longer
+
+
+def lookup_keys(w: str, first: int, second: int) -> list[int]:
+    """Keys under which a word with these pivots looks for words one edit away."""
+    n, left, right = len(w), w[:first + Q], w[second:]
+    keys = []
+    for d in LENGTHS:
+        if len(left) >= CERTAIN:
+            keys.append(_key("l", n + d, left))
+        else:
+            keys += [_key("l", n + d, left, w[-END:]), _key("start", n + d, first, w[:n - END])]
+        if len(right) >= CERTAIN:
+            keys.append(_key("r", n + d, right))
+        else:
+            keys += [_key("r", n + d, right, w[:END]), _key("rest", n + d, len(right), w[END:])]
+    return keys
+
+
+def index_keys(x: str, prefix: list[int]) -> list[int]:
+    """Keys under which a word is found, for each bigram of its prefix."""
+    n, keys = len(x), []
+    for p in prefix:
+        left, right = x[:p + Q], x[p:]
+        if len(left) >= CERTAIN:
+            keys.append(_key("l", n, left))
+        else:
+            keys += [_key("l", n, left, x[-END:]), *(_key("start", n, p, x[:n - d - END]) for d in LENGTHS)]
+        if len(right) >= CERTAIN:
+            keys.append(_key("r", n, right))
+        else:
+            keys += [_key("r", n, right, x[:END]), *(_key("rest", n, len(right), x[END + d:]) for d in LENGTHS)]
+    return keys
 
 
 def letter_parities(word: str) -> int:
@@ -119,17 +158,10 @@ def _entries(words: DataFrame, order: dict[str, tuple[int, int]], pivots: bool)
         for batch in batches:
             rows = []
             for w in batch["word"]:
-                n, prefix = len(w), gram_prefix(w, order)
+                prefix = gram_prefix(w, order)
                 last, bits = max(order[w[p:p + Q]][0] for p in prefix), letter_parities(w)
-                if pivots:
-                    first, second = choose_pivots(w, prefix, order)
-                    for other in range(n - EDITS, n + EDITS + 1):
-                        rows.append((w, _key("l", w[:first + Q], other), last, bits))
-                        rows.append((w, _key("r", w[second:], other), last, bits))
-                else:
-                    for p in prefix:
-                        rows.append((w, _key("l", w[:p + Q], n), last, bits))
-                        rows.append((w, _key("r", w[p:], n), last, bits))
+                keys = lookup_keys(w, *choose_pivots(w, prefix, order)) if pivots else index_keys(w, prefix)
+                rows.extend((w, k, last, bits) for k in keys)
             yield pd.DataFrame(rows, columns=["word", "k", "last", "bits"])
 
     return words.select("word").mapInPandas(made, "word string, k bigint, last int, bits bigint")
@@ -137,7 +169,7 @@ def _entries(words: DataFrame, order: dict[str, tuple[int, int]], pivots: bool)
 
 def near_words(words: DataFrame) -> DataFrame:
     """All pairs (a, b), a before b in code-point order, one edit apart; ``words`` has distinct words of at least
-    four code points."""
+    LEAST_LENGTH code points."""
     ship_package(words.sparkSession)
     order = gram_order(words)
     probes = _entries(words, order, pivots=True).selectExpr("word as w", "k", "last as w_last", "bits as w_bits")
