@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 
 def grand_total(df: DataFrame, value: str) -> Column:
@@ -19,23 +16,22 @@ def grand_total(df: DataFrame, value: str) -> Column:
     return df.selectExpr(f"sum({value})").scalar()
 
 
-def aggregate_with_distincts(df: DataFrame, keys: list[str], exprs: list[str],
-                             distinct: dict[str, str]) -> DataFrame:
-    """``groupBy(keys).agg(*exprs, count(DISTINCT col) AS name ...)``.
+#: Months of the dates that two-digit years can name (1970 to 2069), by 64 to a long.
+FIRST_YEAR, MONTHS = 1970, 1200
+MONTH_WORDS = -(-MONTHS // 64)
+
+
+def month_bits(date: str) -> list[str]:
+    """Aggregates ``_m0 ...``: which months of the domain occur, a bit each.
 
-    Spark plans two or more DISTINCT aggregates with an Expand that copies
-    every input row once per distinct column before the shuffle. Here the
-    first distinct count stays in the main aggregate (a single distinct plans
-    as a plain two-phase aggregate) and every further one is its own
-    aggregate, pre-reduced map-side to (keys, value) pairs, joined back on the
-    group keys with NULL-safe equality (a NULL key is a group, as in GROUP BY).
+    Bitwise OR merges partial results exactly, has no set to keep and stays in hash
+    aggregation; a distinct count of months so costs no pass of its own. NULL dates set no bit.
     """
-    items = list(distinct.items())
-    first, rest = items[:1], items[1:]
-    main = df.groupBy(*keys).agg(*[F.expr(e) for e in exprs],
-                                 *[F.expr(f"count(DISTINCT {c}) AS {n}") for n, c in first])
-    for name, col in rest:
-        side = df.groupBy(*keys).agg(F.expr(f"count(DISTINCT {col}) AS {name}"))
-        cond = reduce(lambda a, b: a & b, [main[k].eqNullSafe(side[k]) for k in keys])
-        main = main.join(side, cond).select(main["*"], side[name])
-    return main
+    month = f"((year({date}) - {FIRST_YEAR}) * 12 + month({date}) - 1)"
+    return [f"bit_or(CASE WHEN {month} DIV 64 = {i} THEN shiftleft(1L, CAST({month} % 64 AS INT)) ELSE 0L END) AS _m{i}"
+            for i in range(MONTH_WORDS)]
+
+
+def months_set() -> str:
+    """Number of months that ``month_bits`` found."""
+    return "CAST(" + " + ".join(f"bit_count(_m{i})" for i in range(MONTH_WORDS)) + " AS BIGINT)"

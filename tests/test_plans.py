@@ -38,7 +38,17 @@ def test_dim_products_builds_no_pairs(spark):
 
 
 def test_product_aggregate_has_no_expand(spark):
-    """Two COUNT(DISTINCT)s run as two single-distinct aggregates, not an Expand."""
+    """Two distinct counts in one pass: one scan of the fact, no Expand, no join of a second aggregate."""
     from retail_lake.plans import gold
     plan = _plan(gold.product_sales(Lake(spark, SF_SMALL).fct_sales()))
-    assert "Expand" not in plan
+    assert "Expand" not in plan and "Join" not in plan and plan.count("FileScan") == 1
+
+
+def test_months_are_counted_exactly(spark):
+    from retail_lake.operators.aggregates import month_bits, months_set
+    from retail_lake.plans.gold import aggregate
+    rows = [("a", d) for d in ("1970-01-01", "1970-01-31", "2069-12-31", "2001-08-01", None)] + [("b", None)] + [
+        ("c", f"{y}-{m:02d}-15") for y in range(1970, 2070) for m in range(1, 13) for _ in range(2)]
+    df = spark.createDataFrame(rows, "k string, t string").selectExpr("k", "CAST(t AS DATE) AS d")
+    got = {r.k: r.n for r in aggregate(df, ["k"], month_bits("d")).selectExpr("k", f"{months_set()} AS n").collect()}
+    assert got == {"a": 3, "b": 0, "c": 1200}
