@@ -21,15 +21,20 @@ FIRST_YEAR, MONTHS = 1970, 1200
 MONTH_WORDS = -(-MONTHS // 64)
 
 
-def month_bits(date: str) -> list[str]:
-    """Aggregates ``_m0 ...``: which months of the domain occur, a bit each.
+def with_month_bit(df: DataFrame, date: str) -> DataFrame:
+    """Add the place of the date's month in the domain: ``_word`` and ``_bit`` (NULL for a NULL date)."""
+    month = f"((year({date}) - {FIRST_YEAR}) * 12 + month({date}) - 1)"
+    return df.selectExpr("*", f"CAST({month} AS INT) AS _month").selectExpr(
+        "*", "_month DIV 64 AS _word", "shiftleft(1L, _month % 64) AS _bit").drop("_month")
+
+
+def month_bits() -> list[str]:
+    """Aggregates ``_m0 ...`` over ``with_month_bit``: which months of the domain occur, a bit each.
 
     Bitwise OR merges partial results exactly, has no set to keep and stays in hash
     aggregation; a distinct count of months so costs no pass of its own. NULL dates set no bit.
     """
-    month = f"((year({date}) - {FIRST_YEAR}) * 12 + month({date}) - 1)"
-    return [f"bit_or(CASE WHEN {month} DIV 64 = {i} THEN shiftleft(1L, CAST({month} % 64 AS INT)) ELSE 0L END) AS _m{i}"
-            for i in range(MONTH_WORDS)]
+    return [f"bit_or(IF(_word = {i}, _bit, 0L)) AS _m{i}" for i in range(MONTH_WORDS)]
 
 
 def months_set() -> str:

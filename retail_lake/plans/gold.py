@@ -11,7 +11,7 @@ from retail_lake.functions.rules import (
     daily_sales_rate, days_of_inventory, inventory_action, revenue_tier, safe_ratio,
     share_of_total, suggested_reorder,
 )
-from retail_lake.operators.aggregates import grand_total, month_bits, months_set
+from retail_lake.operators.aggregates import grand_total, month_bits, months_set, with_month_bit
 from retail_lake.operators.ranking import global_rank, global_ranks
 from retail_lake.operators.stages import stage
 from retail_lake.operators.windows import moving_average
@@ -84,14 +84,14 @@ REGION_KEYS = ["ship_state", "ship_city", "ship_country", "sales_channel"]
 def product_sales(fct_sales: DataFrame) -> DataFrame:
     """Per product x channel KPIs, including two distinct counts in one pass: orders by COUNT(DISTINCT),
     months as bits of a fixed domain."""
-    g = aggregate(fct_sales.where(NOT_CANCELLED), PRODUCT_KEYS, [
+    g = aggregate(with_month_bit(fct_sales.where(NOT_CANCELLED), "order_date"), PRODUCT_KEYS, [
         "count(DISTINCT sales_id) AS total_transactions",
         "sum(quantity) AS total_units_sold",
         "sum(gross_revenue_inr) AS _revenue",
         "avg(unit_price) AS avg_selling_price",
         "min(order_date) AS first_sale_date",
         "max(order_date) AS last_sale_date",
-        *month_bits("order_date"),
+        *month_bits(),
     ])
     return g.selectExpr(
         *PRODUCT_KEYS, "total_transactions", "CAST(total_units_sold AS BIGINT) AS total_units_sold",

@@ -16,7 +16,7 @@ from retail_lake.functions.cleaning import (
 )
 from retail_lake.functions.rules import revenue_tier, safe_ratio, to_inr
 from retail_lake.lake import Lake
-from retail_lake.operators.aggregates import grand_total, month_bits, months_set
+from retail_lake.operators.aggregates import grand_total, month_bits, months_set, with_month_bit
 from retail_lake.operators.ranking import global_ranks
 from retail_lake.operators.windows import lag_delta, moving_average
 from retail_lake.params import MOVING_AVG_ROWS
@@ -165,8 +165,9 @@ def share_of_total(lake: Lake) -> DataFrame:               # J5, A8, A9
 
 
 def count_distinct_orders(lake: Lake) -> DataFrame:        # A2
-    g = gold.aggregate(lake.fct_sales().where(NOT_CANCELLED), ["product_sku", "sales_channel"],
-                       ["count(DISTINCT sales_id) AS total_transactions", *month_bits("order_date")])
+    g = gold.aggregate(with_month_bit(lake.fct_sales().where(NOT_CANCELLED), "order_date"),
+                       ["product_sku", "sales_channel"],
+                       ["count(DISTINCT sales_id) AS total_transactions", *month_bits()])
     return g.selectExpr("product_sku", "sales_channel", "total_transactions", f"{months_set()} AS active_months")
 
 

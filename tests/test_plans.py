@@ -45,10 +45,10 @@ def test_product_aggregate_has_no_expand(spark):
 
 
 def test_months_are_counted_exactly(spark):
-    from retail_lake.operators.aggregates import month_bits, months_set
+    from retail_lake.operators.aggregates import month_bits, months_set, with_month_bit
     from retail_lake.plans.gold import aggregate
     rows = [("a", d) for d in ("1970-01-01", "1970-01-31", "2069-12-31", "2001-08-01", None)] + [("b", None)] + [
         ("c", f"{y}-{m:02d}-15") for y in range(1970, 2070) for m in range(1, 13) for _ in range(2)]
     df = spark.createDataFrame(rows, "k string, t string").selectExpr("k", "CAST(t AS DATE) AS d")
-    got = {r.k: r.n for r in aggregate(df, ["k"], month_bits("d")).selectExpr("k", f"{months_set()} AS n").collect()}
+    got = {r.k: r.n for r in aggregate(with_month_bit(df, "d"), ["k"], month_bits()).selectExpr("k", f"{months_set()} AS n").collect()}
     assert got == {"a": 3, "b": 0, "c": 1200}
