@@ -17,6 +17,7 @@ is replaced.
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark.sql.types import BinaryType
 from retail_lake.llm.common import Remembered, ship_package, spaced_runs, text_or_empty
 
 PIECE_CACHE = 30_000       # entries of a generation per worker; they bound memory, not results
-RUN_CACHE = 90_000
+RUN_CACHE = 250_000        # about 50 MB a generation
 PAIR_CACHE = 250_000
 ENDINGS = ".,;:!?"         # signs that the pattern matches together after a word
 
@@ -189,9 +190,9 @@ class BytePairEncoder:
 _ENCODERS: dict[object, BytePairEncoder] = {}
 
 
-def _encoder(vocabulary, pattern: str) -> BytePairEncoder:
-    """One encoder per Python worker and vocabulary."""
-    key = (vocabulary.id if hasattr(vocabulary, "id") else id(vocabulary), pattern)
+def _encoder(vocabulary, digest: str, pattern: str) -> BytePairEncoder:
+    """One encoder per Python worker and vocabulary; ``digest`` is of the vocabulary's content."""
+    key = (digest, pattern)
     if key not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[key] = BytePairEncoder(vocabulary.value, pattern)
@@ -207,15 +208,17 @@ class Tokenizer:
         ship_package(spark)
         self.pattern = pattern or public_tokenizers.PATTERN
         path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-        self.vocabulary = spark.sparkContext.broadcast(load_ranks(path))
+        ranks = load_ranks(path)
+        self.digest = hashlib.sha256(b"".join(b"%d %d " % (r, len(t)) + t for t, r in ranks.items())).hexdigest()
+        self.vocabulary = spark.sparkContext.broadcast(ranks)
 
     def encode(self, df: DataFrame, text_col: str = "text") -> DataFrame:
         """Add ``token_ids`` (packed little-endian uint32) and ``n_tokens``."""
-        vocabulary, pattern = self.vocabulary, self.pattern
+        vocabulary, digest, pattern = self.vocabulary, self.digest, self.pattern
 
         @F.pandas_udf(BinaryType())
         def ids_of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            encoder = _encoder(vocabulary, pattern)
+            encoder = _encoder(vocabulary, digest, pattern)
             for batch in texts:
                 yield batch.map(encoder.encode).astype(object)
 
@@ -224,11 +227,11 @@ class Tokenizer:
 
     def decode(self, df: DataFrame, ids_col: str = "token_ids") -> DataFrame:
         """Add ``decoded`` (bytes) from packed ids; null ids are no ids."""
-        vocabulary, pattern = self.vocabulary, self.pattern
+        vocabulary, digest, pattern = self.vocabulary, self.digest, self.pattern
 
         @F.pandas_udf(BinaryType())
         def bytes_of(packed: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            encoder = _encoder(vocabulary, pattern)
+            encoder = _encoder(vocabulary, digest, pattern)
             for batch in packed:
                 yield batch.map(encoder.decode).astype(object)
 
@@ -236,11 +239,11 @@ class Tokenizer:
 
     def round_trip(self, df: DataFrame, text_col: str = "text") -> DataFrame:
         """Add ``token_ids``, ``n_tokens`` and ``decoded`` in one pass: ids as encode(), bytes as decode() of them."""
-        vocabulary, pattern = self.vocabulary, self.pattern
+        vocabulary, digest, pattern = self.vocabulary, self.digest, self.pattern
 
         @F.pandas_udf("struct<token_ids:binary,decoded:binary>")
         def both(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            encoder = _encoder(vocabulary, pattern)
+            encoder = _encoder(vocabulary, digest, pattern)
             for batch in texts:
                 ids = [encoder.encode(t) for t in batch]
                 yield pd.DataFrame({"token_ids": ids, "decoded": [encoder.decode(i) for i in ids]}, dtype=object)
