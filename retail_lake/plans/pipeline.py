@@ -4,7 +4,9 @@ Models are built in dependency order; each is written as a table (one
 database per layer) and read back by the next, as in the reference's table
 materialisation. After each layer its quality checks run as Spark aggregates;
 a check with status 'failed' stops the run (the reference only logged
-failures). Every model step appends a row to the run log, a failing one with
+failures). Models are published after their layer's checks: write, audit,
+publish. A layer that fails, or a run that stops half-way, leaves the tables of
+the run before in place. Every model step appends a row to the run log, a failing one with
 status 'failed'. A layer that is not selected is not touched: the layers above
 read the tables that an earlier run wrote.
 """
@@ -104,6 +106,7 @@ def _run(spark: SparkSession, params: RunParams, raw: dict[str, DataFrame] | Non
         if gate and failed:
             _write_log(spark, sink, log)
             raise QualityGateError(layer, failed)
+        sink.publish()
 
     if "bronze" in layers:
         # seed: land the raw files as bronze tables, then read them back
@@ -111,12 +114,12 @@ def _run(spark: SparkSession, params: RunParams, raw: dict[str, DataFrame] | Non
         lake.raw.update(landed)
         for name, build in BRONZE.items():
             step("bronze", name, lambda build=build: build(lake))
+        check("bronze")
         history = step("bronze", "stg_stock_history", lambda: sink.append_partition(
             "stg_stock_history",
             lake.stg_stock_levels.withColumn("load_id", F.date_format("loaded_timestamp", "yyyyMMddHHmmss")),
             "load_id"))
         lake.provide("stg_stock_history", history.drop("load_id"))
-        check("bronze")
     else:
         for name in BRONZE:
             lake.provide(name, sink.table(name))
@@ -134,6 +137,7 @@ def _run(spark: SparkSession, params: RunParams, raw: dict[str, DataFrame] | Non
         check("gold")
         step("docs", "data_dictionary", lambda: sink.write("data_dictionary", data_dictionary(
             {name: build(lake) for name, build in SILVER.items()})))
+        sink.publish()
     run_log = _write_log(spark, sink, log)
     quality_rows = reduce(DataFrame.unionByName, checks) if checks else None
     return RunResult(pipeline_id, run_log, quality_rows)

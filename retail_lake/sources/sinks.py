@@ -1,13 +1,19 @@
 """Table sinks (S4), view sink (S5) and the append-only stock history.
 
 ``CheckpointSink`` writes parquet under the session's shared checkpoint
-folder (query runs); ``CatalogSink`` writes managed tables into one database
+folder (query runs); ``CatalogSink`` writes managed tables, published in one database
 per layer (pipeline runs). Both hand back a fresh scan of what was written,
 so downstream plans start at the table and lineage is cut.
+
+Published names are views over versions. A model is written aside as a version of its own
+(``<layer>_versions.<name>__<version>``), its checks read that version, and ``publish`` then points
+the public view at it: one catalog switch a model. What fails its checks, or stops half-way, is never
+public; readers go on with the version before, which is kept until the next publication.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,20 +52,24 @@ class CheckpointSink:
 
 
 class CatalogSink:
-    """``CREATE TABLE <layer>.<name> AS`` via saveAsTable, full refresh."""
+    """Versioned managed tables, full refresh, published by views of one database per layer."""
 
     def __init__(self, spark: SparkSession, fmt: str = "parquet", location: str | None = None):
         self.spark, self.fmt, self.location = spark, fmt, location
         self.uid = uuid.uuid4().hex        # one run: its models are built once, never reused by another run
+        self.version = f"{dt.datetime.now():%Y%m%d%H%M%S%f}_{self.uid[:6]}"      # sorts by time
+        self.unpublished: dict[str, str] = {}
 
-    def database(self, name: str) -> str:
-        db = layer_of(name)
+    def _create(self, db: str) -> str:
         where = f" LOCATION '{self.location.rstrip('/')}/{db}.db'" if self.location else ""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{where}")
         return db
 
+    def database(self, name: str) -> str:
+        return self._create(layer_of(name))
+
     def table(self, name: str) -> DataFrame:
-        """A table written by an earlier run."""
+        """A table published by an earlier run."""
         return self.spark.table(f"{self.database(name)}.{name}")
 
     def append(self, name: str, df: DataFrame) -> DataFrame:
@@ -68,12 +78,37 @@ class CatalogSink:
         return self.spark.table(table)
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a version aside and read it back; it is public from ``publish`` on."""
         if name in HISTORY_TABLES:
             raise ValueError(f"{name} is append-only and cannot be refreshed")
-        table = f"{self.database(name)}.{name}"
+        table = f"{self._create(layer_of(name) + '_versions')}.{name}__{self.version}"
         df.write.mode("overwrite").format(self.fmt).saveAsTable(table)
+        self.unpublished[name] = table
         return self.spark.table(table)
 
+    def publish(self) -> list[str]:
+        """Point the public names at the versions written since the last call; returns those names."""
+        names = list(self.unpublished)
+        for name in names:
+            table, public = self.unpublished.pop(name), f"{self.database(name)}.{name}"
+            before = None
+            if self.spark.catalog.tableExists(public):
+                if self.spark.catalog.getTable(public).tableType == "VIEW":
+                    rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {public}").where("col_name = 'View Text'").collect()
+                    before = rows[0].data_type.split(" FROM ")[-1].strip() if rows else None
+                else:
+                    self.spark.sql(f"DROP TABLE {public}")   # of the layout before versions
+            self.spark.sql(f"CREATE OR REPLACE VIEW {public} AS SELECT * FROM {table}")
+            self._drop_older(name, table, before)
+        return names
+
+    def _drop_older(self, name: str, current: str, before: str | None) -> None:
+        """Older versions of the name, but for the one that was public until now: running readers may hold it."""
+        db, kept = current.split(".")
+        for t in self.spark.catalog.listTables(db):
+            if t.name.rpartition("__")[0] == name and t.name < kept and f"{db}.{t.name}" != before:
+                self.spark.sql(f"DROP TABLE IF EXISTS {db}.{t.name}")
+
     def append_partition(self, name: str, df: DataFrame, partition_col: str) -> DataFrame:
         """Append-only history: replace only the partitions present in ``df``.
 

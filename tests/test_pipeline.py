@@ -131,6 +131,37 @@ def test_a_failing_model_is_logged(spark, tmp_path, monkeypatch):
     assert spark.table("ops.run_log").where("status = 'failed'").count() == n + 1
 
 
+def _rows(spark, table):
+    return sorted(map(str, spark.table(table).collect()))
+
+
+def test_a_failing_layer_is_never_public(spark, tmp_path, monkeypatch):
+    """Write, audit, publish: after a failed gate, or a run that stops half-way, the tables before read unchanged."""
+    from retail_lake.plans import pipeline
+    loc = str(tmp_path / "wh6")
+    run_pipeline(spark, PARAMS, sf_dir=SF_SMALL, location=loc)
+    names = ("silver.fct_sales", "silver.dim_products", "gold.sales_summary_by_region")
+    before = {t: _rows(spark, t) for t in names}
+    public = max(t.name for t in spark.catalog.listTables("silver_versions") if t.name.startswith("fct_sales__"))
+    with pytest.raises(QualityGateError):
+        run_pipeline(spark, PARAMS, sf_dir=SF_SMALL, location=loc, corrected=False)
+    assert {t: _rows(spark, t) for t in names} == before
+    later = RunParams(load_ts=dt.datetime(2001, 8, 1, 12), as_of=dt.date(2001, 8, 1), usd_inr=1.0)
+
+    def stopped(lake):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setitem(pipeline.SILVER, "fct_inventory", stopped)     # fct_sales of that run is already written aside
+        with pytest.raises(RuntimeError, match="stopped"):
+            run_pipeline(spark, later, sf_dir=SF_SMALL, layers=("silver",), location=loc)
+    assert {t: _rows(spark, t) for t in names} == before
+    run_pipeline(spark, later, layers=("silver",), location=loc)
+    assert _rows(spark, "silver.fct_sales") != before["silver.fct_sales"]
+    kept = [t.name for t in spark.catalog.listTables("silver_versions") if t.name.startswith("fct_sales__")]
+    assert len(kept) == 2 and public in kept                     # the public version and the one before
+
+
 def test_lakes_over_other_frames_share_nothing(spark):
     from retail_lake.lake import Lake
     frame = lambda *skus: spark.createDataFrame(
