@@ -199,9 +199,7 @@ def predicted_languages(documents: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """Pipeline stage: documents with an identified language, columns unchanged."""
-    columns = docs.columns
-    flagged = docs.withColumn("__text", F.col("text"))
-    return (identify(flagged.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__doc"),
-                                    F.col("__text").alias("text")), train(docs))
+    """Pipeline stage: documents with an identified language, columns unchanged whatever their names."""
+    return (identify(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), F.col("text")),
+                     train(docs))
             .where(F.col("lang_pred") != "und").select("__doc.*"))

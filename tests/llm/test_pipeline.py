@@ -45,3 +45,15 @@ def test_stages_take_odd_rows(spark, odd_docs):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF)
     assert empty.count() == 0
+
+
+def test_stages_keep_columns_named_like_helpers(spark):
+    """Values of extra columns go through all stages but the last, which replaces its own outputs."""
+    names = ["__text", "__doc", "__lang", "__both", "lang_pred", "score"]
+    docs = spark.createDataFrame([(i, f"the cat {'sat ' * (i + 9)} on mat number {i} {'abc' * i}", "en", "a", 3,
+                                   *[f"{n}{i}" for n in names]) for i in range(4)],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint, "
+                                 + ", ".join(f"`{n}` string" for n in names))
+    from retail_lake.llm.langid import keep_identified
+    rows = keep_identified(docs).collect()
+    assert len(rows) == 4 and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)
