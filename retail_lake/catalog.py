@@ -61,6 +61,16 @@ register("sales_summary_by_region_one_per_sku", lambda lake: lake.sales_summary_
 register("inventory_analysis_one_per_sku", lambda lake: lake.inventory_analysis(one_row_per_sku=True),
          oracle.gold_sql("inventory_analysis", "one_per_sku"), "M8 D7")
 
+# ------------------------------------------- models refreshed load by load
+from retail_lake.plans import incremental as _incremental  # noqa: E402
+
+register("fct_inventory_by_loads", lambda lake: _incremental.inventory_by_loads(lake.stg_stock_history),
+         oracle.stock_windows_sql(), "M6 W1-W3 D12")
+register("sales_summary_by_product_by_loads", lambda lake: _incremental.product_summary_by_loads(lake.fct_sales()),
+         oracle.gold_sql("sales_summary_by_product"), "M9")
+register("sales_summary_by_region_by_loads", lambda lake: _incremental.region_summary_by_loads(lake.fct_sales()),
+         oracle.gold_sql("sales_summary_by_region"), "M10")
+
 
 # -------------------------------------------------------------- operators
 from retail_lake.plans.operator_queries import OPERATOR_QUERIES  # noqa: E402

@@ -101,3 +101,11 @@ def moving_average(df: DataFrame, key: str, order: str, value: str, out: str, ro
     """AVG(value) over the current row and ``rows - 1`` preceding rows per key."""
     return _windowed(df, key, order, rows - 1, [
         f"avg({value}) OVER ({{over}} ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW) AS {out}"], rows_a_task)
+
+
+def last_rows(df: DataFrame, key: str, order: str, rows: int) -> DataFrame:
+    """The last ``rows`` rows of every key. The limit on row_number is also applied before the shuffle, so
+    a hot key sends that many rows a map task."""
+    newest_first = ", ".join(_reversed(o) for o in order.split(","))
+    return (df.withColumn(_AT, F.expr(f"row_number() {_over(q(key), newest_first)}"))
+              .where(f"{_AT} <= {rows}").drop(_AT))

@@ -79,6 +79,7 @@ def inventory_analysis(fct_inventory: DataFrame, fct_sales: DataFrame, as_of,
 
 PRODUCT_KEYS = ["product_sku", "product_category", "size", "color", "sales_channel"]
 REGION_KEYS = ["ship_state", "ship_city", "ship_country", "sales_channel"]
+B2B_SHARE = "round(" + safe_ratio("100.0D * CAST(_b2b AS DOUBLE)", "CAST(_revenue AS DOUBLE)") + ", 2)"
 
 
 def product_sales(fct_sales: DataFrame) -> DataFrame:
@@ -102,7 +103,11 @@ def product_sales(fct_sales: DataFrame) -> DataFrame:
 
 def sales_summary_by_product(fct_sales: DataFrame, sort: bool = True) -> DataFrame:
     # the aggregate feeds the rows and both rank tables: compute it once
-    ps = stage(product_sales(fct_sales), "product_sales")
+    return ranked_products(stage(product_sales(fct_sales), "product_sales"), sort)
+
+
+def ranked_products(ps: DataFrame, sort: bool = True) -> DataFrame:
+    """The product summary from its written aggregate."""
     ranked = global_ranks(ps, {"revenue_rank": "_revenue", "volume_rank": "total_units_sold"})
     out = conform(ranked.selectExpr("*", f"{revenue_tier('_revenue')} AS revenue_tier"),
                   SALES_SUMMARY_BY_PRODUCT)
@@ -122,13 +127,17 @@ def regional_sales(fct_sales: DataFrame) -> DataFrame:
         *REGION_KEYS, "total_orders", "CAST(total_units AS BIGINT) AS total_units",
         "CAST(_revenue AS DOUBLE) AS total_revenue_inr", "avg_price",
         "CAST(_b2b AS DOUBLE) AS b2b_revenue", "CAST(_b2c AS DOUBLE) AS b2c_revenue",
-        "round(" + safe_ratio("100.0D * CAST(_b2b AS DOUBLE)", "CAST(_revenue AS DOUBLE)") + ", 2) AS b2b_percentage",
+        f"{B2B_SHARE} AS b2b_percentage",
         "_revenue")
 
 
 def sales_summary_by_region(fct_sales: DataFrame, sort: bool = True) -> DataFrame:
     # the aggregate feeds the rows, the grand total and the rank table: compute it once
-    r = stage(regional_sales(fct_sales), "regional_sales")
+    return ranked_regions(stage(regional_sales(fct_sales), "regional_sales"), sort)
+
+
+def ranked_regions(r: DataFrame, sort: bool = True) -> DataFrame:
+    """The regional summary from its written aggregate."""
     total = grand_total(r, "_revenue")
     shared = r.withColumn("revenue_share_percentage",
                           F.round(F.try_divide(F.lit(100.0) * F.col("_revenue").cast("double"),
