@@ -135,6 +135,54 @@ def test_neighbours_with_copies_and_bad_vectors(spark, monkeypatch):
     assert ann.embedding_neighbours(df.limit(0)).count() == 0
 
 
+def test_neighbour_recall_over_many_cells(spark, monkeypatch):
+    """Every cell but the home cell is reached through the chi-square test; brute force over all rows."""
+    monkeypatch.setattr(ann, "CELL_ROWS", 250)
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = df.orderBy("vec_id").collect()
+    ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], dtype=float)
+    got = {}
+    for r in ann.embedding_neighbours(df).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+    asked = np.flatnonzero(ids % 50 == 0)
+    assert set(got) == set(ids[asked]) and all(sorted(v) == [1, 2, 3, 4, 5] for v in got.values())
+    hits = sum(len(set(_exact(ids, x, q, 5)) & {v for v, _ in got[ids[q]].values()}) for q in asked)
+    assert hits / (5 * len(asked)) >= 0.9
+    at = {v: i for i, v in enumerate(ids)}
+    for q in asked:
+        for v, score in got[ids[q]].values():
+            a, b = x[q], x[at[v]]
+            assert abs(score - a @ b / np.sqrt((a @ a) * (b @ b))) < 1e-12
+
+
+def test_the_stopping_test_prunes():
+    """Points verified: a share that falls as the block grows, at a recall of 0.9 or more."""
+    rng = np.random.default_rng(5)
+    shares = []
+    for n in (1000, 4000, 16000):
+        x = rng.standard_normal((n, 64))
+        block, ids = ann.Block(np.arange(n), x), np.arange(n)
+        hits = verified = 0
+        for q in range(0, n, n // 40):
+            got, _, seen = block.search(x[q], 6, ann.stop_ratio(), math.inf)
+            hits += len(set(_exact(ids, x, q, 5)) & set(got))
+            verified += seen
+        assert hits / 200 >= 0.9
+        shares.append(verified / (40 * n))
+    assert shares[0] > shares[1] > shares[2] and shares[2] < 0.5
+    x = np.repeat(rng.standard_normal((64, 64)), 250, axis=0) + 0.05 * rng.standard_normal((16000, 64))
+    _, _, seen = ann.Block(np.arange(16000), x).search(x[3], 6, ann.stop_ratio(), math.inf)
+    assert seen < 1500                                       # groups of close vectors: other groups' leaves are not met
+
+
+def test_very_large_and_small_components(spark):
+    rows = [(0, [1e200, 1e200]), (1, [1e-200, 0.0]), (2, [1.0, 1.0]), (3, [0.0, 5e-324]), (4, [-1e308, 1e308])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = [(r.vec_id, r.score) for r in ann.embedding_neighbours(df).orderBy("rank").collect()]
+    assert [v for v, _ in got] == [2, 1, 3, 4]
+    assert np.allclose([s for _, s in got], [1, math.sqrt(0.5), math.sqrt(0.5), 0], atol=1e-15)
+
+
 def test_hilbert_neighbours_on_the_curve_touch():
     side = np.array(np.meshgrid(range(8), range(8), range(8))).reshape(3, -1).T
     index = hilbert.hilbert_index(side, 3)
