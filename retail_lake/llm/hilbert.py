@@ -12,6 +12,10 @@ A cell that holds a third of all rows is thus spread over its buckets. The
 staged row numbers make the order the same if a task is run again, and the
 whole documents, staged with them, get shard and slot by a join on the number.
 
+Language and source are quantised by rank: a value's level is the share of rows whose value comes before
+it in descending order, so a level holds neighbouring values and a shard a short range of them, and every level
+about as many rows as the others (but for a value that alone has more).
+
 The size dimension is logarithmic between the smallest and the largest size of
 the input, so the longest texts never share a cell for being long.
 
@@ -19,8 +23,8 @@ Edge cases: null language and source are a category of their own, null text
 has size 1 and the checksum of the empty text; ties on the curve are broken
 by bucket, id and row number; repeated rows get slots of their own; fewer rows
 than shards leave the last shards empty; empty tables give an empty result;
-extra columns stay with their documents (a column named like an added one is
-refused, as it could not stay).
+extra columns stay with their documents, whatever their names: an added column whose name is taken
+gets underscores after it until it is free (``size_``).
 """
 
 from __future__ import annotations
@@ -34,6 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retail_lake.llm.common import ship_package, text_or_empty
+from retail_lake.operators.ranking import global_ranks
 from retail_lake.operators.stages import stage
 
 BITS = 5                   # per dimension
@@ -81,8 +86,9 @@ def with_curve_index(df: DataFrame, dimensions: list, name: str = "curve") -> Da
     return df.withColumn(name, index(*dimensions))
 
 
-def _category(col: str):
-    return F.pmod(F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("\0")).cast("binary")), F.lit(1 << BITS))
+def _rank_level(rank: str, total: int) -> Column:
+    """Level of a value from the rank of its first row among all rows."""
+    return F.floor((F.col(rank) - 1) * F.lit(1 << BITS) / F.lit(max(total, 1))).cast("bigint")
 
 
 def _level(size: Column, least: int, most: int) -> Column:
@@ -98,15 +104,31 @@ def _level(size: Column, least: int, most: int) -> Column:
 ADDED = ("size", "shard", "slot")
 
 
+def added_names(columns: list[str]) -> dict[str, str]:
+    """What the added columns are called beside the given ones."""
+    taken, names = {c.lower() for c in columns}, {}
+    for name in ADDED:
+        free = name
+        while free in taken:
+            free += "_"
+        taken.add(free)
+        names[name] = free
+    return names
+
+
 def place_documents(documents: DataFrame, shards: int = 8) -> DataFrame:
-    """Whole documents, all columns, with ``size`` (bytes of the text and one), ``shard`` and ``slot``."""
-    if clash := [c for c in documents.columns if c.lower() in (*ADDED, "__row")]:
-        raise ValueError(f"columns {clash} have the names of columns that are added")
-    docs = stage(documents.withColumn("size", (F.octet_length(text_or_empty("text")) + 1).cast("bigint"))
-                          .withColumn("__row", F.monotonically_increasing_id()), "documents")
+    """Whole documents, all columns, with ``size`` (bytes of the text and one), ``shard`` and ``slot`` (see added_names)."""
+    names = added_names(documents.columns)
+    docs = stage(documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("doc"),
+                                  (F.octet_length(text_or_empty("text")) + 1).cast("bigint").alias("size"),
+                                  F.monotonically_increasing_id().alias("row")), "documents")
     least, most, total = docs.agg(F.min("size"), F.max("size"), F.count("*")).first()
-    rows = with_curve_index(docs, [_category("lang"), _category("source"), _level(F.col("size"), least or 1, most or 1)])
-    rows = stage(rows.select("doc_id", "curve", F.col("__row").alias("row")), "curve")
+    slim = docs.select("row", "size", F.col("doc.doc_id").alias("doc_id"), F.col("doc.lang").cast("string").alias("lang"),
+                       F.col("doc.source").cast("string").alias("source"))
+    slim = global_ranks(slim, {"lang_rank": "lang", "source_rank": "source"})
+    rows = with_curve_index(slim, [_rank_level("lang_rank", total), _rank_level("source_rank", total),
+                                   _level(F.col("size"), least or 1, most or 1)])
+    rows = stage(rows.select("doc_id", "curve", "row"), "curve")
     # buckets of a cell: enough that each stays small even if one cell holds everything
     sub = max(64, math.ceil(total / ROWS_PER_BUCKET))
     rows = rows.withColumn("sub", F.pmod(F.xxhash64("row"), F.lit(sub)))
@@ -126,8 +148,8 @@ def place_documents(documents: DataFrame, shards: int = 8) -> DataFrame:
              .otherwise(F.expr(f"{large} + (rank - {edge}) div {max(small, 1)}")))
     start = F.when(F.col("rank") < edge, F.col("shard") * (small + 1)).otherwise(edge + (F.col("shard") - large) * small)
     placed = (ranked.withColumn("shard", shard.cast("int")).withColumn("slot", (F.col("rank") - start).cast("bigint"))
-                    .select(F.col("row").alias("__row"), "shard", "slot"))
-    return docs.join(placed.hint("merge"), "__row").drop("__row")
+                    .select("row", "shard", "slot"))
+    return docs.join(placed.hint("merge"), "row").select("doc.*", *[F.col(n).alias(names[n]) for n in ADDED])
 
 
 def shard_documents(documents: DataFrame, shards: int = 8) -> DataFrame:
@@ -137,7 +159,7 @@ def shard_documents(documents: DataFrame, shards: int = 8) -> DataFrame:
                          F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-def write_shards(placed: DataFrame, path: str) -> None:
+def write_shards(placed: DataFrame, path: str, shard: str = "shard", slot: str = "slot") -> None:
     """One folder per shard, whole documents in slot order: the files' min/max of lang, source and size prune."""
-    (placed.repartitionByRange(F.col("shard"), F.col("slot")).sortWithinPartitions("shard", "slot")
-           .write.partitionBy("shard").parquet(path))
+    (placed.repartitionByRange(F.col(shard), F.col(slot)).sortWithinPartitions(shard, slot)
+           .write.partitionBy(shard).parquet(path))

@@ -6,9 +6,9 @@ machines between the languages of that family vote. Features are hashed
 1- to 3-byte grams of the whole text, square-rooted and scaled to length one.
 
 Training uses a bounded sample of labelled rows: at most ``rows_per_lang``
-rows of each language and TRAIN_ROWS in all, in equal shares once the labels
-outnumber the known languages; more labels than TRAIN_ROWS are refused, as no
-share is left. A language's rows are the row with the smallest content hash of each of that
+rows of each of the LABELS most frequent labels (ties by name) and TRAIN_ROWS in all, in equal shares
+once the labels outnumber the known languages. Rarer labels of a dirty column are not learnt, so the
+sample, the number of machines and their weights are bounded whatever the column holds. A language's rows are the row with the smallest content hash of each of that
 many hash buckets, so repeated rows count once and the choice does not depend
 on partitioning. Everything else (prediction) covers every whole text.
 
@@ -43,6 +43,8 @@ FAMILIES = {
 }
 #: Rows of all languages together: the full share for every known language, whatever the number of labels.
 TRAIN_ROWS = ROWS_PER_LANG * sum(map(len, FAMILIES.values()))
+#: Labels that are learnt at most: the known languages and as many more.
+LABELS = 100
 _FAMILY = {lang: family for family, langs in FAMILIES.items() for lang in langs}
 #: Letters and non-ASCII bytes stand for themselves, everything else is a space.
 _BYTES = np.frombuffer(bytes(b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in bytes(range(256)).lower()),
@@ -81,19 +83,31 @@ def features(text: str) -> np.ndarray:
     return counts / norm if norm else counts
 
 
+def with_offset(vectors: list[bytes]) -> np.ndarray:
+    """Training rows with a last column of ones; four bytes a value, as the vectors travel in two."""
+    x = np.ones((len(vectors), DIMENSIONS + 1), dtype=np.float32)
+    for i, v in enumerate(vectors):
+        x[i, :-1] = np.frombuffer(v, dtype="<f2")
+    return x
+
+
 def linear_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, passes: int = 12) -> np.ndarray:
-    """Weights (last one: offset) of an L2-loss linear support vector machine by dual coordinate descent."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    squares = (x * x).sum(axis=1) + 0.5 / c
-    alpha, w = np.zeros(len(x)), np.zeros(x.shape[1])
+    """Weights (last one: offset) of an L2-loss linear support vector machine by dual coordinate descent.
+
+    Rows with ``y`` 0 take no part. ``x`` is neither copied nor squared as a whole."""
+    own = np.flatnonzero(y)
+    squares = np.array([x[i].astype(np.float64) @ x[i] for i in own]) + 0.5 / c
+    alpha, w = np.zeros(len(own)), np.zeros(x.shape[1])
     order = np.random.default_rng(0)
     for _ in range(passes):
-        for i in order.permutation(len(x)):
-            slope = y[i] * (w @ x[i]) - 1 + 0.5 / c * alpha[i]
-            new = max(0.0, alpha[i] - slope / squares[i])
-            if new != alpha[i]:
-                w += (new - alpha[i]) * y[i] * x[i]
-                alpha[i] = new
+        for n in order.permutation(len(own)):
+            i = own[n]
+            row = x[i].astype(np.float64)
+            slope = y[i] * (w @ row) - 1 + 0.5 / c * alpha[n]
+            new = max(0.0, alpha[n] - slope / squares[n])
+            if new != alpha[n]:
+                w += (new - alpha[n]) * y[i] * row
+                alpha[n] = new
     return w
 
 
@@ -114,8 +128,7 @@ class LanguageModel:
             self.pairs[f] = list(combinations(range(len(members)), 2))
             weights = []
             for i, j in self.pairs[f]:
-                rows = (langs == members[i]) | (langs == members[j])
-                weights.append(linear_svm(x[rows], np.where(langs[rows] == members[i], 1.0, -1.0)))
+                weights.append(linear_svm(x, np.where(langs == members[i], 1.0, 0.0) - np.where(langs == members[j], 1.0, 0.0)))
             self.pair_w[f] = np.array(weights)
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -151,15 +164,16 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           rows_per_lang: int = ROWS_PER_LANG) -> LanguageModel:
-    """Fit on at most ``rows_per_lang`` rows of each language, TRAIN_ROWS in all, outside the held-out fold."""
+    """Fit on at most ``rows_per_lang`` rows of each of LABELS languages, TRAIN_ROWS in all, outside the held-out fold."""
     ship_package(df.sparkSession)
     rows = (df.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
               .select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
               .withColumn("h", F.xxhash64("text")))
-    labels = rows.select("lang").distinct().count()
-    if labels > TRAIN_ROWS:
-        raise ValueError(f"{labels} labels in {lang_col}: at most {TRAIN_ROWS} can be learnt")
-    bucket = F.pmod(F.col("h"), F.lit(min(rows_per_lang, TRAIN_ROWS // max(labels, 1))))
+    common = (rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LABELS)
+                  .select("lang").collect())                 # at most LABELS rows
+    langs = [r.lang for r in common]
+    rows = rows.where(F.col("lang").isin(langs))
+    bucket = F.pmod(F.col("h"), F.lit(min(rows_per_lang, TRAIN_ROWS // max(len(langs), 1))))
     chosen = rows.groupBy("lang", bucket.alias("b")).agg(F.min("h").alias("h")).select("lang", "h")
 
     @F.pandas_udf(BinaryType())
@@ -167,12 +181,11 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         for batch in texts:
             yield batch.map(lambda t: features(t).astype("<f2").tobytes()).astype(object)
 
-    # chosen has at most TRAIN_ROWS rows whatever the number of labels, a proven bound for the broadcast
+    # chosen has at most TRAIN_ROWS rows whatever the labels, a proven bound for the broadcast
     sample = (rows.join(F.broadcast(chosen), ["lang", "h"]).select("lang", "h", vectors("text").alias("v"))
                   .groupBy("lang", "h").agg(F.min("v").alias("v")).collect())
     sample.sort(key=lambda r: (r.lang, r.h))
-    x = np.array([np.frombuffer(r.v, dtype="<f2") for r in sample], dtype=np.float64).reshape(-1, DIMENSIONS)
-    return LanguageModel(x, [r.lang for r in sample])
+    return LanguageModel(with_offset([r.v for r in sample]), [r.lang for r in sample])
 
 
 def identify(df: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:

@@ -208,6 +208,50 @@ def test_shards(spark, odd_docs, monkeypatch):
     assert hilbert.shard_documents(odd_docs.limit(0)).count() == 0
 
 
+def test_shards_follow_the_curve_of_plain_python(spark, odd_docs):
+    """Levels, curve order and cuts recomputed over all rows; odd rows and clashing columns included."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").unionByName(odd_docs, allowMissingColumns=True)
+    rows = hilbert.place_documents(docs).collect()
+    n, side = len(rows), 1 << hilbert.BITS
+
+    def levels(values):
+        later = sorted(values, key=lambda v: (v is not None, v or ""), reverse=True)        # descending, nulls last
+        return {v: later.index(v) * side // n for v in set(values)}
+
+    lang, source = levels([r.lang for r in rows]), levels([r.source for r in rows])
+    low, high = (math.log2(f(r.size for r in rows)) for f in (min, max))
+    cells = np.array([[lang[r.lang], source[r.source], min(side - 1, int((math.log2(r.size) - low) * (side / (high - low))))]
+                      for r in rows])
+    along = [c for _, c in sorted(((r.shard, r.slot), c) for r, c in zip(rows, hilbert.hilbert_index(cells), strict=True))]
+    assert along == sorted(along)
+    assert all(r.size == len((r.text or "").encode()) + 1 for r in rows)
+    sizes = [sum(r.shard == s for r in rows) for s in range(8)]
+    assert sizes == [n // 8 + (s < n % 8) for s in range(8)]
+
+
+def test_shards_beside_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a", "en", "x", 7, 8, 9, "k"), (2, "bb", "de", "y", 1, 2, 3, "m")],
+                                 "doc_id bigint, text string, lang string, source string, size int, SHARD int, slot int, __row string")
+    placed = hilbert.place_documents(docs, shards=2)
+    assert placed.columns == [*docs.columns, "size_", "shard_", "slot_"]
+    assert sorted(tuple(r)[:8] for r in placed.collect()) == sorted(map(tuple, docs.collect()))
+    assert sorted((r.shard_, r.slot_) for r in placed.collect()) == [(0, 0), (1, 0)]
+
+
+def test_shards_hold_short_ranges_of_sources(spark):
+    """Shards that a filter on one source skips: three dimensions halved once leave half of eight at best,
+    more shards skip more."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sources = [r.source for r in docs.where("source IS NOT NULL").select("source").distinct().collect()]
+    share = {}
+    for shards in (8, 64):
+        held = (hilbert.place_documents(docs, shards).groupBy("shard")
+                .agg(F.min("source").alias("low"), F.max("source").alias("high")).collect())
+        share[shards] = sum(not r.low <= one <= r.high for r in held for one in sources) / (shards * len(sources))
+    print(share)
+    assert share[8] > 0.4 and share[64] > 0.6
+
+
 def _file_ranges(folder, column):
     """Per shard the least and the largest value that the file footers give."""
     import pyarrow.parquet as pq

@@ -48,8 +48,34 @@ def test_training_rows_do_not_grow_with_the_labels(spark, monkeypatch):
         langid.train(spark.range(1000).selectExpr("id AS doc_id", "concat('some words ', id) AS text",
                                                   f"concat('l', id % {labels}) AS lang"), rows_per_lang=30)
         assert 20 <= len(fitted[-1]) <= 50 and len(set(fitted[-1])) == labels
-    with pytest.raises(ValueError, match="labels"):
-        langid.train(spark.range(1000).selectExpr("id AS doc_id", "'x' AS text", "cast(id AS string) AS lang"))
+
+
+def test_a_dirty_label_column_is_bounded(spark, monkeypatch):
+    """20,000 labels: the most frequent ones are learnt, every row is predicted."""
+    monkeypatch.setattr(langid, "LABELS", 3)
+    docs = spark.range(20400).selectExpr(
+        "id AS doc_id", "if(id < 200, concat('the cat sat ', id), if(id < 400, concat('der hund lief ', id), concat('x', id))) AS text",
+        "if(id < 200, 'en', if(id < 400, 'de', concat('label', lpad(id, 6, '0')))) AS lang")
+    got = {r.doc_id: r.lang_pred for r in langid.predicted_languages(docs).collect()}
+    assert len(got) == 20400 and len(set(got.values())) <= 3
+    assert sum(got[i] == "en" for i in range(200)) > 190 and sum(got[i] == "de" for i in range(200, 400)) > 190
+
+
+def test_machines_equal_a_plain_svm():
+    """Dual coordinate descent reaches the optimum that plain gradient steps on the primal find."""
+    rng = np.random.default_rng(2)
+    x = np.ones((60, langid.DIMENSIONS + 1), dtype=np.float32)
+    x[:, :-1] = 0
+    x[:, :6] = rng.standard_normal((60, 6))
+    y = np.sign(x[:, 0] + 0.3 * rng.standard_normal(60)).astype(float)
+    y[:10] = 0                                               # rows of other languages
+    w = langid.linear_svm(x, y, passes=3000)
+    use, d = y != 0, [0, 1, 2, 3, 4, 5, langid.DIMENSIONS]
+    a, b, v = x[use][:, d].astype(float), y[use], np.zeros(7)
+    for _ in range(60000):
+        v -= 5e-4 * (v - 20 * (np.maximum(0, 1 - b * (a @ v)) * b) @ a)
+    assert np.allclose(w[d], v, atol=1e-3)
+
 
 
 def test_numeric_signs_are_no_letters(spark):
