@@ -89,6 +89,19 @@ for _name, (_checks, _covers) in _quality.QUALITY_QUERIES.items():
              _QUALITY_SQL[_name], _covers)
 
 
+# ---------------------------------------------------------- landed files
+from retail_lake.plans import quarantine as _quarantine  # noqa: E402
+
+
+def _landed(lake: Lake) -> dict[str, DataFrame]:
+    return {t: getattr(lake, t) for t in _quarantine.REQUIRED}
+
+
+register("quarantined_rows", lambda lake: _quarantine.quarantined_rows(_landed(lake)), oracle.quarantine_sql(), "Q4 F1")
+register("dq_schema_validation", lambda lake: _quarantine.schema_validation(_landed(lake)),
+         oracle.schema_validation_sql(), "Q3")
+
+
 def _dictionary(lake: Lake) -> DataFrame:
     return data_dictionary({t: _quality.model_table(lake, t) for t in DICTIONARY_TABLES})
 
