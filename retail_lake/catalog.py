@@ -1,8 +1,7 @@
 """Registry of queries: key -> (Spark builder over a Lake, oracle SQL text).
 
 Queries read the folder's whole tables, but for queries on one sales channel,
-which read that channel's order lines (see sources/fixtures.py; four of these
-have an ``_all`` query over every file the rule applies to); keys without
+which read that channel's order lines (see sources/fixtures.py); keys without
 an oracle statement are checked against brute force in tests/.
 """
 
@@ -117,8 +116,7 @@ DECIMAL_OUTPUTS = {
     "stg_international_sales": ["unit_price", "gross_amount"],
     "fct_sales": ["amount", "gross_revenue", "gross_revenue_inr"],
     "fct_sales_one_per_sku": ["amount", "gross_revenue", "gross_revenue_inr"],
-    "numeric_boolean_defaults": ["raw_amount", "amount"],
-    "numeric_boolean_defaults_all": ["raw_amount", "amount", "raw_unit_price", "unit_price"],
+    "numeric_boolean_defaults": ["raw_amount", "amount", "raw_unit_price", "unit_price"],
     "channel_union": ["amount"],
     "currency_to_inr": ["amount", "gross_revenue_inr"],
 }

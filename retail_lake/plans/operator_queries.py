@@ -24,17 +24,7 @@ from retail_lake.plans import gold, silver
 from retail_lake.plans.silver import NOT_CANCELLED, SNAPSHOT_ORDER
 
 
-def clean_text_defaults(lake: Lake) -> DataFrame:          # P2, P3
-    return lake.raw_amazon_sales.selectExpr(
-        f"{clean_text('Order ID')} AS order_id",
-        f"{text_or_default('Status')} AS order_status",
-        f"{text_or_default('SKU')} AS sku",
-        f"{text_or_default('currency', 'INR')} AS currency",
-        f"{clean_text('Fulfilment')} AS fulfilment_type",
-        f"{clean_text('ship-state')} AS ship_state")
-
-
-def clean_text_defaults_all(lake: Lake) -> DataFrame:      # P2, P3 at every site; fields a file lacks are NULL
+def clean_text_defaults(lake: Lake) -> DataFrame:      # P2, P3 at every site; fields a file lacks are NULL
     amazon = lake.raw_amazon_sales.selectExpr(
         "'AMAZON' AS channel", f"{clean_text('Order ID')} AS order_id",
         f"{text_or_default('Status')} AS order_status", f"{clean_text('Fulfilment')} AS fulfilment_type",
@@ -62,13 +52,7 @@ def clamp_quantity(lake: Lake) -> DataFrame:               # P4, P5
     return amazon.unionByName(intl)
 
 
-def numeric_boolean_defaults(lake: Lake) -> DataFrame:     # P6, P7
-    return lake.raw_amazon_sales.selectExpr(
-        "`Amount` AS raw_amount", f"CAST({number_or_zero('Amount')} AS DECIMAL(18,2)) AS amount",
-        "`B2B` AS raw_b2b", f"{flag_or_false('B2B')} AS is_b2b")
-
-
-def numeric_boolean_defaults_all(lake: Lake) -> DataFrame: # P6 at every site, P7 (the marketplace file only)
+def numeric_boolean_defaults(lake: Lake) -> DataFrame: # P6 at every site, P7 (the marketplace file only)
     def money(c: str, name: str) -> list[str]:
         return [f"`{c}` AS raw_{name}", f"CAST({number_or_zero(c)} AS DECIMAL(18,2)) AS {name}"]
     amazon = lake.raw_amazon_sales.selectExpr(
@@ -105,11 +89,7 @@ def exclude_cancelled(lake: Lake) -> DataFrame:            # F2
     return lake.stg_amazon_sales.where(NOT_CANCELLED).select("order_id", "sku", "order_status")
 
 
-def drop_unknown_sku(lake: Lake) -> DataFrame:             # F3
-    return lake.stg_amazon_sales.where("sku != 'Unknown'").select("sku", "category", "size").distinct()
-
-
-def drop_unknown_sku_all(lake: Lake) -> DataFrame:         # F3 on both channels, every row that stays
+def drop_unknown_sku(lake: Lake) -> DataFrame:         # F3 on both channels, every row that stays
     amazon = lake.stg_amazon_sales.where("sku != 'Unknown'").selectExpr(
         "'AMAZON' AS channel", "order_id AS sales_id", "sku", "category", "size")
     intl = lake.stg_international_sales.where("sku != 'Unknown'").selectExpr(
@@ -187,11 +167,7 @@ def conditional_revenue(lake: Lake) -> DataFrame:          # A5, A6
         "round(" + safe_ratio("100.0D * CAST(_b2b AS DOUBLE)", "CAST(_revenue AS DOUBLE)") + ", 2) AS b2b_percentage")
 
 
-def distinct_sku_attributes(lake: Lake) -> DataFrame:      # A10
-    return lake.stg_international_sales.where("sku != 'Unknown'").select("sku", "style", "size").distinct()
-
-
-def distinct_sku_attributes_all(lake: Lake) -> DataFrame:  # A10 on both channels
+def distinct_sku_attributes(lake: Lake) -> DataFrame:  # A10 on both channels
     amazon = lake.stg_amazon_sales.where("sku != 'Unknown'").selectExpr(
         "'AMAZON' AS channel", "sku", "category", "size").distinct()
     intl = lake.stg_international_sales.where("sku != 'Unknown'").selectExpr(
@@ -279,16 +255,13 @@ def revenue_tier_query(lake: Lake) -> DataFrame:           # E17
 
 OPERATOR_QUERIES = {
     "clean_text_defaults": (clean_text_defaults, "P2 P3"),
-    "clean_text_defaults_all": (clean_text_defaults_all, "P2 P3"),
     "clamp_quantity": (clamp_quantity, "P4 P5"),
     "numeric_boolean_defaults": (numeric_boolean_defaults, "P6 P7"),
-    "numeric_boolean_defaults_all": (numeric_boolean_defaults_all, "P6 P7"),
     "parse_dmy_date": (parse_dmy_date, "P8"),
     "transaction_key": (transaction_key_query, "P9"),
     "required_key_filter": (required_key_filter, "F1"),
     "exclude_cancelled": (exclude_cancelled, "F2"),
     "drop_unknown_sku": (drop_unknown_sku, "F3"),
-    "drop_unknown_sku_all": (drop_unknown_sku_all, "F3"),
     "rolling_30day_units": (rolling_30day_units, "F4 A1"),
     "active_stock_filter": (active_stock_filter, "F5"),
     "left_join_product": (left_join_product, "J1"),
@@ -300,7 +273,6 @@ OPERATOR_QUERIES = {
     "price_stats": (price_stats, "A3 A4"),
     "conditional_revenue": (conditional_revenue, "A5 A6"),
     "distinct_sku_attributes": (distinct_sku_attributes, "A10"),
-    "distinct_sku_attributes_all": (distinct_sku_attributes_all, "A10"),
     "lag_delta": (lag_delta_query, "W1 W2"),
     "moving_average_7": (moving_average_7, "W3"),
     "global_rank": (global_rank_query, "W4"),
