@@ -32,6 +32,8 @@ def parse_args(argv):
     p.add_argument("--warehouse", default=None, help="location of the layer databases")
     p.add_argument("--reference-variant", action="store_true",
                    help="keep the reference's product fan-out and customer projection")
+    p.add_argument("--resume", action="store_true",
+                   help="take over models that an earlier attempt with the same files and parameters built")
     p.add_argument("--no-gate", action="store_true", help="report failed checks without stopping")
     return p.parse_args(argv)
 
@@ -56,7 +58,7 @@ def main(argv=None, spark=None) -> int:
     try:
         result = run_pipeline(spark, params, raw=raw, sf_dir=args.sf_dir, layers=tuple(args.layers),
                               fmt=args.format, location=args.warehouse, corrected=not args.reference_variant,
-                              gate=not args.no_gate, malformed=malformed)
+                              gate=not args.no_gate, malformed=malformed, resume=args.resume)
     except QualityGateError as err:
         print(json.dumps({"status": "failed", "layer": err.layer,
                           "checks": [r.asDict() for r in err.failures]}, default=str))

@@ -88,6 +88,12 @@ for _name, (_checks, _covers) in _quality.QUALITY_QUERIES.items():
              _QUALITY_SQL[_name], _covers)
 
 
+# ------------------------------------------------------------ layer runner
+from retail_lake.plans import pipeline as _pipeline  # noqa: E402
+
+register("layer_run", _pipeline.layer_run, oracle.layer_run_sql(), "S4 L1-L3")
+
+
 # ---------------------------------------------------------- landed files
 from retail_lake.plans import quarantine as _quarantine  # noqa: E402
 

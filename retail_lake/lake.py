@@ -43,7 +43,7 @@ class Lake:
                  materialize: bool = True, raw: dict[str, DataFrame] | None = None, sink=None,
                  corrected: bool = False):
         self.spark, self.sf_dir, self.params = spark, sf_dir, params
-        self.materialize, self.raw, self.corrected = materialize, raw or {}, corrected
+        self.materialize, self.raw, self.corrected = materialize, dict(raw or {}), corrected
         self._lazy: dict[str, DataFrame] = {}
         token = hashlib.sha1(repr((sf_dir, params, corrected)).encode()).hexdigest()[:12]
         # models of given raw frames or of an explicit sink belong to this Lake or that

@@ -49,10 +49,12 @@ def recent_units(fct_sales: DataFrame, as_of, days: int = RECENT_SALES_DAYS) ->
     """Units sold per product since ``as_of - days`` (inclusive), pre-aggregated.
 
     Grouping before the join keeps the join input at one row per SKU; partial
-    aggregation makes a hot SKU cost one row per map task.
+    aggregation makes a hot SKU cost one row per map task. The fact is laid out
+    by month, so the condition on the month leaves the window's folders only.
     """
-    return aggregate(fct_sales.where(f"order_date >= date_sub({_date(as_of)}, {days})"),
-                ["product_sku"], ["sum(quantity) AS total_sold_30days"])
+    first = f"date_sub({_date(as_of)}, {days})"
+    recent = fct_sales.where(f"order_year_month >= date_format({first}, 'yyyy-MM') AND order_date >= {first}")
+    return aggregate(recent, ["product_sku"], ["sum(quantity) AS total_sold_30days"])
 
 
 def inventory_analysis(fct_inventory: DataFrame, fct_sales: DataFrame, as_of,

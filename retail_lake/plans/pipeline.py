@@ -7,7 +7,8 @@ a check with status 'failed' stops the run (the reference only logged
 failures). Models are published after their layer's checks: write, audit,
 publish. A layer that fails, or a run that stops half-way, leaves the tables of
 the run before in place. Every model step appends a row to the run log, a failing one with
-status 'failed'. A layer that is not selected is not touched: the layers above
+status 'failed'. With ``resume`` every built model leaves a commit record, and a later attempt of the same run
+takes the recorded models over (status 'reused') and builds the others (plans/commits.py). A layer that is not selected is not touched: the layers above
 read the tables that an earlier run wrote.
 """
 
@@ -16,6 +17,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -23,10 +25,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_lake.lake import Lake
-from retail_lake.operators.stages import staged_for_block
+from retail_lake.operators.stages import stage, staged_for_block
 from retail_lake.params import RunParams
 from retail_lake.plans import quality
+from retail_lake.plans.commits import Commits, run_key
 from retail_lake.plans.dictionary import data_dictionary
+from retail_lake.session import ensure_checkpoint_dir
 from retail_lake.sources.sinks import CatalogSink
 
 RAW_TABLES = ("raw_amazon_sales", "raw_international_sales", "raw_stock_levels")
@@ -64,25 +68,35 @@ class RunResult:
 def run_pipeline(spark: SparkSession, params: RunParams, raw: dict[str, DataFrame] | None = None,
                  sf_dir: str | None = None, layers: tuple[str, ...] = LAYERS, fmt: str = "parquet",
                  location: str | None = None, corrected: bool = True, gate: bool = True,
-                 malformed: DataFrame | None = None) -> RunResult:
+                 malformed: DataFrame | None = None, resume: bool = False, prefix: str = "") -> RunResult:
     """Build the selected layers. ``raw``: raw DataFrames (e.g. from seed CSVs);
     otherwise the fixture mapping over ``sf_dir`` plays the raw files.
     ``malformed``: counts of ``sources.seeds.malformed_values``, recorded with the bronze checks.
-    What the models stage on the way is removed at the end."""
+    ``resume``: models that an earlier attempt with the same files and parameters recorded are not built again.
+    ``prefix`` stands before the databases' names. What the models stage on the way is removed at the end."""
     with staged_for_block(spark):
-        return _run(spark, params, raw, sf_dir, layers, CatalogSink(spark, fmt, location), corrected, gate, malformed)
+        return _run(spark, params, raw, sf_dir, layers, CatalogSink(spark, fmt, location, prefix), corrected, gate,
+                    malformed, resume)
 
 
 def _run(spark: SparkSession, params: RunParams, raw: dict[str, DataFrame] | None, sf_dir: str | None,
          layers: tuple[str, ...], sink: CatalogSink, corrected: bool, gate: bool,
-         malformed: DataFrame | None) -> RunResult:
+         malformed: DataFrame | None, resume: bool) -> RunResult:
     pipeline_id = f"run_{params.load_ts:%Y%m%d%H%M%S}_{uuid.uuid4().hex[:6]}"
     lake = Lake(spark, sf_dir, params, raw=raw, sink=sink, corrected=corrected)
     log: list[tuple] = []
     checks: list[DataFrame] = []
+    from_bronze = set(layers) == set(LAYERS[:len(set(layers))])     # nothing is read that another run published
+    commits = Commits(sink, run_key([getattr(lake, t) for t in RAW_TABLES], params, corrected, sink.fmt)
+                      if resume and from_bronze else None)
 
-    def step(layer: str, name: str, build) -> DataFrame:
+    def step(layer: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         started, t0 = dt.datetime.now().replace(microsecond=0), time.time()
+        if (built := commits.find(name)) is not None:
+            df = sink.adopt(name, built.table_name)
+            lake.provide(name, df)
+            log.append((pipeline_id, layer, name, "reused", built.row_count, started, round(time.time() - t0, 3)))
+            return df
         try:
             df = build()
             rows = df.count()
@@ -90,6 +104,7 @@ def _run(spark: SparkSession, params: RunParams, raw: dict[str, DataFrame] | Non
             log.append((pipeline_id, layer, name, "failed", None, started, round(time.time() - t0, 3)))
             _write_log(spark, sink, log)
             raise
+        commits.add(layer, name, sink.written_as(name), rows)
         log.append((pipeline_id, layer, name, "success", rows, started, round(time.time() - t0, 3)))
         return df
 
@@ -146,3 +161,24 @@ def _run(spark: SparkSession, params: RunParams, raw: dict[str, DataFrame] | Non
 def _write_log(spark: SparkSession, sink: CatalogSink, log: list[tuple]) -> DataFrame:
     """Append this run's step rows to ops.run_log (a small, bounded driver-side list)."""
     return sink.append("run_log", spark.createDataFrame(log, RUN_LOG_SCHEMA))
+
+
+def layer_run(lake: Lake) -> DataFrame:
+    """One scheduled run over the folder in two attempts, as rows (attempt, layer, model, status, row_count).
+
+    The first attempt builds bronze and silver; the second is asked for every layer, takes those over and builds
+    gold. The run has databases of its own under the shared checkpoint folder, which go at the end. Failed checks
+    do not stop it: the ``dq_*`` queries report them.
+    """
+    spark, prefix = lake.spark, f"run_{uuid.uuid4().hex[:8]}_"
+    location = f"{ensure_checkpoint_dir(spark).rstrip('/')}/retail_lake/{prefix}"
+    attempts = [run_pipeline(spark, lake.params, sf_dir=lake.sf_dir, layers=layers, location=location, gate=False,
+                             resume=True, prefix=prefix) for layers in (("bronze", "silver"), LAYERS)]
+    rows = reduce(DataFrame.unionByName, [
+        run.run_log.where((F.col("pipeline_id") == run.pipeline_id) & (F.col("layer") != "docs"))
+           .select(F.lit(n).alias("attempt"), "layer", "model", "status", "row_count")
+        for n, run in enumerate(attempts, 1)])
+    written = stage(rows, "layer_run")
+    for row in spark.sql(f"SHOW DATABASES LIKE '{prefix}*'").collect():
+        spark.sql(f"DROP DATABASE {row.namespace} CASCADE")
+    return written

@@ -16,7 +16,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from retail_lake.session import ensure_checkpoint_dir
 
@@ -26,16 +26,34 @@ LAYER_OF = {
     "stg_stock_history": "bronze",
     "dim_customers": "silver", "dim_products": "silver", "fct_inventory": "silver", "fct_sales": "silver",
     "inventory_analysis": "gold", "sales_summary_by_product": "gold", "sales_summary_by_region": "gold",
-    "quality_results": "ops", "run_log": "ops", "data_dictionary": "ops",
+    "quality_results": "ops", "run_log": "ops", "model_commits": "ops", "data_dictionary": "ops",
 }
 
 
 HISTORY_TABLES = {"stg_stock_history"}      # append-only: never written as a full refresh
+#: Tables laid out by a column that readers filter on: a folder for each of its values.
+PARTITIONED_BY = {"fct_sales": "order_year_month"}
+
+
+def base_name(name: str) -> str:
+    for variant in ("_resolved", "_one_per_sku", "_reference"):
+        name = name.removesuffix(variant)
+    return name
 
 
 def layer_of(name: str) -> str:
-    base = name.replace("_resolved", "").replace("_one_per_sku", "")
-    return LAYER_OF.get(base, "silver")
+    return LAYER_OF.get(base_name(name), "silver")
+
+
+def laid_out(name: str, df: DataFrame) -> DataFrameWriter:
+    """Writer of a table in its layout.
+
+    The rows of a partition meet before they are written, so the number of files follows the bytes and not
+    tasks x partitions. A rebalance, not a repartition: Spark splits a value with many rows over several tasks
+    (and files) and gives small values one task together, by the sizes it measures.
+    """
+    column = PARTITIONED_BY.get(base_name(name))
+    return df.write if column is None else df.hint("rebalance", column).write.partitionBy(column)
 
 
 class CheckpointSink:
@@ -47,20 +65,24 @@ class CheckpointSink:
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        laid_out(name, df).mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
 
 class CatalogSink:
-    """Versioned managed tables, full refresh, published by views of one database per layer."""
+    """Versioned managed tables, full refresh, published by views of one database per layer.
 
-    def __init__(self, spark: SparkSession, fmt: str = "parquet", location: str | None = None):
-        self.spark, self.fmt, self.location = spark, fmt, location
+    ``prefix`` stands before the databases' names, so that several lakes share a catalog.
+    """
+
+    def __init__(self, spark: SparkSession, fmt: str = "parquet", location: str | None = None, prefix: str = ""):
+        self.spark, self.fmt, self.location, self.prefix = spark, fmt, location, prefix
         self.uid = uuid.uuid4().hex        # one run: its models are built once, never reused by another run
         self.version = f"{dt.datetime.now():%Y%m%d%H%M%S%f}_{self.uid[:6]}"      # sorts by time
         self.unpublished: dict[str, str] = {}
 
     def _create(self, db: str) -> str:
+        db = self.prefix + db
         where = f" LOCATION '{self.location.rstrip('/')}/{db}.db'" if self.location else ""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{where}")
         return db
@@ -72,6 +94,9 @@ class CatalogSink:
         """A table published by an earlier run."""
         return self.spark.table(f"{self.database(name)}.{name}")
 
+    def exists(self, name: str) -> bool:
+        return self.spark.catalog.tableExists(f"{self.database(name)}.{name}")
+
     def append(self, name: str, df: DataFrame) -> DataFrame:
         table = f"{self.database(name)}.{name}"
         df.write.mode("append").format(self.fmt).saveAsTable(table)
@@ -82,10 +107,20 @@ class CatalogSink:
         if name in HISTORY_TABLES:
             raise ValueError(f"{name} is append-only and cannot be refreshed")
         table = f"{self._create(layer_of(name) + '_versions')}.{name}__{self.version}"
-        df.write.mode("overwrite").format(self.fmt).saveAsTable(table)
+        laid_out(name, df).mode("overwrite").format(self.fmt).saveAsTable(table)
         self.unpublished[name] = table
         return self.spark.table(table)
 
+    def written_as(self, name: str) -> str:
+        """The table that holds the name's rows of this run."""
+        return self.unpublished.get(name) or f"{self.database(name)}.{name}"
+
+    def adopt(self, name: str, table: str) -> DataFrame:
+        """Take a version that an earlier attempt of this run wrote; it is public from ``publish`` on."""
+        if name not in HISTORY_TABLES:
+            self.unpublished[name] = table
+        return self.spark.table(table)
+
     def publish(self) -> list[str]:
         """Point the public names at the versions written since the last call; returns those names."""
         names = list(self.unpublished)
@@ -98,6 +133,8 @@ class CatalogSink:
                     before = rows[0].data_type.split(" FROM ")[-1].strip() if rows else None
                 else:
                     self.spark.sql(f"DROP TABLE {public}")   # of the layout before versions
+            if before == table:                  # published by an earlier attempt
+                continue
             self.spark.sql(f"CREATE OR REPLACE VIEW {public} AS SELECT * FROM {table}")
             self._drop_older(name, table, before)
         return names

@@ -52,3 +52,29 @@ def test_months_are_counted_exactly(spark):
     df = spark.createDataFrame(rows, "k string, t string").selectExpr("k", "CAST(t AS DATE) AS d")
     got = {r.k: r.n for r in aggregate(with_month_bit(df, "d"), ["k"], month_bits()).selectExpr("k", f"{months_set()} AS n").collect()}
     assert got == {"a": 3, "b": 0, "c": 1200}
+
+
+def test_the_recent_window_reads_its_months_only(spark):
+    """The fact is laid out by month: the 30-day window's plan prunes folders, and a month has few files."""
+    import re
+
+    from pyspark.sql import functions as F
+
+    from retail_lake.plans import gold
+    lake = Lake(spark, SF_SMALL)
+    fact = lake.fct_sales()
+    for df in (gold.recent_units(fact, lake.params.as_of), lake.inventory_analysis()):
+        pruned = re.search(r"PartitionFilters: \[([^\]]*)\]", _plan(df).replace("PartitionFilters: []", ""))
+        assert "order_year_month" in pruned[1] and "2001-07" in pruned[1]
+    files = fact.select("order_year_month", F.col("_metadata.file_path").alias("f")).distinct()
+    per_month = {r.order_year_month: r["count"] for r in files.groupBy("order_year_month").count().collect()}
+    assert max(per_month.values()) <= 2 and len(per_month) > 12
+    assert len([m for m in per_month if m and m >= "2001-07"]) <= 2
+
+
+def test_rows_without_a_month_stay_in_the_fact(spark, tmp_path):
+    from retail_lake.sources.sinks import CheckpointSink
+    df = spark.createDataFrame([("a", "2001-07"), ("b", None), ("c", "2001-08"), ("d", None)],
+                               "sales_id string, order_year_month string")
+    back = CheckpointSink(spark, "layout-test").write("fct_sales_one_per_sku", df)
+    assert back.schema == df.schema and sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
