@@ -113,6 +113,10 @@ def _dictionary(lake: Lake) -> DataFrame:
 
 register("data_dictionary", _dictionary, oracle.dictionary_sql(), "L4")
 
+from retail_lake.plans import sketches as _sketches  # noqa: E402
+
+register("dictionary_sketches", _sketches.dictionary_sketches, oracle.dictionary_sketches_sql(), "L4")
+
 
 # Money columns are DECIMAL in the stored tables; query results expose them as
 # DOUBLE on both sides so a result compares the same whichever client reads
