@@ -79,12 +79,12 @@ def test_the_digest_follows_the_files(spark, tmp_path):
     folder = tmp_path / "in [1] {a} b%20c"                                   # names that are patterns or escapes
     folder.mkdir()
     for t in ("nation", "region"):
-        shutil.copy(f"{SF_SMALL}/{t}.parquet", folder / f"{t}.parquet")
+        shutil.copyfile(f"{SF_SMALL}/{t}.parquet", folder / f"{t}.parquet")
     # the folder's name is a pattern to Spark's reader, so its signs are escaped here as well
     path = str(folder).replace("[", "\\[").replace("]", "\\]").replace("{", "\\{").replace("}", "\\}")
     read = lambda: [spark.read.parquet(f"{path}/nation.parquet")]
     first = files_digest(read())
     assert first is not None and files_digest(read()) == first
-    shutil.copy(f"{SF_SMALL}/region.parquet", folder / "nation.parquet")
+    shutil.copyfile(f"{SF_SMALL}/region.parquet", folder / "nation.parquet")
     assert files_digest(read()) != first
     assert files_digest([spark.range(3)]) is None and files_digest([]) is None
