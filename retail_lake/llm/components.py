@@ -2,9 +2,11 @@
 
 Each round hangs neighbours under the smallest node of a neighbourhood (large
 star, then small star) with one grouped minimum and one join on the node; no
-neighbourhood is ever gathered. The number of rounds grows with the logarithm
-of the longest chain. Every round is written to the shared checkpoint folder,
-so lineage stays short and a lost executor re-reads files.
+neighbourhood is ever gathered. The join is a sort-merge join by hint: nodes
+grow with the links, and files look smaller than their rows. The number of
+rounds grows with the logarithm of the longest chain. Every round is written to
+the shared checkpoint folder, so lineage stays short and a lost executor
+re-reads files.
 """
 
 from __future__ import annotations
@@ -19,9 +21,10 @@ def _stars(edges: DataFrame) -> DataFrame:
     """One large-star and one small-star step over edges (u, v) with u > v."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    large = (both.join(low, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
+    large = (both.join(low.hint("merge"), "u").where("v > u and v <> m")
+             .select(F.col("v").alias("u"), F.col("m").alias("v")))
     low = large.groupBy("u").agg(F.min("v").alias("m"))
-    small = (large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    small = (large.join(low.hint("merge"), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
              .union(low.select("u", F.col("m").alias("v"))))
     return small.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 

@@ -18,6 +18,10 @@
    compared, where a bucket holds more than one.
 5. Components of all links give each document the smallest reachable doc_id.
 
+Joins of tables that grow with the documents are sort-merge joins by hint:
+Spark takes an exploded table for as small as the Parquet files under it, and
+broadcasts it through the driver while these are under the threshold.
+
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z. Edge cases: null and
 empty texts have fingerprint zero and are linked like any other; texts of one
 to three words are hashed whole; documents with a null id take part, get the
@@ -119,23 +123,24 @@ def fingerprint_components(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFram
     dealt = _buckets(nodes.select("fp"), max_bits)
     heads = (dealt.groupBy("bucket", "key").agg(F.min("fp").alias("head"), F.max("fp").alias("last"))
                   .where("head <> last").select("bucket", "key", "head"))
-    stars = (dealt.join(heads, ["bucket", "key"]).where(F.col("fp") != F.col("head"))
+    stars = (dealt.join(heads.hint("merge"), ["bucket", "key"]).where(F.col("fp") != F.col("head"))
                   .where(_distance(F.col("fp"), F.col("head")) <= max_bits).select("fp", "head"))
     first = components(stars)
 
     # what is left: pairs of different components that share a bucket
-    nodes = stage(nodes.join(first.withColumnRenamed("node", "fp"), "fp", "left")
+    nodes = stage(nodes.join(first.withColumnRenamed("node", "fp").hint("merge"), "fp", "left")
                        .withColumn("comp", F.coalesce("root", "fp")).drop("root"), "contracted")
     dealt = _buckets(nodes, max_bits)
     mixed = (_buckets(nodes.select("fp", "comp"), max_bits).groupBy("bucket", "key")
              .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket", "key"))
-    open_ = stage(dealt.join(mixed, ["bucket", "key"]), "open")
-    pairs = (open_.alias("a").join(open_.alias("b"), (F.col("a.bucket") == F.col("b.bucket"))
+    open_ = stage(dealt.join(mixed.hint("merge"), ["bucket", "key"]), "open")
+    pairs = (open_.alias("a").join(open_.alias("b").hint("merge"), (F.col("a.bucket") == F.col("b.bucket"))
                                    & (F.col("a.key") == F.col("b.key"))
                                    & (F.col("a.comp") < F.col("b.comp")) & _near("a", "b", max_bits))
              .select(F.col("a.comp").alias("x"), F.col("b.comp").alias("y")))
     second = components(pairs).select(F.col("node").alias("comp"), "root")
-    return nodes.select("fp", "comp").join(second, "comp", "left").select("fp", F.coalesce("root", "comp").alias("comp"))
+    return (nodes.select("fp", "comp").join(second.hint("merge"), "comp", "left")
+            .select("fp", F.coalesce("root", "comp").alias("comp")))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -144,10 +149,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     docs = stage(with_fingerprints(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
                                    "text", shingle).drop("text"), "fingerprints")
     classes = docs.groupBy("fp").agg(F.min("id").alias("id"))
-    classes = classes.join(fingerprint_components(classes, max_bits), "fp")
+    classes = classes.join(fingerprint_components(classes, max_bits).hint("merge"), "fp")
     smallest = classes.groupBy("comp").agg(F.min("id").alias("component_id"))
-    of_fp = classes.select("fp", "comp").join(smallest, "comp").select("fp", "component_id")
-    return docs.join(of_fp, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    of_fp = classes.select("fp", "comp").join(smallest.hint("merge"), "comp").select("fp", "component_id")
+    return docs.join(of_fp.hint("merge"), "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def fingerprint_hex(fp: Column) -> Column:
@@ -175,6 +180,6 @@ def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MA
     best = lambda: F.min(F.struct(F.col("__id").isNull().alias("n"), F.col("__id").alias("i"),
                                   F.col("__h").alias("h"), F.col("__r").alias("r"))).alias("best")
     classes = rows.groupBy(F.col("__fp").alias("fp")).agg(best())
-    classes = classes.join(fingerprint_components(classes.select("fp"), max_bits), "fp")
+    classes = classes.join(fingerprint_components(classes.select("fp"), max_bits).hint("merge"), "fp")
     keepers = classes.groupBy("comp").agg(F.min("best").alias("best")).select(F.col("best.r").alias("__r"))
-    return rows.join(keepers, "__r").select("__doc.*")
+    return rows.join(keepers, "__r", "left_semi").select("__doc.*")      # the documents are never broadcast

@@ -246,6 +246,28 @@ def test_one_document_of_each_group_stays(spark, odd_docs):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 5, 6, 7]
 
 
+def test_near_duplicates_broadcast_nothing_that_grows(spark, monkeypatch):
+    """Small files do not make Spark broadcast what grows with the documents (buckets, links, documents)."""
+    from retail_lake.llm import components as links
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 50, 40)) for _ in range(30)]
+    docs = spark.createDataFrame([(i, texts[i % 30] + " end" * (i % 3)) for i in range(90)], "doc_id bigint, text string")
+    plans, write = [], simhash.stage
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+    for module in (simhash, links):
+        monkeypatch.setattr(module, "stage", lambda df, label: write(planned(df), label))
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) >= 1 << 20
+    near, kept = planned(simhash.near_duplicates(docs)), simhash.keep_one_of_each(docs)
+    assert near.count() == 90 and {r.doc_id for r in kept.collect()} == {r.component_id for r in near.collect()}
+    assert any("Generate explode" in p for p in plans)
+    assert not [p for p in plans if "Broadcast" in p]
+    last = kept._jdf.queryExecution().executedPlan().toString()       # row numbers may be, where they are few
+    assert "LeftSemi" in last and "BuildLeft" not in last
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (None, 3), (200, 201)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
