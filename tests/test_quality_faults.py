@@ -45,6 +45,44 @@ def test_corrupt_gold_tables_fail(spark):
     assert set(got.values()) == {"failed"}
 
 
+def _shuffle_files(spark) -> int:
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+
+def test_completeness_writes_no_fact_and_leaves_no_shuffles(spark, monkeypatch):
+    """Group keys need neither the written fact nor the shuffle files of the writes before."""
+    raw = {"raw_amazon_sales": [("o1", "01-08-01", "Shipped", "AN1", 2, "Delhi"), ("o2", "02-08-01", "Cancelled", "AN1", 1, "Goa"),
+                                ("o3", "03-08-01", "Shipped", None, 1, None), ("o3", "03-08-01", None, "AN2", 1, "Goa")],
+           "raw_international_sales": [("c1", "AN2 ", "04-08-01", 3), (None, "XX", "05-08-01", 1)],
+           "raw_stock_levels": [("AN1", "red"), ("AN1", "blue"), ("AN2", None)]}
+    good = Lake(spark, SF_SMALL)
+    names = {"raw_amazon_sales": ["Order ID", "Date", "Status", "SKU", "Qty", "ship-state"],
+             "raw_international_sales": ["CUSTOMER", "SKU", "DATE", "PCS"], "raw_stock_levels": ["SKU Code", "Color"]}
+    frames = {}
+    for t, rows in raw.items():
+        schema = getattr(good, t).schema
+        full = [tuple(dict(zip(names[t], r)).get(f.name) for f in schema) for r in rows]
+        frames[t] = spark.createDataFrame(full, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema))
+    lake, written, left = Lake(spark, SF_SMALL, raw=frames), [], []
+    write, staged = lake.sink.write, quality.gold.stage
+    monkeypatch.setattr(lake.sink, "write", lambda name, df: written.append(name) or write(name, df))
+
+    def counted(df, label):
+        before = _shuffle_files(spark)
+        out = staged(df, label)
+        left.append(_shuffle_files(spark) - before)
+        return out
+    monkeypatch.setattr(quality.gold, "stage", counted)
+    results = quality.run_checks(lake, quality.completeness_checks())
+    got = {r.table_name: (r.status, r.violations, r.checked_rows) for r in results.collect()}
+    # AN1 in two colours and an unknown SKU on the marketplace, AN2 on both channels (a sale without customer has no id); two states
+    assert got == {"sales_summary_by_product": ("passed", 0, 5), "sales_summary_by_region": ("passed", 0, 2)}
+    assert "fct_sales" not in written and "dim_products" in written
+    assert len(left) == 2 and max(left) <= 0
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") != "true"
+
+
 def test_checks_of_a_table_share_one_scan(spark):
     lake = Lake(spark, SF_SMALL)
     checks = [c for c in quality.null_checks() + quality.business_rule_checks() + quality.freshness_checks()
